@@ -33,7 +33,7 @@ def epoch_time(epoch_ms: Column) -> Column:
 
 def approach_day(full_date: Column) -> Column:
     """Day part of the approach minute. It depends on the natural key alone, so equal keys
-    always share it; bronze is partitioned by it."""
+    always share it."""
     return F.try_to_date(F.substring(full_date, 1, 11), "yyyy-MMM-dd")
 
 

@@ -17,13 +17,17 @@ def to_number(column: Column, type_name: str = "double") -> Column:
 
 
 def to_day(column: Column) -> Column:
-    """`yyyy-MM-dd` text to a date; malformed or empty text gives NULL."""
-    return F.try_to_date(F.nullif(column, F.lit("")), "yyyy-MM-dd")
+    """`yyyy-MM-dd` text to a date; malformed or empty text gives NULL.
+
+    A cast behind a check of the form: unlike a parse by pattern, it raises no exception inside
+    for each bad value, which would dominate the run time of dirty columns.
+    """
+    return F.when(column.rlike(r"^\d{4}-\d{2}-\d{2}$"), column.try_cast("date"))
 
 
 def day_of_iso_timestamp(column: Column) -> Column:
     """Calendar day written at the head of an ISO timestamp, whatever zone follows it."""
-    return F.try_to_date(F.substring(column, 1, 10), "yyyy-MM-dd")
+    return to_day(F.substring(column, 1, 10))
 
 
 def map_number(column: Column, key: str) -> Column:

@@ -1,36 +1,32 @@
 """One row per key.
 
-Both operators are aggregates, so Spark combines the copies of a key within each map task before
-the shuffle. A key that holds a large share of all rows costs one row per map task.
+Spark keeps only the best row per key within each map task before the shuffle (the rank limit below
+is applied on both sides of it). A key that holds a large share of all rows therefore costs one row
+per map task and never gathers in one place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _extreme_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], pick) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return best.select(
-        *[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
-    )
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The row of each key that comes first in `order`. NULL is an ordinary key value.
 
     `order` must end in a unique column, or in all columns, for a repeatable choice.
     """
-    return _extreme_per_key(df, keys, order, F.min_by)
+    by_key = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_position", F.row_number().over(by_key)).filter(
+        F.col("_position") == 1
+    ).drop("_position")
 
 
-def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The row of each key that comes last in `order`."""
-    return _extreme_per_key(df, keys, order, F.max_by)
+def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of each key that comes last by the columns of `order`."""
+    return first_per_key(df, keys, [F.desc_nulls_last(c) for c in order])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -168,7 +168,7 @@ def approach_times(approaches: DataFrame) -> DataFrame:
 
 def latest_snapshots(snapshots: DataFrame) -> DataFrame:
     """Latest snapshot per satellite."""
-    return last_per_key(snapshots, ["norad_cat_id"], [F.col("snapshot_date")])
+    return last_per_key(snapshots, ["norad_cat_id"], ["snapshot_date"])
 
 
 def with_regime(orbits: DataFrame) -> DataFrame:

@@ -174,7 +174,7 @@ def registry_row(
 def active_models(registry: DataFrame) -> DataFrame:
     """The active version per model name: the highest that passed its gate."""
     return last_per_key(
-        registry.filter("gate_passed"), ["model_name"], [F.col("model_version")]
+        registry.filter("gate_passed"), ["model_name"], ["model_version"]
     )
 
 

@@ -9,37 +9,44 @@ from skyledger.functions.text import to_day, to_number
 from skyledger.operators.dedup import first_per_key
 from skyledger.operators.merge import not_yet_in
 from skyledger.operators.numbering import dense_number, next_base
-from skyledger.schemas import SATCAT_RECORD, SILVER_SATELLITE, SILVER_SNAPSHOT
+from skyledger.schemas import SATCAT_FIELDS, SILVER_SATELLITE, SILVER_SNAPSHOT
 
 DIM_KEY = ["norad_cat_id"]
 SNAPSHOT_KEY = ["norad_cat_id", "snapshot_date"]
 
 
 def parse_records(bronze: DataFrame) -> DataFrame:
-    """Typed catalog records; rows without a usable catalog number are left out."""
-    parsed = bronze.select(
-        "id", "snapshot_date", "snapshot_group", F.from_json("parsed_record", SATCAT_RECORD).alias("r")
-    )
-    typed = parsed.select(
+    """Typed catalog records; rows without a usable catalog number are left out.
+
+    `json_tuple` is a generator, so the filter on the catalog number stays above it. With
+    `from_json` the optimizer would copy the parse into a pushed-down filter and parse twice.
+    """
+    raw = bronze.select(
         "id",
         "snapshot_date",
         F.col("snapshot_group").alias("source_group"),
-        to_number(F.col("r.NORAD_CAT_ID"), "int").alias("norad_cat_id"),
-        F.col("r.OBJECT_ID").alias("object_id"),
-        F.col("r.OBJECT_NAME").alias("object_name"),
-        F.col("r.OBJECT_TYPE").alias("object_type"),
-        F.col("r.OWNER").alias("owner"),
-        F.col("r.OPS_STATUS_CODE").alias("ops_status_code"),
-        to_day(F.col("r.LAUNCH_DATE")).alias("launch_date"),
-        F.col("r.LAUNCH_SITE").alias("launch_site"),
-        to_day(F.col("r.DECAY_DATE")).alias("decay_date"),
-        F.col("r.ORBIT_CENTER").alias("orbit_center"),
-        F.col("r.ORBIT_TYPE").alias("orbit_type"),
-        to_number(F.col("r.RCS")).alias("rcs"),
-        to_number(F.col("r.PERIOD")).alias("period_minutes"),
-        to_number(F.col("r.INCLINATION")).alias("inclination_deg"),
-        to_number(F.col("r.APOGEE")).alias("apogee_km"),
-        to_number(F.col("r.PERIGEE")).alias("perigee_km"),
+        F.json_tuple("parsed_record", *SATCAT_FIELDS).alias(*SATCAT_FIELDS),
+    )
+    typed = raw.select(
+        "id",
+        "snapshot_date",
+        "source_group",
+        to_number(F.col("NORAD_CAT_ID"), "int").alias("norad_cat_id"),
+        F.col("OBJECT_ID").alias("object_id"),
+        F.col("OBJECT_NAME").alias("object_name"),
+        F.col("OBJECT_TYPE").alias("object_type"),
+        F.col("OWNER").alias("owner"),
+        F.col("OPS_STATUS_CODE").alias("ops_status_code"),
+        to_day(F.col("LAUNCH_DATE")).alias("launch_date"),
+        F.col("LAUNCH_SITE").alias("launch_site"),
+        to_day(F.col("DECAY_DATE")).alias("decay_date"),
+        F.col("ORBIT_CENTER").alias("orbit_center"),
+        F.col("ORBIT_TYPE").alias("orbit_type"),
+        to_number(F.col("RCS")).alias("rcs"),
+        to_number(F.col("PERIOD")).alias("period_minutes"),
+        to_number(F.col("INCLINATION")).alias("inclination_deg"),
+        to_number(F.col("APOGEE")).alias("apogee_km"),
+        to_number(F.col("PERIGEE")).alias("perigee_km"),
     )
     return typed.filter(F.col("norad_cat_id").isNotNull())
 

@@ -177,7 +177,6 @@ SATCAT_FIELDS = (
     "LAUNCH_DATE", "LAUNCH_SITE", "DECAY_DATE", "ORBIT_CENTER", "ORBIT_TYPE", "RCS",
     "PERIOD", "INCLINATION", "APOGEE", "PERIGEE",
 )
-SATCAT_RECORD = ", ".join(f"{name} STRING" for name in SATCAT_FIELDS)
 
 NEO_MESSAGE = (
     "neo_id STRING, neo_reference_id STRING, neo_name STRING, "

@@ -3,10 +3,10 @@
 Every append goes to a `load_run=` folder of its own, which that run overwrites. A retried run
 replaces its own partial output and never doubles it. A table has one writer at a time.
 
-Large tables are also split by `storage_day`. For approaches this is the close-approach date where
-it agrees with the day in the natural key, and NULL otherwise. A row of a given key is therefore
-found either under the day of its key or under NULL, and the same holds for a given date, so both
-merges and date filters skip all other days without losing a row.
+Large tables are also split by `storage_month`. For approaches this is the month of the
+close-approach date where that date agrees with the day in the natural key, and NULL otherwise. A
+row of a given key is therefore found either under the month of its key or under NULL, and the same
+holds for a given date, so both merges and date filters skip all other months without losing a row.
 """
 
 from __future__ import annotations
@@ -24,23 +24,23 @@ from skyledger.schemas import KEY_RANGE, TABLES
 from skyledger.session import staged
 
 LOAD_COLUMN = "load_run"
-DAY_COLUMN = "storage_day"
+MONTH_COLUMN = "storage_month"
 
 
-def _agreed_approach_day() -> Column:
+def _agreed_approach_month() -> Column:
     day = F.col("close_approach_date")
-    return F.when(approach_day(F.col("close_approach_date_full")) == day, day)
+    return F.when(approach_day(F.col("close_approach_date_full")) == day, F.trunc(day, "month"))
 
 
-def _snapshot_day() -> Column:
-    return F.col("snapshot_date")
+def _snapshot_month() -> Column:
+    return F.trunc("snapshot_date", "month")
 
 
-STORAGE_DAY: dict[str, Callable[[], Column]] = {
-    "bronze.neo_event_raw": _agreed_approach_day,
-    "bronze.satcat_raw": _snapshot_day,
-    "silver.neo_close_approach": _agreed_approach_day,
-    "silver.satcat_orbit_snapshot": _snapshot_day,
+STORAGE_MONTH: dict[str, Callable[[], Column]] = {
+    "bronze.neo_event_raw": _agreed_approach_month,
+    "bronze.satcat_raw": _snapshot_month,
+    "silver.neo_close_approach": _agreed_approach_month,
+    "silver.satcat_orbit_snapshot": _snapshot_month,
 }
 
 
@@ -71,8 +71,8 @@ class Warehouse:
         `without_run` leaves out the output of one run, for that run's own retry.
         """
         schema = T.StructType(list(TABLES[table].fields))
-        if table in STORAGE_DAY:
-            schema = schema.add(DAY_COLUMN, T.DateType())
+        if table in STORAGE_MONTH:
+            schema = schema.add(MONTH_COLUMN, T.DateType())
         schema = schema.add(LOAD_COLUMN, T.StringType())
         if self.exists(table):
             df = self.spark.read.schema(schema).parquet(self.path(table))
@@ -90,12 +90,12 @@ class Warehouse:
     def stored_between(
         self, table: str, first: date | None, last: date | None, without_run: str | None = None
     ) -> DataFrame:
-        """Stored rows that can hold a key or a date of these days; other days are not read."""
+        """Stored rows that can hold a key or a date of these days; other months are not read."""
         df = self.stored(table, without_run)
-        day = F.col(DAY_COLUMN)
+        month = F.col(MONTH_COLUMN)
         if first is None:
-            return df.filter(day.isNull())
-        return df.filter(day.isNull() | day.between(F.lit(first), F.lit(last)))
+            return df.filter(month.isNull())
+        return df.filter(month.isNull() | month.between(F.lit(first.replace(day=1)), F.lit(last)))
 
     # --- writing ---
 
@@ -114,11 +114,11 @@ class Warehouse:
         """Write the output of one run; a second write by that run replaces the first."""
         out = self.shaped(df, table)
         target = f"{self.path(table)}/{LOAD_COLUMN}={run}"
-        if table in STORAGE_DAY:
-            # Rebalancing splits a day that holds most rows over several writers and joins small
-            # days, so neither one huge task nor a mass of small files comes out.
-            out = out.withColumn(DAY_COLUMN, STORAGE_DAY[table]()).hint("rebalance", DAY_COLUMN)
-            out.write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(target)
+        if table in STORAGE_MONTH:
+            # Rebalancing splits a month that holds most rows over several writers and joins small
+            # ones, so neither one huge task nor a mass of small files comes out.
+            out = out.withColumn(MONTH_COLUMN, STORAGE_MONTH[table]()).hint("rebalance", MONTH_COLUMN)
+            out.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(target)
         else:
             out.write.mode("overwrite").parquet(target)
 
@@ -143,8 +143,8 @@ class Warehouse:
     def append_unkeyed_rows(self, df: DataFrame, table: str, run: str, key: str) -> int:
         """Append rows that have no natural key. Staging fixes a row position to number them by,
         so any number of equal rows spreads evenly."""
-        positioned = staged(df.withColumn("_position", F.monotonically_increasing_id()))
-        return self.append_keyed(positioned, table, run, key, ["_position"])
+        positioned = staged(df.withColumn("_row", F.monotonically_increasing_id()))
+        return self.append_keyed(positioned, table, run, key, ["_row"])
 
     def overwrite(self, df: DataFrame, table: str) -> None:
         """Replace the whole table."""
