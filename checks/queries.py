@@ -13,7 +13,7 @@ from skyledger.operators import ledger, merge, numbering, quality
 from skyledger.operators.dedup import duplicate_keys
 from skyledger.plans import analysis, gold, ml, silver_neo, silver_satcat
 from skyledger.plans.checks import JOB_GATES, TABLE_TESTS
-from skyledger.session import fresh_dir
+from skyledger.session import fresh_dir, staged
 from skyledger.sources import catalog as catalog_source
 from skyledger.sources import feed, messages
 from skyledger.sources.tables import Warehouse
@@ -405,14 +405,14 @@ def dq_job_checks(t):
 
 @query
 def dq_table_tests(t):
-    tables = _silver_tables(t)
+    tables = {name: staged(df) for name, df in _silver_tables(t).items()}  # read by many checks
     neo, approaches, satellites, snapshots = tables.values()
     tables |= {
-        "gold.neo_daily_activity": gold.neo_daily_activity(t.facts, t.objects),
-        "gold.neo_hazard_summary": gold.neo_hazard_summary(t.facts, t.objects),
-        "gold.satcat_orbit_summary": gold.satcat_orbit_summary(t.catalog, t.orbits),
-        "gold.ai_neo_features": gold.ai_neo_features(approaches, t.objects),
-        "gold.ai_satcat_features": gold.ai_satcat_features(t.catalog, snapshots),
+        "gold.neo_daily_activity": gold.neo_daily_activity(approaches, neo),
+        "gold.neo_hazard_summary": gold.neo_hazard_summary(approaches, neo),
+        "gold.satcat_orbit_summary": gold.satcat_orbit_summary(satellites, snapshots),
+        "gold.ai_neo_features": gold.ai_neo_features(approaches, neo),
+        "gold.ai_satcat_features": gold.ai_satcat_features(satellites, snapshots),
     }
     return quality.evaluate_all(tables, TABLE_TESTS).drop("details")
 

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.dedup import first_per_key
-
-MAX_BROADCAST_KEYS = 100_000
+from skyledger.operators.lookup import lookup
 
 
 def not_yet_in(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,19 +32,13 @@ def insert_or_ignore(
     return not_yet_in(first_per_key(arrivals, keys, arrival_order), existing, keys)
 
 
-def broadcast_if_small(keys: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Broadcast hint behind a counted bound; beyond it Spark shuffles as usual."""
-    return F.broadcast(keys) if keys.limit(max_rows + 1).count() <= max_rows else keys
-
-
 def load_once(arrivals: DataFrame, existing: DataFrame, guard: Sequence[str]) -> DataFrame:
     """Arrivals of those guard groups of which nothing is stored yet.
 
     One group (a whole snapshot) may hold most arrivals. So the groups are compared first, as
-    distinct keys, and the arrivals are then filtered by the short list of open groups, which
-    leaves the arrivals where they are while that list is small enough to broadcast.
+    distinct keys, and the arrivals are then filtered by the short list of open groups.
     """
     open_groups = not_yet_in(
         arrivals.select(*guard).distinct(), existing.select(*guard).distinct(), guard
     )
-    return arrivals.join(broadcast_if_small(open_groups), list(guard), "left_semi")
+    return lookup(arrivals, open_groups, guard, arrivals.columns, "left_semi")

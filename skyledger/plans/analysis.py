@@ -13,6 +13,7 @@ from skyledger.functions import orbit as ob
 from skyledger.functions.aggregates import exact_avg
 from skyledger.functions.text import is_synthetic
 from skyledger.operators.dedup import last_per_key
+from skyledger.operators.lookup import lookup
 
 # --- approaches -------------------------------------------------------------
 
@@ -90,7 +91,7 @@ def hazard_briefing(
     near = approaches.filter(window & (F.col("miss_distance_lunar") <= F.lit(lunar_distances)))
     names = neo.select("neo_id", "name", "is_potentially_hazardous_asteroid")
     return (
-        near.join(names, "neo_id", "inner")
+        lookup(near, names, ["neo_id"], ["approach_sk"])
         .select(
             "approach_sk",
             "neo_id",

@@ -2,7 +2,8 @@
 
 Marts that group by a fact key count the facts per key first and join the dimension afterwards, so
 a hot key reaches the join as a few rows. Should the dimension hold a key twice, the counts are
-multiplied as a join before the grouping would.
+multiplied as a join before the grouping would. Satellites have at most one snapshot per day, so
+joins on the catalog number cannot run hot.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.aggregates import exact_avg
 from skyledger.functions.text import flag
+from skyledger.operators.lookup import lookup
 
 
 def neo_daily_activity(approaches: DataFrame, neo: DataFrame) -> DataFrame:
@@ -97,7 +99,7 @@ def ai_neo_features(approaches: DataFrame, neo: DataFrame) -> DataFrame:
         "absolute_magnitude_h",
         flag(F.col("is_potentially_hazardous_asteroid")).alias("is_hazardous_label"),
     )
-    return approaches.select(
+    measures = approaches.select(
         "approach_sk",
         "neo_id",
         "close_approach_date",
@@ -106,7 +108,8 @@ def ai_neo_features(approaches: DataFrame, neo: DataFrame) -> DataFrame:
         "miss_distance_km",
         "miss_distance_lunar",
         "miss_distance_au",
-    ).join(objects, "neo_id", "inner").select(
+    )
+    return lookup(measures, objects, ["neo_id"], ["approach_sk"]).select(
         "approach_sk",
         "neo_id",
         "close_approach_date",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.text import to_number
 from skyledger.operators.dedup import first_per_key
+from skyledger.operators.lookup import lookup
 from skyledger.operators.merge import not_yet_in
 from skyledger.operators.numbering import dense_number, next_base
 from skyledger.schemas import DIAMETER, DISTANCE, SILVER_APPROACH, SILVER_NEO, VELOCITY
@@ -96,12 +97,8 @@ def new_approaches(candidates: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def with_neo_key(approaches: DataFrame, neo: DataFrame) -> DataFrame:
-    """Facts with the key of their object; facts without a dimension row are left out.
-
-    The facts are deduplicated before this join. Its output is shuffled again by the numbering,
-    so adaptive execution may split the partition of an object with very many approaches.
-    """
-    return approaches.join(neo.select("neo_sk", "neo_id"), "neo_id", "inner")
+    """Facts with the key of their object; facts without a dimension row are left out."""
+    return lookup(approaches, neo.select("neo_sk", "neo_id"), DIM_KEY, APPROACH_KEY)
 
 
 def number_neos(new: DataFrame, existing: DataFrame | None = None) -> DataFrame:

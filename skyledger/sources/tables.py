@@ -1,7 +1,8 @@
 """Table storage: Parquet folders with fixed schemas, and JDBC for tables kept in a database.
 
-Every append goes to a `load_run=` folder of its own, which that run overwrites. A retried run
-replaces its own partial output and never doubles it. A table has one writer at a time.
+Every append goes to a `load_run=` folder of its own. A retried run replaces its own partial output
+and leaves finished output alone, so it never doubles a row and never changes a key that others may
+already refer to. A table has one writer at a time.
 
 Large tables are also split by `storage_month`. For approaches this is the month of the
 close-approach date where that date agrees with the day in the natural key, and NULL otherwise. A
@@ -63,12 +64,16 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         return path_exists(self.spark, self.path(table))
 
+    def finished(self, table: str, run: str) -> bool:
+        """True once the run's output to this table is complete."""
+        return path_exists(self.spark, f"{self.path(table)}/{LOAD_COLUMN}={run}/_SUCCESS")
+
     # --- reading ---
 
     def stored(self, table: str, without_run: str | None = None) -> DataFrame:
         """The table with its storage columns; empty where nothing has been written.
 
-        `without_run` leaves out the output of one run, for that run's own retry.
+        `without_run` leaves out the partial output of one run, for that run's own retry.
         """
         schema = T.StructType(list(TABLES[table].fields))
         if table in STORAGE_MONTH:
@@ -127,19 +132,23 @@ class Warehouse:
     ) -> int:
         """Number the rows after the highest key in use, then append them. Returns the row count.
 
-        The keys are reserved in a log before the rows are written. So the highest key is known
-        without a scan of the table, and a run that died half-way leaves a gap, not a double key.
-        `df` should be staged: it is read three times.
+        The keys are reserved in a note of one row per table before the rows are written. So the
+        highest key is known without a scan of the table, and a run that died half-way leaves a
+        gap, not a double key. `df` should be staged: it is read three times.
         """
         rows = df.count()
-        log = self.stored("meta.key_range")
-        used = log.filter((F.col("table_name") == table) & (F.col("reserved_by") != run))
-        base = used.agg(F.max("last_key")).first()[0] or 0
+        base = self._last_key(table, key)
         reservation = self.spark.createDataFrame([(table, run, base + rows)], KEY_RANGE)
-        self.append(reservation, "meta.key_range", f"{run}-{table}")
+        self.append(reservation, "meta.key_range", table)
         self.append(dense_number(df, natural_key, key, base), table, run)
         return rows
 
+    def _last_key(self, table: str, key: str) -> int:
+        note = self.stored("meta.key_range").filter(F.col(LOAD_COLUMN) == table).first()
+        if note is not None:
+            return note["last_key"]
+        return self.read(table).agg(F.max(key)).first()[0] or 0
+
     def append_unkeyed_rows(self, df: DataFrame, table: str, run: str, key: str) -> int:
         """Append rows that have no natural key. Staging fixes a row position to number them by,
         so any number of equal rows spreads evenly."""

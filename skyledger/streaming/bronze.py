@@ -1,7 +1,7 @@
 """Message streams to bronze.
 
 Each micro-batch is split into usable messages and a quarantine. Its output goes to a folder named
-after the stream and the batch, so a replayed batch replaces what it wrote before.
+after the stream and the batch, so a replayed batch adds nothing twice.
 """
 
 from __future__ import annotations

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import merge, quality
 from skyledger.operators.dedup import duplicate_keys, first_per_key, last_per_key
+from skyledger.operators.lookup import lookup
 from skyledger.operators.numbering import dense_number, next_base
 
 
@@ -84,17 +85,33 @@ def test_load_once_skips_loaded_groups(spark):
     assert merge.load_once(arrivals, arrivals, ["g", "d"]).isEmpty()
 
 
-def test_broadcast_only_below_the_counted_bound(spark):
-    keys = spark.range(100).select("id")
-    big = spark.range(1000).select("id")
+def test_lookup_broadcasts_only_below_the_counted_bound(spark):
+    side = spark.range(100).select("id")
+    rows = spark.range(1000).select("id", F.col("id").alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small_plan = plan(big.join(merge.broadcast_if_small(keys, 100), "id", "left_semi"))
-        large_plan = plan(big.join(merge.broadcast_if_small(keys, 99), "id", "left_semi"))
+        small = plan(lookup(rows, side, ["id"], ["v"], max_broadcast_rows=100))
+        large = plan(lookup(rows, side, ["id"], ["v"], max_broadcast_rows=99))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in small and "BroadcastHashJoin" in small
+    assert "SortMergeJoin [id" in large and "_part" in large
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_lookup_spreads_a_hot_key_and_loses_nothing(spark, how):
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    rows = spark.range(30000).select(hot.alias("k"), F.col("id").alias("v"))
+    side = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    expected = rows.join(side, "k", how)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup(rows, side, ["k"], ["v"], how, max_broadcast_rows=10)
+        columns = ["k", "v"] + (["w"] if how == "inner" else [])
+        assert joined.columns == columns
+        assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small_plan
-    assert "BroadcastHashJoin" not in large_plan
 
 
 # --- quality ---
