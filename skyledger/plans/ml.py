@@ -19,11 +19,13 @@ from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.operators.dedup import last_per_key
 from skyledger.operators.numbering import dense_number
 from skyledger.operators.quality import Check, value_range
 from skyledger.plans.analysis import latest_snapshots, with_regime
+from skyledger.session import literal_rows
 
 # Features of the hazard model, seed, test share and quality threshold.
 HAZARD_FEATURES = (
@@ -103,7 +105,8 @@ def binary_metrics(scored: DataFrame, label: str = "is_hazardous_label") -> Data
             values.append((name, evaluator.evaluate(scored)))
     finally:
         scored.unpersist()
-    return scored.sparkSession.createDataFrame(values, "metric_name STRING, metric_value DOUBLE")
+    schema = T.StructType().add("metric_name", "string").add("metric_value", "double")
+    return literal_rows(scored.sparkSession, schema, values)
 
 
 def metric_gate(metrics: DataFrame, threshold: float = MIN_ROC_AUC) -> tuple[DataFrame, list[Check]]:
@@ -168,7 +171,7 @@ def registry_row(
         f"{artifact_root}/{name}/{version}", trained_at, training_run_id, gate_passed,
         json.dumps(params),
     )
-    return registry.sparkSession.createDataFrame([row], registry.schema)
+    return literal_rows(registry.sparkSession, registry.schema, [row])
 
 
 def active_models(registry: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
-"""Session settings and the shared folder for checkpoints and staged tables."""
+"""Session settings, literal rows, and the shared folder for checkpoints and staged tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -46,7 +49,23 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df):
+def literal_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[Sequence]) -> DataFrame:
+    """A few in-memory rows under an explicit schema, as one partition.
+
+    The values become literals of the plan, so unlike `createDataFrame` no Python worker runs.
+    """
+    base = spark.range(0, 1 if rows else 0, 1, 1)
+
+    def typed(values: Sequence) -> Column:
+        return F.struct(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields)]
+        )
+
+    structs = [typed(values) for values in rows or [[None] * len(schema.fields)]]
+    return base.select(F.inline(F.array(*structs)))
+
+
+def staged(df: DataFrame) -> DataFrame:
     """Materialise `df` on the shared storage and cut its lineage there.
 
     Used where one result feeds several actions (gate, key offsets, write). The copy outlives

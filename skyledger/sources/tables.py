@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from skyledger.functions.approach import approach_day
 from skyledger.operators.numbering import dense_number
 from skyledger.schemas import KEY_RANGE, TABLES
-from skyledger.session import staged
+from skyledger.session import literal_rows, staged
 
 LOAD_COLUMN = "load_run"
 MONTH_COLUMN = "storage_month"
@@ -82,7 +82,7 @@ class Warehouse:
         if self.exists(table):
             df = self.spark.read.schema(schema).parquet(self.path(table))
         else:
-            df = self.spark.createDataFrame([], schema)
+            df = literal_rows(self.spark, schema, [])
         return df if without_run is None else df.filter(F.col(LOAD_COLUMN) != without_run)
 
     def read(self, table: str, loads: Sequence[str] | None = None) -> DataFrame:
@@ -138,7 +138,7 @@ class Warehouse:
         """
         rows = df.count()
         base = self._last_key(table, key)
-        reservation = self.spark.createDataFrame([(table, run, base + rows)], KEY_RANGE)
+        reservation = literal_rows(self.spark, KEY_RANGE, [(table, run, base + rows)])
         self.append(reservation, "meta.key_range", table)
         self.append(dense_number(df, natural_key, key, base), table, run)
         return rows

@@ -3,6 +3,10 @@
 import json
 from datetime import date
 
+from pyspark.sql import types as T
+
+from skyledger.session import literal_rows
+
 NEO_COLUMNS = (
     "event_id LONG, neo_id STRING, neo_reference_id STRING, neo_name STRING, "
     "is_potentially_hazardous_asteroid BOOLEAN, absolute_magnitude_h DOUBLE, "
@@ -44,7 +48,7 @@ def event(event_id, neo_id, full="2025-Jan-03 12:34", body="Earth", **changes):
 
 
 def neo_frame(spark, *events):
-    return spark.createDataFrame(list(events), NEO_COLUMNS)
+    return literal_rows(spark, T.StructType.fromDDL(NEO_COLUMNS), events)
 
 
 SATCAT_COLUMNS = (
@@ -76,7 +80,7 @@ def record(id_, norad="25544", day=date(2025, 1, 3), group="active", **changes):
 
 
 def satcat_frame(spark, *records):
-    return spark.createDataFrame(list(records), SATCAT_COLUMNS)
+    return literal_rows(spark, T.StructType.fromDDL(SATCAT_COLUMNS), records)
 
 
 def dicts(df, *order):
