@@ -183,7 +183,7 @@ def silver_satcat_orbit_snapshot(t):
 @query
 def merge_new_neo(t):
     stored = silver_neo.build_neo(t.bronze_neo.filter(_before("close_approach_date")))
-    new = silver_neo.new_neos(t.objects, stored)
+    new = staged(silver_neo.new_neos(t.objects, stored))
     return silver_neo.number_neos(new, stored).select(
         "neo_sk", "neo_id", "name", "first_seen_date", "last_seen_date"
     )
@@ -194,7 +194,7 @@ def merge_new_approach(t):
     early = t.bronze_neo.filter(_before("close_approach_date"))
     stored = silver_neo.build_approaches(early, silver_neo.build_neo(early))
     new = silver_neo.new_approaches(t.facts, stored)
-    keyed = silver_neo.with_neo_key(new, t.neo)
+    keyed = staged(silver_neo.with_neo_key(new, t.neo))
     return silver_neo.number_approaches(keyed, stored).select(
         "approach_sk", "neo_sk", *silver_neo.APPROACH_KEY, "miss_distance_km"
     )
@@ -202,9 +202,8 @@ def merge_new_approach(t):
 
 @query
 def merge_new_satellite(t):
-    early = t.bronze_satcat.filter(_before("snapshot_date"))
-    stored = silver_satcat.build_satellites(early)
-    new = silver_satcat.new_satellites(t.catalog, stored)
+    stored = silver_satcat.build_satellites(t.records.filter(_before("snapshot_date")))
+    new = staged(silver_satcat.new_satellites(t.catalog, stored))
     return silver_satcat.number_satellites(new, stored).select(
         "satellite_sk", "norad_cat_id", "object_name", "first_seen_date"
     )
@@ -212,10 +211,10 @@ def merge_new_satellite(t):
 
 @query
 def merge_new_snapshot(t):
-    early = t.bronze_satcat.filter(_before("snapshot_date"))
+    early = t.records.filter(_before("snapshot_date"))
     stored = silver_satcat.build_snapshots(early, silver_satcat.build_satellites(early))
     new = silver_satcat.new_snapshots(t.orbits, stored)
-    keyed = silver_satcat.with_satellite_key(new, t.satellites)
+    keyed = staged(silver_satcat.with_satellite_key(new, t.satellites))
     return silver_satcat.number_snapshots(keyed, stored).select(
         "orbit_snapshot_sk", "satellite_sk", *silver_satcat.SNAPSHOT_KEY, "apogee_km"
     )
@@ -251,12 +250,12 @@ def gold_satcat_orbit_summary(t):
 
 @query
 def gold_ai_neo_features(t):
-    return gold.ai_neo_features(t.approaches, t.objects)
+    return gold.ai_neo_features(t.approaches, t.neo)
 
 
 @query
 def gold_ai_satcat_features(t):
-    return gold.ai_satcat_features(t.catalog, t.snapshots)
+    return gold.ai_satcat_features(t.satellites, t.snapshots)
 
 
 # --- analyst queries: approaches ---------------------------------------------
@@ -274,7 +273,7 @@ def approaches_within_ld_weekly(t):
 
 @query
 def top_closest_approaches(t):
-    return analysis.top_closest(t.approaches, t.objects)
+    return analysis.top_closest(t.approaches, t.neo)
 
 
 @query
@@ -295,7 +294,7 @@ def discovery_monthly(t):
 @query
 def hazard_briefing_7d(t):
     return analysis.hazard_briefing(
-        t.approaches, t.objects, F.lit(BRIEFING_DAY).cast("date"), LUNAR_LIMIT
+        t.approaches, t.neo, F.lit(BRIEFING_DAY).cast("date"), LUNAR_LIMIT
     )
 
 
@@ -400,7 +399,8 @@ def _unkeyed_silver_tables(t: Inputs) -> dict[str, DataFrame]:
 
 @query
 def dq_job_checks(t):
-    return quality.evaluate_all(_unkeyed_silver_tables(t), JOB_GATES)
+    tables = {name: staged(df) for name, df in _unkeyed_silver_tables(t).items()}
+    return quality.evaluate_all(tables, JOB_GATES)
 
 
 @query
@@ -419,7 +419,7 @@ def dq_table_tests(t):
 
 @query
 def dq_pass_rates(t):
-    return ledger.record_pass_rates(quality.evaluate_all(_unkeyed_silver_tables(t), JOB_GATES))
+    return ledger.record_pass_rates(dq_job_checks(t))
 
 
 @query
@@ -624,14 +624,14 @@ def stream_quarantine(t):
 
 @query
 def ml_stratified_split(t):
-    features = gold.ai_neo_features(t.approaches, t.objects)
+    features = gold.ai_neo_features(t.approaches, t.neo)
     return ml.stratified_split(
         features.select("approach_sk", "is_hazardous_label"), "approach_sk", "is_hazardous_label"
     )
 
 
 def _features(t: Inputs) -> DataFrame:
-    return gold.ai_neo_features(t.approaches, t.objects)
+    return gold.ai_neo_features(t.approaches, t.neo)
 
 
 @query

@@ -172,11 +172,11 @@ class Inputs:
 
     @cached_property
     def satellites(self) -> DataFrame:
-        return silver_satcat.build_satellites(self.bronze_satcat)
+        return silver_satcat.build_satellites(self.records)
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return silver_satcat.build_snapshots(self.bronze_satcat, self.satellites)
+        return silver_satcat.build_snapshots(self.records, self.satellites)
 
     # The same rows without surrogate keys, for queries that return none.
 

@@ -11,6 +11,7 @@ from skyledger.operators.lookup import lookup
 from skyledger.operators.merge import not_yet_in
 from skyledger.operators.numbering import dense_number, next_base
 from skyledger.schemas import DIAMETER, DISTANCE, SILVER_APPROACH, SILVER_NEO, VELOCITY
+from skyledger.session import staged
 
 DIM_KEY = ["neo_id"]
 APPROACH_KEY = ["neo_id", "close_approach_date_full", "orbiting_body"]
@@ -113,10 +114,10 @@ def number_approaches(new: DataFrame, existing: DataFrame | None = None) -> Data
 
 
 def build_neo(bronze: DataFrame) -> DataFrame:
-    """Full build of the dimension from bronze."""
-    return number_neos(neo_candidates(bronze))
+    """Full build of the dimension from bronze; staged once, as the numbering reads it twice."""
+    return number_neos(staged(neo_candidates(bronze)))
 
 
 def build_approaches(bronze: DataFrame, neo: DataFrame) -> DataFrame:
     """Full build of the fact table from bronze."""
-    return number_approaches(with_neo_key(approach_candidates(bronze), neo))
+    return number_approaches(staged(with_neo_key(approach_candidates(bronze), neo)))

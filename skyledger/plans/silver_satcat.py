@@ -10,6 +10,7 @@ from skyledger.operators.dedup import first_per_key
 from skyledger.operators.merge import not_yet_in
 from skyledger.operators.numbering import dense_number, next_base
 from skyledger.schemas import SATCAT_FIELDS, SILVER_SATELLITE, SILVER_SNAPSHOT
+from skyledger.session import staged
 
 DIM_KEY = ["norad_cat_id"]
 SNAPSHOT_KEY = ["norad_cat_id", "snapshot_date"]
@@ -132,13 +133,12 @@ def number_snapshots(new: DataFrame, existing: DataFrame | None = None) -> DataF
     return numbered.select(*[c for c in SILVER_SNAPSHOT.fieldNames() if c in numbered.columns])
 
 
-def build_satellites(bronze: DataFrame) -> DataFrame:
-    """Full build of the dimension from bronze."""
-    return number_satellites(satellite_candidates(parse_records(bronze)))
+def build_satellites(records: DataFrame) -> DataFrame:
+    """Full build of the dimension; staged once, as the numbering reads it twice."""
+    return number_satellites(staged(satellite_candidates(records)))
 
 
-def build_snapshots(bronze: DataFrame, satellites: DataFrame) -> DataFrame:
-    """Full build of the fact table from bronze."""
-    return number_snapshots(
-        with_satellite_key(snapshot_candidates(parse_records(bronze)), satellites)
-    )
+def build_snapshots(records: DataFrame, satellites: DataFrame) -> DataFrame:
+    """Full build of the fact table."""
+    snapshots = snapshot_candidates(records)
+    return number_snapshots(staged(with_satellite_key(snapshots, satellites)))

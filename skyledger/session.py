@@ -66,13 +66,12 @@ def literal_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[Seque
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Materialise `df` on the shared storage and cut its lineage there.
+    """Write `df` as a table on the shared storage and read it back, which cuts its lineage there.
 
-    Used where one result feeds several actions (gate, key offsets, write). The copy outlives
-    lost executors.
+    Used where one result feeds several actions (gate, key numbering, write). The copy outlives
+    lost executors, and each later action reads only the columns it needs.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = fresh_dir(spark, "staged")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

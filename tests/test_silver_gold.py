@@ -118,7 +118,7 @@ def test_satellite_takes_the_latest_record(spark):
         record(1, day=date(2025, 1, 4), OWNER="NEW"),
         record(2, day=date(2025, 1, 3), OWNER="OLD"),
     )
-    row = dicts(silver_satcat.build_satellites(bronze))[0]
+    row = dicts(silver_satcat.build_satellites(silver_satcat.parse_records(bronze)))[0]
     assert (row["owner"], row["first_seen_date"], row["last_seen_date"]) == (
         "NEW", date(2025, 1, 3), date(2025, 1, 4),
     )
