@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="skyledger-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="skyledger-")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -75,7 +75,9 @@ def test_registry_keeps_one_active_version(spark):
     assert [r["model_version"] for r in registry.orderBy("model_version").collect()] == [1, 2, 3]
     active = ml.active_models(registry).collect()
     assert [(r["model_name"], r["model_version"], r["artifact_uri"]) for r in active] == [("m", 2, "/models/m/2")]
-    predictions = registry.select("model_id").crossJoin(spark.range(3)).select(
+    predictions = registry.select(
+        "model_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("id")
+    ).select(
         "model_id", F.col("id").cast("string").alias("entity_key"),
         F.col("id").cast("string").alias("snapshot_ref"), F.lit("1").alias("predicted_label"),
         (F.col("id") / 10).alias("predicted_score"),
