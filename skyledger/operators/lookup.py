@@ -7,13 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
 PARTS = 4096  # no join group holds more than about 1/PARTS of the rows
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counted bound, which stops at the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
+PART_ROWS = 256  # nor is a group worth splitting below this size
 
 
 def lookup(
@@ -22,19 +17,20 @@ def lookup(
     keys: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Join `rows` to `side`, which has few rows per key. `how` is 'inner' or 'left_semi'.
+    """Join `rows` to `side`, which has few rows per key. `how` is 'inner', 'left' or 'left_semi'.
+
+    Keys that hold more than 1/PARTS of the rows (so fewer than PARTS keys) are spread: each of
+    their rows gets a part number from a hash of `spread_by`, and their rows of `side` are repeated
+    once per part. All other keys keep one part. The plan is the same at every size; where `side`
+    turns out to be small, adaptive execution broadcasts it by its measured bytes.
 
-    A side within the counted bound is broadcast, and `rows` stay where they are. A larger side is
-    joined by shuffle. Keys that hold more than 1/PARTS of the rows (so fewer than PARTS keys) are
-    then spread: each of their rows gets a part number from a hash of `spread_by`, and their rows
-    of `side` are repeated once per part. All other keys keep one part.
+    `counts` (the keys and a column `_n`) saves the count of rows per key where it is known.
     """
-    if is_small(side, max_broadcast_rows):
-        return rows.join(F.broadcast(side), list(keys), how)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg(F.sum("_n")).scalar() / F.lit(PARTS)
+    if counts is None:
+        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.greatest(counts.agg(F.sum("_n")).scalar() / F.lit(PARTS), F.lit(float(PART_ROWS)))
     hot = counts.filter(F.col("_n") > share).select(
         *keys, F.ceil(F.col("_n") / share).cast("int").alias("_parts")
     )
