@@ -7,26 +7,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import neardup
+from skyledger.llm import decontaminate, neardup, packing, quality_rules, spans
 from skyledger.session import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    return quality_rules.keep_good(docs)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate group."""
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8)."""
     return neardup.keep_one(docs)
 
 
+def repeated_span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the sentences that an earlier document has too; n_chars follows the text."""
+    cut = spans.without_repeats(docs)
+    length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return cut.withColumn("n_chars", length).select(*docs.columns)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.without_leaks(docs, benchmark)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces of all documents in sequences."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("repeated_spans", repeated_span_stage),
+    ("decontamination", benchmark_stage),
+    ("packing", packing_stage),
 ]
 
+#: Signatures, edit distance and token ids are not SQL; the tests hold the stages against
+#: brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents in `sf_dir`."""
+    """All stages over the documents in `sf_dir`, each over the written table of the one before."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.components import components
@@ -33,6 +33,7 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BAND_ROWS = 4
 BLOCK = 256
+_GONE = "_near_duplicate"
 #: Pairs whose signatures agree in fewer registers are not compared: at a similarity of 0.8 that is
 #: five standard deviations below the mean.
 SLACK = 0.18
@@ -48,6 +49,38 @@ def near_duplicates(
     (component NULL, kept). Rows with equal doc_id are one node of the graph: they share their
     component, and repeated rows give repeated results. Other columns of `docs` are ignored.
     """
+    sketch, grouped = _groups(docs, shingle_words, percent)
+    return (
+        sketch.select("doc_id", "n_shingles")
+        .join(grouped.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.coalesce("component", "doc_id").alias("component_id"),
+            F.col("doc_id").eqNullSafe(F.coalesce("component", "doc_id")).alias("kept"),
+        )
+    )
+
+
+def keep_one(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of `docs` whose doc_id is the least of its group, with all their columns.
+
+    Of several rows with that doc_id the one with the least text hash stays. Rows without doc_id
+    stay, and so do texts without words.
+    """
+    _, grouped = _groups(docs, shingle_words, percent)
+    gone = grouped.filter("id != component").select(F.col("id").alias(_GONE))
+    named = docs.filter("doc_id IS NOT NULL")
+    left = named.join(gone, F.col("doc_id").cast("long") == F.col(_GONE), "left_anti")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    one = left.withColumn(_GONE, place).filter(F.col(_GONE) == 1).drop(_GONE)
+    return one.union(docs.filter("doc_id IS NULL"))
+
+
+def _groups(docs: DataFrame, shingle_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sketch of each row, and (id, component) of all documents that are linked."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = staged(
         docs.mapInArrow(
@@ -95,17 +128,7 @@ def near_duplicates(
     links = staged(_verified(spokes, sets, percent).union(copy_links))
     settled = components(links)
     open_links = _search_blocks(in_buckets, settled, sets, percent)
-    grouped = components(links.union(open_links))
-    return (
-        sketch.select("doc_id", "n_shingles")
-        .join(grouped.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.coalesce("component", "doc_id").alias("component_id"),
-            F.col("doc_id").eqNullSafe(F.coalesce("component", "doc_id")).alias("kept"),
-        )
-    )
+    return sketch, components(links.union(open_links))
 
 
 def _verified(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

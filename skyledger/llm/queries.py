@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import neardup
+from skyledger.llm import (
+    chat,
+    decontaminate,
+    neardup,
+    packing,
+    quality_rules,
+    spans,
+    token_counts,
+    urls,
+)
+from skyledger.session import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,3 +33,55 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op2_minhash_groups(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
+
+
+@_query
+def op1_token_counts(spark, sf_dir):
+    histogram = token_counts.length_histogram(_table(spark, sf_dir, "documents"))
+    return token_counts.suffix_totals(staged(histogram))
+
+
+@_query
+def op10_best_two_fit(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_rule_cascade(spark, sf_dir):
+    return quality_rules.judged(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_pigeonhole_leaks(spark, sf_dir):
+    return decontaminate.leaks(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+@_query
+def op8_sentence_spans(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.without_repeats(docs, with_counts=True)
+
+
+@_query
+def op6_chat_segments(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = chat.extra_turns(turns, -7, [("user", said), ("assistant", said)])
+    return chat.digests(chat.format_chats(turns.unionByName(extra)))
+
+
+URL_RULES = (
+    urls.Rule("org/", urls.ALLOW),
+    urls.Rule("example.org/es/", urls.BLOCK),
+    urls.Rule("example.org/en/1", urls.BLOCK),
+    urls.Rule("com/fr/", urls.ALLOW),
+    urls.Rule("com/de/", urls.BLOCK),
+)
+
+
+@_query
+def op7_url_verdicts(spark, sf_dir):
+    model = urls.train(urls.labelled_urls(spark))
+    return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES, model)

@@ -2,7 +2,7 @@
 
 A word is a run of bytes outside a separator class. Its fingerprint is a 64-bit polynomial over
 per-byte random values, so that all words of a batch are hashed by a few array operations.
-Texts are UTF-8; A-Z count as a-z; NULL is the empty text. Work proceeds in slices of about
+Texts are UTF-8; NULL is the empty text. Work proceeds in slices of about
 SLICE_BYTES that end at a separator, so memory stays a small multiple of the longest text.
 """
 
@@ -28,11 +28,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Alphabet:
-    """Separator class and random value of each byte."""
+    """Separator class and random value of each byte; `fold` gives A-Z the values of a-z."""
 
-    def __init__(self, separators: bytes, seed: int):
+    def __init__(self, separators: bytes, seed: int, fold: bool = True):
         values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(seed * 2 + 1))
-        values[65:91] = values[97:123]
+        if fold:
+            values[65:91] = values[97:123]
         self.values = values
         self.inside = np.ones(256, bool)
         self.inside[np.frombuffer(separators, np.uint8)] = False
@@ -40,6 +41,8 @@ class Alphabet:
 
 #: Words are `[^\x20\x09-\x0D]+`.
 SPACED = Alphabet(b" \t\n\x0b\x0c\r", 11)
+#: The same words, case kept.
+SPACED_CASED = Alphabet(b" \t\n\x0b\x0c\r", 17, fold=False)
 #: Words are `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after A-Z became a-z.
 ALNUM = Alphabet(
     bytes(b for b in range(128) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122)), 13
@@ -106,6 +109,22 @@ def slices(texts: Texts, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, Te
         i = j
 
 
+def subset(texts: Texts, chosen: np.ndarray) -> Texts:
+    """The texts with the given numbers."""
+    spans = [texts.data[texts.offsets[k] : texts.offsets[k + 1]] for k in chosen]
+    ends = np.cumsum([0, *(len(s) for s in spans)])
+    return Texts(np.concatenate(spans) if spans else texts.data[:0], ends.astype(np.int64))
+
+
+def prefix_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of values[i] * ODD**i, and the inverse powers: (sum[b] - sum[a]) * inverse[a]
+    is a fingerprint of values[a:b] that depends on nothing else."""
+    up, down = _Powers.upto(len(values))
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return total, down
+
+
 def _bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(inside)
     first, last = inside.copy(), inside.copy()
@@ -127,9 +146,7 @@ def words_of(texts: Texts, alphabet: Alphabet) -> Words:
         low = start[done]
         stop = max(done + 1, int(np.searchsorted(end, low + SLICE_BYTES, "right")))
         high = end[stop - 1]
-        up, down = _Powers.upto(int(high - low))
-        total = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(alphabet.values[texts.data[low:high]] * up[: high - low], out=total[1:])
+        total, down = prefix_values(alphabet.values[texts.data[low:high]])
         s, e = start[done:stop] - low, end[done:stop] - low
         value[done:stop] = (total[e] - total[s]) * down[s]
         done = stop
