@@ -32,7 +32,8 @@ from skyledger.session import staged
 SHINGLE_WORDS = 5
 PERCENT = 80
 BAND_ROWS = 4
-BLOCK = 256
+BLOCK_SHINGLES = 1 << 20  # of a block's sets together; a cell holds two blocks
+BLOCK_DOCS = 2048
 _GONE = "_near_duplicate"
 #: Pairs whose signatures agree in fewer registers are not compared: at a similarity of 0.8 that is
 #: five standard deviations below the mean.
@@ -146,22 +147,27 @@ def _search_blocks(
     in_buckets: DataFrame, settled: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
     """Further links inside buckets that hold more than one component."""
-    placed = in_buckets.filter("size > 2").join(
-        settled.withColumnRenamed("id", "doc_id"), "doc_id", "left"
-    ).withColumn("component", F.coalesce("component", "doc_id"))
-    # The least member of a bucket has been compared with all others.
-    rest = placed.filter("doc_id != hub").select("band", "doc_id", "component", "size")
+    sizes = sets.select("doc_id", (F.length("shingles") / F.lit(8)).alias("n"))
+    placed = (
+        in_buckets.filter("size > 2 AND doc_id != hub")  # the least member has met all others
+        .join(settled.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        .join(sizes, "doc_id")
+    )
+    rest = placed.select(
+        "band", "doc_id", F.coalesce("component", "doc_id").alias("component"), "n"
+    )
     mixed = (
         rest.groupBy("band")
         .agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
+            F.sum("n").alias("shingles"),
             F.count(F.lit(1)).alias("_n"),
         )
         .filter("low < high")
-        .select("band", "_n")
     )
-    blocks = F.ceil(F.col("size") / F.lit(float(BLOCK))).cast("int")
+    needed = F.greatest(F.col("shingles") / BLOCK_SHINGLES, F.col("_n") / BLOCK_DOCS)
+    per_band = mixed.select("band", F.ceil(needed).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     cells = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -170,8 +176,7 @@ def _search_blocks(
         ),
     )
     dealt = (
-        lookup(rest, mixed.select("band"), ["band"], ["doc_id"], "left_semi", counts=mixed)
-        .withColumn("blocks", blocks)
+        lookup(rest, per_band, ["band"], ["doc_id"], counts=mixed.select("band", "_n"))
         .withColumn("own", own)
         .select("band", "doc_id", "component", "own", F.explode(cells).alias("cell"))
         .select("band", "doc_id", "component", "own", "cell.i", "cell.j")
