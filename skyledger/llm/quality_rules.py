@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import (
+    ALNUM,
     SPACED_CASED,
     Texts,
     Words,
@@ -124,11 +125,33 @@ def _n_repeat_words(c: Counts) -> np.ndarray:
     return np.diff(covered[words.first])
 
 
+def _n_plain_ends(c: Counts) -> np.ndarray:
+    """Words that end in a letter, a digit, a non-ASCII sign or an ordinary stop."""
+    plain = ALNUM.inside.copy()
+    plain[np.frombuffer(b".,;:?", np.uint8)] = True
+    good = plain[c.texts.data[c.words.end - 1]] if len(c.words.end) else np.empty(0, bool)
+    return np.diff(np.concatenate([[0], np.cumsum(good)])[c.words.first])
+
+
+def _n_distinct(c: Counts) -> np.ndarray:
+    size = len(c.texts)
+    owner = np.repeat(np.arange(size), np.diff(c.words.first))
+    _, at = np.unique(mix(c.words.value + owner.astype(np.uint64)), return_index=True)
+    return np.bincount(owner[at], minlength=size)
+
+
 _COUNTERS: dict[str, Callable[[Counts], np.ndarray]] = {
     "n_words": lambda c: np.diff(c.words.first),
     "word_chars": _word_chars,
     "n_symbols": _marked(SYMBOLS),
     "n_shouts": _marked(b"!"),
+    "n_stops": _marked(b".?"),
+    "n_capitals": _marked(bytes(range(ord("A"), ord("Z") + 1))),
+    "n_distinct": _n_distinct,
+    "n_plain_ends": _n_plain_ends,
+    "n_alnum": lambda c: c.per_text(
+        ALNUM.inside[c.texts.data] & ((c.texts.data & 0xC0) != 0x80)
+    ),
     "n_lines": _n_lines,
     "n_dup_lines": _n_dup_lines,
     "n_repeat_words": _n_repeat_words,

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.llm import (
     chat,
     decontaminate,
+    licenses,
     neardup,
     packing,
     quality_rules,
     spans,
     token_counts,
     urls,
+    weak_labels,
 )
 from skyledger.session import staged
 
@@ -85,3 +87,13 @@ URL_RULES = (
 def op7_url_verdicts(spark, sf_dir):
     model = urls.train(urls.labelled_urls(spark))
     return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES, model)
+
+
+@_query
+def op3_license_index(spark, sf_dir):
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_weak_labels(spark, sf_dir):
+    return weak_labels.scored(_table(spark, sf_dir, "documents"))

@@ -28,22 +28,34 @@ class Rule(NamedTuple):
     verdict: str
 
 
-#: Labelled urls that the model is trained from: 1 is to be blocked. They are examples of unwanted
-#: offers and of ordinary sites, and can be replaced by any table (url, label) of a few thousand.
-LABELLED = (
-    *((f"https://{host}/{path}", 1)
-      for host in ("cheap-pills.example.com", "www.pills-online.test", "casino-bonus.test",
-                   "m.win-casino.test", "spam-farm.test", "blog.link-farm.test", "free-bets.test",
-                   "sports-bets.test", "adult-videos.test", "xxx-adult.test", "loans-fast.test",
-                   "win-money.test")
-      for path in ("en/12", "buy-now", "de/free.html", "index.html?ref=x")),
-    *((f"https://{host}/{path}", 0)
-      for host in ("library.test", "www.university.test", "news.daily-paper.test",
-                   "blog.garden.test", "m.weather.test", "docs.software.test", "museum.test",
-                   "recipes.kitchen.test", "travel.islands.test", "history.archive.test",
-                   "www.thering.test", "nation.ththst.test")
-      for path in ("en/12", "about", "de/free.html", "index.html?ref=x")),
+# Names of sites, from which the labelled table is made: words of unwanted offers, and of ordinary
+# sites. Both get the same domains, prefixes and paths, so that only the names tell them apart.
+_UNWANTED = (
+    "cheap-pills pills-online discount-pills casino-bonus casino-win win-casino online-casino "
+    "spam-farm link-farm free-bets sports-bets best-bets adult-videos adult-x xxx-adult "
+    "ads-track ad-tracker fast-loans win-money"
+)
+_ORDINARY = (
+    "library university daily-paper garden weather software museum kitchen islands archive "
+    "nation together brother north winter mountain orchard theatre river station bread ocean "
+    "forest school history thunder thirst other leather tradition motion rethink ether thread "
+    "author method health earth south youth truth growth thesis anthem athlete rhythm thimble "
+    "notion lotion edition ration potion fiction section auction option region union onion "
+    "shadow shining wheel whisper another weaver thorn thistle thatch stone street strand"
+)
+_SHAPES = (
+    "https://{}.example.com/en/12", "http://www.{}.example.net/fr/830.html",
+    "https://m.{}.example.org/de/41?page=2", "http://blog.{}.example.com/es/977/#top",
+    "https://www.{}.test/about", "http://{}.test/index.html",
 )
+#: Labelled urls that the model is trained from: 1 is to be blocked. Any other table (url, label) of
+#: a few thousand rows can take its place.
+LABELLED = tuple(
+    (shape.format(name), label)
+    for names, label in ((_UNWANTED, 1), (_ORDINARY, 0))
+    for name in names.split()
+    for shape in _SHAPES
+)
 
 
 def with_parts(urls: DataFrame) -> DataFrame:
