@@ -1,0 +1,70 @@
+import re
+
+from skyledger.llm import licenses
+from tests.llm.samples import awkward, frame, prose
+
+PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
+
+
+def base(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    places = []
+    for label, phrase in PHRASES.items():
+        p = phrase.split()
+        places += [(k, label) for k in range(len(words)) if words[k : k + len(p)] == p]
+    starts = [k for k, _ in places]
+    labels = ",".join(sorted({x for _, x in places}))
+    return (len(words), len(places), min(starts, default=None), max(starts, default=None), labels)
+
+
+def files():
+    mit = licenses.TEMPLATES[3].text
+    return [
+        (40, "Released under the MIT License."), (41, "under-the mit_license, Under The MIT license"),
+        (42, "Licensed under the Apache License, Version 2.0. cc by nc by nc. CC BY-NC 4.0"),
+        (43, prose(1, 50) + "\n" + mit.capitalize() + ". " + prose(2, 20)),
+        (44, "This work is licensed under the GNU General Public License, version 3."),
+        (45, "GNU General Public License, version 2"), (46, "cc by" + "\xa0nc"), (47, "cc by nc" * 2),
+        (48, "permission is hereby granted free of charge"), (49, "All rights reserved."),
+        (50, "mit license mit license apache apache license version 2" * 3),
+    ]
+
+
+def test_base_equals_brute_force(spark):
+    rows = awkward() + files()
+    found = licenses.scan(frame(spark, rows))
+    got = [
+        (r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"])
+        for r in found.collect()
+    ]
+    assert sorted(got, key=str) == sorted([(i, *base(t)) for i, t in rows], key=str)
+
+
+def test_labels_and_scores(spark):
+    found = {r["doc_id"]: r for r in licenses.scan(frame(spark, files() + awkward())).collect()}
+    labels = {i: found[i]["labels"] for i, _ in files()}
+    assert labels[43] == "mit" and labels[44] == "gpl-3" and labels[49] == "all-rights-reserved"
+    assert labels[42] == "apache-2,cc-by-nc" and labels[40] == "mit"
+    assert labels[48] == ""  # the phrase alone is too little of that text
+    for r in found.values():
+        assert set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(","))
+        assert 0 <= r["score"] <= 1 and (r["score"] > 0) == (r["labels"] != "")
+
+
+def test_every_template_is_found_in_its_own_text(spark):
+    rows = [(k, f"{prose(k, 30)} {t.text} {prose(k, 9)}") for k, t in enumerate(licenses.TEMPLATES)]
+    found = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(frame(spark, rows)).collect()}
+    assert all(t.label in found[k] for k, t in enumerate(licenses.TEMPLATES))
+
+
+def test_frequencies_count_all_rows(spark):
+    n, frequency = licenses.document_frequencies(frame(spark, files() + awkward()))
+    assert n == len(files() + awkward())
+    known = licenses.vocabulary(licenses.TEMPLATES).tolist()
+    word = known.index(int(licenses._values("mit")[0]))
+    assert frequency[word] == sum("mit" in re.findall("[a-z0-9]+", (t or "").lower()) for _, t in files())
+
+
+def test_empty_table(spark):
+    assert licenses.scan(frame(spark, files()).limit(0)).isEmpty()
