@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.ledger import run_state
 from skyledger.plans import silver_neo, silver_satcat
+from skyledger.session import staged
 
 REDELIVERED_OFFSET = 1_000_000_000_000
 
@@ -190,7 +191,8 @@ class Inputs:
 
     @cached_property
     def records(self) -> DataFrame:
-        return silver_satcat.parse_records(self.bronze_satcat)
+        """Typed records, staged: their JSON is built and parsed once for all that read them."""
+        return staged(silver_satcat.parse_records(self.bronze_satcat))
 
     @cached_property
     def catalog(self) -> DataFrame:

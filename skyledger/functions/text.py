@@ -12,7 +12,12 @@ def normalized(column: Column) -> Column:
 
 
 def to_number(column: Column, type_name: str = "double") -> Column:
-    """Cast text to a number; malformed or empty text gives NULL."""
+    """Cast text to a number; malformed or empty text gives NULL.
+
+    An integer may be written with a fraction (`5.0`), which is cut off.
+    """
+    if type_name in ("int", "bigint"):
+        return column.try_cast("decimal(38,18)").try_cast(type_name)
     return column.try_cast(type_name)
 
 

@@ -36,9 +36,14 @@ def load_once(arrivals: DataFrame, existing: DataFrame, guard: Sequence[str]) ->
     """Arrivals of those guard groups of which nothing is stored yet.
 
     One group (a whole snapshot) may hold most arrivals. So the groups are compared first, as
-    distinct keys, and the arrivals are then filtered by the short list of open groups.
+    distinct keys, and the arrivals are then filtered by the short list of open groups. NULL is an
+    ordinary value of a group: the filter compares the guard as one struct.
     """
     open_groups = not_yet_in(
         arrivals.select(*guard).distinct(), existing.select(*guard).distinct(), guard
     )
-    return lookup(arrivals, open_groups, guard, arrivals.columns, "left_semi")
+    group = F.struct(*guard).alias("_guard")
+    return lookup(
+        arrivals.select("*", group), open_groups.select(group), ["_guard"], arrivals.columns,
+        "left_semi",
+    ).drop("_guard")

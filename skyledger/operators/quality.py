@@ -123,12 +123,6 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return counted.join(dim.select(key), key, "left_anti")
 
 
-def assert_not_null(df: DataFrame, column: str) -> None:
-    """Raise if `column` holds a NULL."""
-    if not df.filter(F.col(column).isNull()).isEmpty():
-        raise ValueError(f"Null values detected in {column}")
-
-
 class QualityGateError(ValueError):
     """At least one data-quality check failed."""
 

@@ -35,18 +35,15 @@ def approaches_within(approaches: DataFrame, lunar_distances: float, period: str
 def top_closest(approaches: DataFrame, neo: DataFrame, limit: int = 20) -> DataFrame:
     """The closest approaches with name, velocity and hazard flag.
 
-    Ranked before the join: each fact has exactly one dimension row (its foreign key and the
-    unique object id are part of the quality checks). So only `limit` rows reach the join, and the
-    facts are not shuffled.
+    Facts without a dimension row do not count. They are left out by a semi join on the key alone;
+    the names are fetched for the `limit` rows that remain.
     """
     order = [F.asc_nulls_last("miss_distance_lunar"), F.asc("approach_sk")]
-    ranked = (
-        approaches.select(
-            "approach_sk", "neo_id", "close_approach_date", "miss_distance_lunar", "rel_velocity_km_s"
-        )
-        .orderBy(*order)
-        .limit(limit)
+    measures = approaches.select(
+        "approach_sk", "neo_id", "close_approach_date", "miss_distance_lunar", "rel_velocity_km_s"
     )
+    known = lookup(measures, neo.select("neo_id"), ["neo_id"], ["approach_sk"], "left_semi")
+    ranked = known.orderBy(*order).limit(limit)
     names = neo.select("neo_id", "name", "is_potentially_hazardous_asteroid")
     return names.join(F.broadcast(ranked), "neo_id", "inner").orderBy(*order).select(
         "approach_sk",
@@ -342,21 +339,28 @@ def freshness(table: DataFrame, moment: str, now: Column, limit_hours: int = 24)
 
 
 def reconcile_daily_activity(daily: DataFrame, approaches: DataFrame) -> DataFrame:
-    """Days with the approaches of the mart, of the facts, and the difference."""
+    """Days of the mart or of the facts, with the approaches of both and the difference."""
     direct = approaches.groupBy("close_approach_date").agg(F.count(F.lit(1)).alias("silver_total"))
-    mart = daily.select("close_approach_date", F.col("total_approaches").alias("gold_total"))
-    both = mart.withColumn("_day", F.col("close_approach_date")).drop("close_approach_date").join(
-        direct, F.col("_day").eqNullSafe(F.col("close_approach_date")), "right"
+    mart = daily.select(
+        F.col("close_approach_date").alias("_day"), F.col("total_approaches").alias("gold_total")
     )
-    gold = F.coalesce("gold_total", F.lit(0))
+    both = mart.join(direct, F.col("_day").eqNullSafe(F.col("close_approach_date")), "full")
+    gold, silver = (F.coalesce(c, F.lit(0)) for c in ("gold_total", "silver_total"))
     return both.select(
-        "close_approach_date",
+        F.coalesce("close_approach_date", "_day").alias("close_approach_date"),
         gold.alias("gold_total"),
-        "silver_total",
-        (gold - F.col("silver_total")).alias("difference"),
+        silver.alias("silver_total"),
+        (gold - silver).alias("difference"),
     )
 
 
+def daily_activity_by_date(daily: DataFrame) -> DataFrame:
+    """The daily mart, oldest day first, with the place of each day."""
+    place = F.row_number().over(Window.orderBy(F.asc_nulls_last("close_approach_date")))
+    # One row per day, however many approaches there are.
+    return daily.withColumn("place", place.cast("long")).orderBy("place")
+
+
 def reconcile_totals(
     daily: DataFrame, hazard: DataFrame, approaches: DataFrame
 ) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,7 +16,13 @@ from pyspark.ml.evaluation import (
     ClusteringEvaluator,
     MulticlassClassificationEvaluator,
 )
-from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer,
+    IndexToString,
+    StandardScaler,
+    StringIndexer,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,12 +72,11 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 def train_hazard(features: DataFrame, trees: int = 20, depth: int = 5) -> tuple[PipelineModel, DataFrame]:
     """Train the hazard model on the training split; returns it with its test metrics.
 
-    Rows without all features are left out of training and test.
+    A missing feature is replaced by its median over the training split, in training, test and
+    scoring alike.
     """
-    complete = features.dropna(subset=list(HAZARD_FEATURES)).select(
-        "approach_sk", "is_hazardous_label", *HAZARD_FEATURES
-    )
-    split = stratified_split(complete, "approach_sk", "is_hazardous_label").persist(
+    rows = features.select("approach_sk", "is_hazardous_label", *HAZARD_FEATURES)
+    split = stratified_split(rows, "approach_sk", "is_hazardous_label").persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
@@ -79,8 +85,13 @@ def train_hazard(features: DataFrame, trees: int = 20, depth: int = 5) -> tuple[
             featuresCol="features", labelCol="is_hazardous_label", weightCol="weight",
             numTrees=trees, maxDepth=depth, seed=SEED,
         )
-        assembler = VectorAssembler(inputCols=list(HAZARD_FEATURES), outputCol="features")
-        model = Pipeline(stages=[assembler, forest]).fit(train)
+        filled = [f"_filled_{c}" for c in HAZARD_FEATURES]
+        stages = [
+            Imputer(strategy="median", inputCols=list(HAZARD_FEATURES), outputCols=filled),
+            VectorAssembler(inputCols=filled, outputCol="features"),
+            forest,
+        ]
+        model = Pipeline(stages=stages).fit(train)
         return model, binary_metrics(model.transform(split.filter("split = 'test'")))
     finally:
         split.unpersist()
@@ -118,15 +129,15 @@ def metric_gate(metrics: DataFrame, threshold: float = MIN_ROC_AUC) -> tuple[Dat
 
 
 def score_hazard(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """A hazard score for every approach; a missing feature counts as 0 for scoring."""
-    filled = features.fillna(0.0, subset=list(HAZARD_FEATURES))
-    scored = model.transform(filled)
-    return scored.select(
+    """A hazard score for every approach; `is_imputed` marks those with a missing feature."""
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in HAZARD_FEATURES])
+    return model.transform(features).select(
         F.lit("neo").alias("entity_type"),
         F.col("neo_id").alias("entity_key"),
         F.col("approach_sk").cast("string").alias("snapshot_ref"),
         F.col("prediction").cast("int").cast("string").alias("predicted_label"),
         vector_to_array("probability").getItem(1).alias("predicted_score"),
+        missing.alias("is_imputed"),
     )
 
 
@@ -138,7 +149,11 @@ def prediction_rows(scores: DataFrame, model_id: str, run_id: str) -> DataFrame:
             "prediction_id"
         ),
         F.lit(model_id).alias("model_id"),
-        "*",
+        "entity_type",
+        "entity_key",
+        "snapshot_ref",
+        "predicted_label",
+        "predicted_score",
         F.lit(run_id).alias("inference_run_id"),
         F.current_timestamp().alias("created_at"),
     )
@@ -189,7 +204,7 @@ def top_predictions(
     return (
         predictions.join(F.broadcast(active), "model_id", "inner")  # one row
         .select("entity_key", "snapshot_ref", "predicted_label", "predicted_score")
-        .orderBy(F.desc_nulls_last("predicted_score"), "snapshot_ref")
+        .orderBy(F.desc_nulls_last("predicted_score"), "snapshot_ref", "entity_key")
         .limit(limit)
     )
 
@@ -197,15 +212,18 @@ def top_predictions(
 # --- orbits -----------------------------------------------------------------
 
 
-def _latest_complete(snapshots: DataFrame) -> DataFrame:
+def _latest_orbits(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Latest orbit of every satellite, and those of them without a missing feature."""
     columns = ["norad_cat_id", "snapshot_date", *ORBIT_FEATURES]
-    return latest_snapshots(snapshots.select(*columns)).dropna(subset=list(ORBIT_FEATURES))
+    latest = latest_snapshots(snapshots.select(*columns))
+    return latest, latest.dropna(subset=list(ORBIT_FEATURES))
 
 
 def train_regime(snapshots: DataFrame, trees: int = 20, depth: int = 8) -> tuple[PipelineModel, DataFrame]:
     """Train a classifier of the orbit regime on latest snapshots; returns it with the scored
-    test rows (`orbit_regime`, `predicted_regime`)."""
-    labelled = with_regime(_latest_complete(snapshots))
+    test rows (`orbit_regime`, `predicted_regime`). Satellites whose latest orbit lacks a feature
+    take no part in training and test."""
+    labelled = with_regime(_latest_orbits(snapshots)[1])
     split = stratified_split(labelled, "norad_cat_id", "orbit_regime").persist(
         StorageLevel.MEMORY_AND_DISK
     )
@@ -228,6 +246,34 @@ def train_regime(snapshots: DataFrame, trees: int = 20, depth: int = 8) -> tuple
     return model, model.transform(split.filter("split = 'test'"))
 
 
+def predicted_regimes(model: PipelineModel, snapshots: DataFrame) -> DataFrame:
+    """(norad_cat_id, orbit_regime, predicted_regime) of every satellite by its latest orbit; the
+    prediction is NULL where a feature is missing."""
+    latest, complete = _latest_orbits(snapshots)
+    predicted = model.transform(complete).select("norad_cat_id", "predicted_regime")
+    return with_regime(latest).join(predicted, "norad_cat_id", "left").select(
+        "norad_cat_id", "orbit_regime", "predicted_regime"
+    )
+
+
+def class_metrics(scored: DataFrame, label: str, prediction: str) -> DataFrame:
+    """accuracy and macro_f1 (mean F1 of the classes of `label`) as rows (metric_name,
+    metric_value). A NULL prediction is wrong; no rows give no metric."""
+    pairs = scored.groupBy(F.col(label).alias("a"), F.col(prediction).alias("b")).agg(
+        F.count(F.lit(1)).alias("n")
+    )  # one row per pair of classes
+    hit = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)
+    actual = pairs.groupBy("a").agg(F.sum("n").alias("actual"), F.sum(hit).alias("hits"))
+    guessed = pairs.groupBy("b").agg(F.sum("n").alias("guessed"))
+    f1 = 2.0 * F.col("hits") / (F.col("actual") + F.coalesce("guessed", F.lit(0)))
+    totals = actual.filter("a IS NOT NULL").join(guessed, F.col("a") == F.col("b"), "left").agg(
+        (F.sum("hits") / F.sum("actual")).alias("accuracy"), F.avg(f1).alias("macro_f1")
+    )
+    rows = [F.struct(F.lit(m).alias("metric_name"), F.col(m).alias("metric_value"))
+            for m in ("accuracy", "macro_f1")]
+    return totals.select(F.inline(F.array(*rows))).filter("metric_value IS NOT NULL")
+
+
 def regime_agreement(scored: DataFrame) -> DataFrame:
     """Confusion counts of rule and model."""
     return scored.groupBy("orbit_regime", "predicted_regime").agg(
@@ -236,8 +282,12 @@ def regime_agreement(scored: DataFrame) -> DataFrame:
 
 
 def cluster_orbits(snapshots: DataFrame, k: int = 4) -> tuple[DataFrame, float]:
-    """Cluster satellites by their standardized orbit; returns assignments and silhouette."""
-    latest = _latest_complete(snapshots).persist(StorageLevel.MEMORY_AND_DISK)
+    """Cluster satellites by their standardized latest orbit; returns assignments and silhouette.
+
+    Every satellite has a row; its cluster is NULL where a feature is missing.
+    """
+    every, complete = _latest_orbits(snapshots)
+    latest = complete.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stages = [
             VectorAssembler(inputCols=list(ORBIT_FEATURES), outputCol="raw"),
@@ -249,7 +299,8 @@ def cluster_orbits(snapshots: DataFrame, k: int = 4) -> tuple[DataFrame, float]:
         silhouette = ClusteringEvaluator(predictionCol="cluster").evaluate(assigned)
     finally:
         latest.unpersist()
-    return assigned.select("norad_cat_id", "cluster"), silhouette
+    clusters = assigned.select("norad_cat_id", "cluster")
+    return every.select("norad_cat_id").join(clusters, "norad_cat_id", "left"), silhouette
 
 
 def anomaly_scores(anomalies: DataFrame, threshold: float = 3.0) -> DataFrame:

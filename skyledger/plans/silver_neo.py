@@ -98,7 +98,10 @@ def new_approaches(candidates: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def with_neo_key(approaches: DataFrame, neo: DataFrame) -> DataFrame:
-    """Facts with the key of their object; facts without a dimension row are left out."""
+    """Facts with the key of their object; facts without a dimension row are left out.
+
+    The facts should be staged: they are counted per key before they are joined.
+    """
     return lookup(approaches, neo.select("neo_sk", "neo_id"), DIM_KEY, APPROACH_KEY)
 
 
@@ -120,4 +123,4 @@ def build_neo(bronze: DataFrame) -> DataFrame:
 
 def build_approaches(bronze: DataFrame, neo: DataFrame) -> DataFrame:
     """Full build of the fact table from bronze."""
-    return number_approaches(staged(with_neo_key(approach_candidates(bronze), neo)))
+    return number_approaches(staged(with_neo_key(staged(approach_candidates(bronze)), neo)))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
 def build_session(app_name: str = "skyledger", **conf: str) -> SparkSession:
@@ -73,9 +76,34 @@ def staged(df: DataFrame) -> DataFrame:
     """Write `df` as a table on the shared storage and read it back, which cuts its lineage there.
 
     Used where one result feeds several actions (gate, key numbering, write). The copy outlives
-    lost executors, and each later action reads only the columns it needs.
+    lost executors, and each later action reads only the columns it needs. Inside `staging` the copy
+    goes when the block ends; elsewhere it belongs to whoever owns the shared folder.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, "staged")
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what `staged` writes inside the block when it ends, also after an error.
+
+    For jobs that write their results to tables; a frame that is returned from the block must not
+    depend on a staged one.
+    """
+    token = _scope.set(paths := [])
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

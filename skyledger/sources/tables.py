@@ -1,13 +1,16 @@
 """Table storage: Parquet folders with fixed schemas, and JDBC for tables kept in a database.
 
-Every append goes to a `load_run=` folder of its own. A retried run replaces its own partial output
-and leaves finished output alone, so it never doubles a row and never changes a key that others may
-already refer to. A table has one writer at a time.
-
-Large tables are also split by `storage_month`. For approaches this is the month of the
-close-approach date where that date agrees with the day in the natural key, and NULL otherwise. A
-row of a given key is therefore found either under the month of its key or under NULL, and the same
-holds for a given date, so both merges and date filters skip all other months without losing a row.
+A run writes to folders `load_run=<run>`; large tables have them below `storage_month=<month>`, so a
+read that is limited to some months lists only the folders of these, however many runs there are.
+While a run writes, a note `_pending/<run>` stands in the table's folder, and readers leave such runs
+out. A note `_done/<run>` follows. A retried run replaces its own partial output and leaves finished
+output alone, so it never doubles a row and never changes a key that others may already refer to. A
+table has one writer at a time. `compact` merges the runs of a month.
+
+For approaches the storage month is the month of the close-approach date where that date agrees with
+the day in the natural key, and NULL otherwise. A row of a given key is therefore found either under
+the month of its key or under NULL, and the same holds for a given date, so both merges and date
+filters skip all other months without losing a row.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import types as T
 from skyledger.functions.approach import approach_day
 from skyledger.operators.numbering import dense_number
 from skyledger.schemas import KEY_RANGE, TABLES
-from skyledger.session import literal_rows, staged
+from skyledger.session import literal_rows, remove, staged
 
 LOAD_COLUMN = "load_run"
 MONTH_COLUMN = "storage_month"
@@ -45,9 +48,21 @@ STORAGE_MONTH: dict[str, Callable[[], Column]] = {
 }
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path object."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _hadoop(spark, path)
+    return files.exists(hadoop_path)
+
+
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files or folders that a glob pattern finds."""
+    files, hadoop_path = _hadoop(spark, pattern)
+    return sorted(f.getPath().getName() for f in files.globStatus(hadoop_path) or [])
 
 
 class Warehouse:
@@ -66,24 +81,39 @@ class Warehouse:
 
     def finished(self, table: str, run: str) -> bool:
         """True once the run's output to this table is complete."""
-        return path_exists(self.spark, f"{self.path(table)}/{LOAD_COLUMN}={run}/_SUCCESS")
+        return path_exists(self.spark, f"{self.path(table)}/_done/{run}")
+
+    def _note(self, table: str, kind: str, run: str) -> None:
+        files, note = _hadoop(self.spark, f"{self.path(table)}/_{kind}/{run}")
+        files.create(note, True).close()
+
+    def _pending(self, table: str) -> list[str]:
+        return folder_names(self.spark, f"{self.path(table)}/_pending/*")
 
     # --- reading ---
 
-    def stored(self, table: str, without_run: str | None = None) -> DataFrame:
-        """The table with its storage columns; empty where nothing has been written.
+    def _months(self, table: str) -> list[str]:
+        return folder_names(self.spark, f"{self.path(table)}/{MONTH_COLUMN}=*")
 
-        `without_run` leaves out the partial output of one run, for that run's own retry.
-        """
-        schema = T.StructType(list(TABLES[table].fields))
+    def _stored(self, table: str, months: Sequence[str] | None, without_run: str | None) -> DataFrame:
+        """The table, or some of its month folders, with the storage columns."""
+        schema, path = T.StructType(list(TABLES[table].fields)), self.path(table)
         if table in STORAGE_MONTH:
             schema = schema.add(MONTH_COLUMN, T.DateType())
         schema = schema.add(LOAD_COLUMN, T.StringType())
-        if self.exists(table):
-            df = self.spark.read.schema(schema).parquet(self.path(table))
-        else:
-            df = literal_rows(self.spark, schema, [])
-        return df if without_run is None else df.filter(F.col(LOAD_COLUMN) != without_run)
+        paths = [path] if months is None else [f"{path}/{month}" for month in months]
+        if not self.exists(table) or not paths:
+            return literal_rows(self.spark, schema, [])
+        df = self.spark.read.schema(schema).option("basePath", path).parquet(*paths)
+        hidden = [*self._pending(table), *([without_run] if without_run is not None else [])]
+        return df.filter(~F.col(LOAD_COLUMN).isin(*hidden)) if hidden else df
+
+    def stored(self, table: str, without_run: str | None = None) -> DataFrame:
+        """The table with its storage columns; empty where nothing has been written.
+
+        Runs that have not finished are left out, and so is `without_run`, for that run's retry.
+        """
+        return self._stored(table, None, without_run)
 
     def read(self, table: str, loads: Sequence[str] | None = None) -> DataFrame:
         """The table, or only the rows that the given runs loaded."""
@@ -95,12 +125,11 @@ class Warehouse:
     def stored_between(
         self, table: str, first: date | None, last: date | None, without_run: str | None = None
     ) -> DataFrame:
-        """Stored rows that can hold a key or a date of these days; other months are not read."""
-        df = self.stored(table, without_run)
-        month = F.col(MONTH_COLUMN)
-        if first is None:
-            return df.filter(month.isNull())
-        return df.filter(month.isNull() | month.between(F.lit(first.replace(day=1)), F.lit(last)))
+        """Stored rows that can hold a key or a date of these days; other months are not listed."""
+        no_month = f"{MONTH_COLUMN}=__HIVE_DEFAULT_PARTITION__"
+        low, high = (f"{MONTH_COLUMN}={d.replace(day=1)}" if d else "" for d in (first, last))
+        wanted = [m for m in self._months(table) if m == no_month or (low and low <= m <= high)]
+        return self._stored(table, wanted, without_run)
 
     # --- writing ---
 
@@ -117,15 +146,60 @@ class Warehouse:
 
     def append(self, df: DataFrame, table: str, run: str) -> None:
         """Write the output of one run; a second write by that run replaces the first."""
-        out = self.shaped(df, table)
-        target = f"{self.path(table)}/{LOAD_COLUMN}={run}"
+        self._clear(table, run)
+        self._note(table, "pending", run)
+        self._write(self.shaped(df, table), table, run)
+        self._note(table, "done", run)
+        remove(self.spark, f"{self.path(table)}/_pending/{run}")
+
+    def _write(self, out: DataFrame, table: str, run: str) -> None:
+        out = out.withColumn(LOAD_COLUMN, F.lit(run))
+        split = [LOAD_COLUMN]
         if table in STORAGE_MONTH:
             # Rebalancing splits a month that holds most rows over several writers and joins small
             # ones, so neither one huge task nor a mass of small files comes out.
             out = out.withColumn(MONTH_COLUMN, STORAGE_MONTH[table]()).hint("rebalance", MONTH_COLUMN)
-            out.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(target)
-        else:
-            out.write.mode("overwrite").parquet(target)
+            split = [MONTH_COLUMN, LOAD_COLUMN]
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*split).parquet(self.path(table))
+
+    def _clear(self, table: str, run: str) -> None:
+        """Remove what an earlier try of the run has left."""
+        files, pattern = _hadoop(
+            self.spark,
+            f"{self.path(table)}/{MONTH_COLUMN}=*/{LOAD_COLUMN}={run}"
+            if table in STORAGE_MONTH
+            else f"{self.path(table)}/{LOAD_COLUMN}={run}",
+        )
+        for found in files.globStatus(pattern) or []:
+            files.delete(found.getPath(), True)
+
+    def compact(self, table: str, month: date | None, into: str) -> int:
+        """Merge the finished runs of one month into the run `into`; returns how many there were.
+
+        Rows stay as they are, but from then on count as loaded by `into`. For months whose loads
+        have all been processed, while nobody else reads or writes the table. A repeated call after
+        a failure finishes the work: the merged rows are hidden until the old ones are gone.
+        """
+        name = month.replace(day=1) if month else "__HIVE_DEFAULT_PARTITION__"
+        folder = f"{self.path(table)}/{MONTH_COLUMN}={name}"
+        prefix, merged = f"{LOAD_COLUMN}=", f"{self.path(table)}/_merged/{into}"
+        if not path_exists(self.spark, merged):
+            rows = self._stored(table, [f"{MONTH_COLUMN}={name}"], into)
+            runs = rows.select(LOAD_COLUMN).distinct().count()
+            if runs < 2:
+                return 0
+            self._clear(table, into)
+            self._note(table, "pending", into)
+            self._write(rows.select(*TABLES[table].fieldNames()), table, into)
+            self._note(table, "merged", into)
+        hidden = {f"{prefix}{run}" for run in (*self._pending(table), into)}
+        old = [n for n in folder_names(self.spark, f"{folder}/{prefix}*") if n not in hidden]
+        for run_folder in old:
+            remove(self.spark, f"{folder}/{run_folder}")
+        self._note(table, "done", into)
+        remove(self.spark, f"{self.path(table)}/_pending/{into}")
+        return len(old)
 
     def append_keyed(
         self, df: DataFrame, table: str, run: str, key: str, natural_key: Sequence[str]
@@ -157,9 +231,7 @@ class Warehouse:
 
     def overwrite(self, df: DataFrame, table: str) -> None:
         """Replace the whole table."""
-        self.shaped(df, table).write.mode("overwrite").parquet(
-            f"{self.path(table)}/{LOAD_COLUMN}=current"
-        )
+        self.append(df, table, "current")
 
     def register_views(self, tables: Sequence[str]) -> None:
         """Expose tables to SQL as temporary views named `schema_table`."""
@@ -177,7 +249,12 @@ def read_jdbc(
     partitions: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Scan a database table, in parallel where a partition column with its bounds is given."""
+    """Scan a database table in parallel by a partition column with its bounds.
+
+    A table without such a column needs an explicit `partitions=1`: one connection reads it all.
+    """
+    if column is None and partitions != 1:
+        raise ValueError("name a partition column, or ask for partitions=1")
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize="10000", **options)
     if column is not None:
         reader = reader.options(

@@ -7,6 +7,7 @@ after the stream and the batch, so a replayed batch adds nothing twice.
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Event
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.functions.text import day_of_iso_timestamp, to_day
-from skyledger.plans.jobs import append_catalog, land_approaches
+from skyledger.plans.jobs import append_catalog, land_approaches, recorded
 from skyledger.schemas import NEO_MESSAGE, SATCAT_MESSAGE
 from skyledger.sources.tables import Warehouse
 
@@ -97,12 +98,6 @@ def quarantined(parsed: DataFrame, stream: str) -> DataFrame:
     )
 
 
-def _stream_id(df: DataFrame, checkpoint: str) -> str:
-    """Identity of the stream, kept by Spark in its checkpoint. Batch numbers restart with a new
-    checkpoint, so they name a folder only together with this id."""
-    return df.sparkSession.read.schema("id STRING").json(f"{checkpoint}/metadata").first()["id"]
-
-
 def _start(
     messages: DataFrame,
     warehouse: Warehouse,
@@ -112,16 +107,31 @@ def _start(
     land: Callable[[DataFrame, str], int],
     trigger: dict,
 ) -> StreamingQuery:
+    """Start a stream whose batches are runs of the ledger.
+
+    A run is named by the query's id, which its checkpoint keeps, and the batch: batch numbers
+    restart with a new checkpoint.
+    """
+    started, query = Event(), []
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        run = f"{stream}-{_stream_id(batch, checkpoint)}-{batch_id}"
+        started.wait()
+        run = f"{stream}-{query[0].id}-{batch_id}"
         parsed = parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def body(_: str) -> int:
+            landed = land(usable(parsed), run)
+            rejected = quarantined(parsed, stream)
+            if not rejected.isEmpty():
+                warehouse.append(rejected, "bronze.quarantine", run)
+            return landed
+
         try:
-            land(usable(parsed), run)
-            warehouse.append(quarantined(parsed, stream), "bronze.quarantine", run)
+            recorded(warehouse, stream, body, run_id=run, triggered_by="stream")
         finally:
             parsed.unpersist()
 
-    return (
+    query.append(
         messages.writeStream.outputMode("update")
         .queryName(stream)
         .foreachBatch(on_batch)
@@ -129,6 +139,8 @@ def _start(
         .trigger(**trigger)
         .start()
     )
+    started.set()
+    return query[0]
 
 
 def start_approach_stream(

@@ -16,7 +16,8 @@ SILVER = (
 
 def land(warehouse, run, events=(), records=()):
     if events:
-        jobs.land_approaches(warehouse, neo_frame(warehouse.spark, *events).drop("event_id"), run)
+        rows = neo_frame(warehouse.spark, *events).withColumnRenamed("event_id", "position")
+        jobs.land_approaches(warehouse, rows, run, ["position"])
     if records:
         jobs.land_catalog(warehouse, satcat_frame(warehouse.spark, *records).drop("id"), run)
 
@@ -99,6 +100,33 @@ def test_catalog_snapshot_is_loaded_once(warehouse):
     assert jobs.append_catalog(warehouse, again, "c") == 2
 
 
+def test_arrivals_with_a_null_group_stay(warehouse, spark):
+    schema = "snapshot_group STRING, snapshot_date DATE, raw_csv_row STRING, parsed_record STRING"
+    day = date(2025, 1, 3)
+    rows = spark.createDataFrame([(None, day, "r", "{}"), ("a", day, "r", "{}")], schema)
+    assert jobs.land_catalog(warehouse, rows, "l1") == 2
+    assert jobs.land_catalog(warehouse, rows, "l2") == 0
+
+
+def test_first_arrival_wins_whatever_its_text(warehouse):
+    events = [event(1, "a", neo_name="zzz"), event(2, "a", neo_name="aaa")]
+    land(warehouse, "l1", events)
+    assert warehouse.read("bronze.neo_event_raw").first()["neo_name"] == "zzz"
+
+
+def test_staged_copies_go_with_the_run(warehouse, spark):
+    from pathlib import Path
+
+    from skyledger.session import shared_dir
+
+    folder = Path(shared_dir(spark))
+    land(warehouse, "l1", [event(1, "a")])
+    before = set(folder.iterdir())
+    jobs.recorded(warehouse, "p", lambda run: jobs.neo_to_silver(warehouse, run))
+    assert set(folder.iterdir()) == before
+    assert warehouse.read("silver.neo").count() == 1
+
+
 def test_gate_records_before_it_raises(warehouse, spark):
     frame = spark.createDataFrame([(None,)], "a INT")
     with pytest.raises(QualityGateError, match="my_check"):
@@ -168,11 +196,31 @@ def test_failed_and_stale_limits(runs):
 
 
 def test_supervision_raises_only_with_issues(runs):
-    with pytest.raises(ledger.SupervisionError, match="2 issue"):
+    with pytest.raises(ledger.SupervisionError, match="s: 1 failed, oldest f59; s: 1 stale, oldest r16"):
         ledger.supervise(runs, now(), ["s"])
     ledger.supervise(runs, now(), ["unknown"])
 
 
+def test_supervision_counts_all_issues(spark):
+    start = NOW - timedelta(minutes=30)
+    runs = spark.range(50).select(
+        F.lit("s").alias("pipeline_name"), F.format_string("run%02d", "id").alias("run_id"),
+        F.when(F.col("id") < 45, "failed").otherwise("running").alias("status"), F.lit(start).alias("start_time"),
+    )
+    assert ledger.supervision_issues(runs, ["s"], now()).count() == 50
+    with pytest.raises(ledger.SupervisionError, match="s: 45 failed, oldest run00, run01; s: 5 stale"):
+        ledger.supervise(runs, now(), ["s"], shown=2)
+
+
+def test_recent_checks(spark):
+    rows = [(NOW - timedelta(minutes=i), "r", f"c{i}", "pass", 1, 0) for i in range(5)]
+    frame = spark.createDataFrame(
+        rows, "created_at TIMESTAMP, run_id STRING, check_name STRING, status STRING, "
+        "total_records LONG, failed_records LONG",
+    )
+    assert [r["check_name"] for r in ledger.recent_checks(frame, 2).collect()] == ["c0", "c1"]
+
+
 def test_latest_run_health(runs):
     health = {r["pipeline_name"]: r["is_healthy"] for r in ledger.latest_run_health(runs, now(), 24).collect()}
     assert health == {"s": True, "t": False}

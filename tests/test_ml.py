@@ -55,6 +55,13 @@ def test_train_score_and_gate(features):
     assert values["roc_auc"] > 0.9
     scores = ml.score_hazard(model, features)
     assert scores.count() == features.count()
+    assert [r["entity_key"] for r in scores.filter("is_imputed").collect()] == ["gap"]
+    harmless = features.filter("approach_sk = 1").select(
+        "*", *[F.lit(None).cast("double").alias(f"_{c}") for c in ("d",)]
+    ).drop("_d")
+    missing = harmless.withColumn("miss_distance_km", F.lit(None).cast("double"))
+    known, unknown = (ml.score_hazard(model, x).first()["predicted_score"] for x in (harmless, missing))
+    assert unknown < 0.5 and known < 0.5  # a missing distance is not a distance of 0
     assert scores.filter("predicted_score < 0 OR predicted_score > 1").isEmpty()
     rows = ml.prediction_rows(scores, "m1", "run")
     assert rows.select("prediction_id").distinct().count() == rows.count()
@@ -105,7 +112,12 @@ def orbits(spark):
 
 
 def test_regime_model_agrees_with_the_rule(orbits):
-    _, scored = ml.train_regime(orbits, trees=5, depth=3)
+    model, scored = ml.train_regime(orbits, trees=5, depth=3)
+    metrics = {r["metric_name"]: r["metric_value"] for r in
+               ml.class_metrics(scored, "orbit_regime", "predicted_regime").collect()}
+    assert metrics == {"accuracy": 1.0, "macro_f1": 1.0}
+    every = ml.predicted_regimes(model, orbits)
+    assert every.count() == 201 and every.filter("predicted_regime IS NULL").count() == 1
     agreement = ml.regime_agreement(scored).collect()
     assert sum(r["satellites"] for r in agreement) == 50
     assert all(r["orbit_regime"] == r["predicted_regime"] for r in agreement)
@@ -113,11 +125,38 @@ def test_regime_model_agrees_with_the_rule(orbits):
 
 def test_clusters_separate_the_two_orbits(orbits):
     assigned, silhouette = ml.cluster_orbits(orbits, k=2)
-    sides = {r["norad_cat_id"] % 2: r["cluster"] for r in assigned.collect()}
-    assert assigned.count() == 200 and sides[0] != sides[1]
+    clusters = {r["norad_cat_id"]: r["cluster"] for r in assigned.collect()}
+    assert len(clusters) == 201 and clusters.pop(999) is None
+    sides = {k % 2: v for k, v in clusters.items()}
+    assert sides[0] != sides[1] and set(clusters.values()) == {0, 1}
     assert silhouette > 0.8
 
 
+def test_class_metrics(spark):
+    pairs = [("a", "a")] * 3 + [("a", "b")] + [("b", "b")] + [("c", None)]
+    frame = spark.createDataFrame(pairs, "x STRING, y STRING")
+    found = {r["metric_name"]: r["metric_value"] for r in ml.class_metrics(frame, "x", "y").collect()}
+    assert found["accuracy"] == pytest.approx(4 / 6)
+    assert found["macro_f1"] == pytest.approx((6 / 7 + 2 / 3 + 0) / 3)
+
+
+def test_train_and_score_jobs(warehouse, features, tmp_path):
+    from skyledger.plans import model_jobs
+
+    warehouse.append(features, "gold.ai_neo_features", "g")
+    with pytest.raises(ValueError, match="no active model"):
+        model_jobs.score_hazard(warehouse, "s0")
+    first = model_jobs.train_hazard(warehouse, "t1", str(tmp_path / "models"), trees=5, depth=4)
+    assert model_jobs.score_hazard(warehouse, "s1") == features.count()
+    metrics = model_jobs.active_model_metrics(warehouse).collect()
+    assert {r["metric_name"] for r in metrics} == {"roc_auc", "f1", "accuracy", "precision", "recall"}
+    assert {(r["model_name"], r["model_version"]) for r in metrics} == {(ml.HAZARD_MODEL, 1)}
+    top = model_jobs.hazard_top_risk(warehouse, 5).collect()
+    assert len(top) == 5 and top[0]["predicted_score"] >= top[-1]["predicted_score"] > 0.5
+    assert warehouse.read("ml.model_registry").first()["model_id"] == first
+    assert warehouse.read("meta.data_quality_run").count() == 1
+
+
 def test_anomaly_scores_as_predictions(spark):
     frame = spark.createDataFrame(
         [(5, date(2025, 1, 1), 3.5), (6, date(2025, 1, 1), 0.2)],

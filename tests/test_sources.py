@@ -155,9 +155,73 @@ def test_month_pruning_never_loses_a_key(spark, warehouse):
     assert between(date(2025, 1, 1), date(2025, 1, 9)) == {"jan", "nokey", "disagree"}
     assert between(date(2025, 3, 9), date(2025, 3, 9)) == {"mar", "nokey", "disagree"}
     assert between(None, None) == {"nokey", "disagree"}
-    plan = warehouse.stored_between(table, date(2025, 1, 1), date(2025, 1, 9))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(isnull(storage_month" in text
+
+
+def _snapshots(warehouse, run, months):
+    rows = satcat_frame(
+        warehouse.spark, *[record(m, norad=run, day=date(2025, m, 3)) for m in months]
+    )
+    warehouse.append(rows, "bronze.satcat_raw", run)
+
+
+def test_a_month_read_lists_only_its_folders(warehouse):
+    from pathlib import Path
+
+    table = "bronze.satcat_raw"
+    _snapshots(warehouse, "real", [1, 2])
+    folder = Path(warehouse.path(table))
+    part = next((folder / "storage_month=2025-01-01" / "load_run=real").glob("*.parquet"))
+    for month in range(3, 13):
+        for run in range(20):  # 200 run folders of other months
+            other = folder / f"storage_month=2025-{month:02d}-01" / f"load_run=r{run}"
+            other.mkdir(parents=True)
+            (other / part.name).write_bytes(part.read_bytes())
+    read = warehouse.stored_between(table, date(2025, 1, 1), date(2025, 1, 31))
+    files = read.inputFiles()
+    assert len(files) == 1 and "storage_month=2025-01-01" in files[0]
+    assert read._jdf.queryExecution().analyzed().toString().count("load_run") and read.count() == 1
+    assert warehouse.stored(table).count() == 202
+
+
+def test_unfinished_runs_are_not_read(warehouse):
+    table = "bronze.satcat_raw"
+    _snapshots(warehouse, "good", [1])
+    warehouse._note(table, "pending", "dead")
+    warehouse._write(warehouse.shaped(satcat_frame(warehouse.spark, record(9)), table), table, "dead")
+    assert [r["load_run"] for r in warehouse.stored(table).collect()] == ["good"]
+    assert warehouse.finished(table, "good") and not warehouse.finished(table, "dead")
+    _snapshots(warehouse, "dead", [2])  # the retry replaces what the first try left
+    assert sorted(r["snapshot_date"].month for r in warehouse.read(table).collect()) == [1, 2]
+
+
+def test_compaction_keeps_the_rows(warehouse, monkeypatch):
+    table = "bronze.satcat_raw"
+    for run in ("a", "b", "c"):
+        _snapshots(warehouse, run, [1, 2])
+    before = sorted(map(str, warehouse.read(table).collect()))
+    assert warehouse.compact(table, date(2025, 1, 9), "merged") == 3
+    assert sorted(map(str, warehouse.read(table).collect())) == before
+    runs = {(r["storage_month"].month, r["load_run"]) for r in warehouse.stored(table).collect()}
+    assert runs == {(1, "merged"), (2, "a"), (2, "b"), (2, "c")}
+    assert warehouse.compact(table, date(2025, 1, 9), "again") == 0
+
+    # A failure while the old runs are removed: a second call goes on.
+    import skyledger.sources.tables as tables
+
+    real, calls = tables.remove, []
+
+    def failing(spark, path):
+        calls.append(path)
+        if len(calls) == 2:
+            raise OSError("lost")
+        real(spark, path)
+
+    monkeypatch.setattr(tables, "remove", failing)
+    with pytest.raises(OSError):
+        warehouse.compact(table, date(2025, 2, 1), "feb")
+    monkeypatch.setattr(tables, "remove", real)
+    warehouse.compact(table, date(2025, 2, 1), "feb")
+    assert sorted(map(str, warehouse.read(table).collect())) == before
 
 
 def test_keys_grow_by_run_and_never_repeat(spark, warehouse):

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger.operators import ledger
 from skyledger.plans import jobs, silver_neo
 from skyledger.sources import messages
 from skyledger.streaming import bronze
@@ -33,7 +34,8 @@ def test_stream_gives_the_same_silver_rows_as_batch(spark, warehouse, tmp_path):
     write_lines(tmp_path / "in", "1.txt", approach_lines(spark, *events))
     run(bronze.start_approach_stream, spark, warehouse, tmp_path / "in", tmp_path / "cp")
     batch = Warehouse(spark, str(tmp_path / "batch"))
-    jobs.land_approaches(batch, neo_frame(spark, *events).drop("event_id"), "b")
+    rows = neo_frame(spark, *events).withColumnRenamed("event_id", "position")
+    jobs.land_approaches(batch, rows, "b", ["position"])
 
     def silver(w):
         b = w.read("bronze.neo_event_raw")
@@ -63,7 +65,7 @@ def test_restart_and_new_checkpoint_add_nothing_twice(spark, warehouse, tmp_path
 def test_replayed_batch_replaces_its_output(spark, warehouse):
     rows = neo_frame(spark, event(1, "a")).drop("event_id")
     for _ in range(2):
-        jobs.land_approaches(warehouse, rows, "stream-id-0")
+        jobs.land_approaches(warehouse, rows, "stream-id-0", ["raw_neo"])
     assert warehouse.read("bronze.neo_event_raw").count() == 1
 
 
@@ -99,10 +101,35 @@ def test_catalog_stream_appends_and_quarantines(spark, warehouse, tmp_path):
     assert len(rows) == 3 and len({r["id"] for r in rows}) == 3
     assert {str(r["snapshot_date"]) for r in rows} == {"2025-01-03"}
     assert sorted(r["parsed_record"] == "{}" for r in rows) == [False, False, True]
+    runs = ledger.run_state(warehouse.read("meta.pipeline_run")).collect()
+    assert [(r["pipeline_name"], r["status"], r["records_processed"], r["triggered_by"]) for r in runs] == [
+        ("satcat_stream_to_bronze", "success", 3, "stream")
+    ]
     reasons = sorted(r["reason"] for r in warehouse.read("bronze.quarantine").collect())
     assert reasons == ["malformed", "missing timestamp"]
 
 
+def test_a_failed_batch_is_in_the_ledger(spark, warehouse, tmp_path, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("no storage")
+
+    monkeypatch.setattr(bronze, "append_catalog", broken)
+    write_lines(tmp_path / "in", "1.txt", ["nonsense"])
+    with pytest.raises(Exception, match="no storage"):
+        run(bronze.start_catalog_stream, spark, warehouse, tmp_path / "in", tmp_path / "cp")
+    runs = ledger.run_state(warehouse.read("meta.pipeline_run"))
+    failed = ledger.failed_runs(runs, ledger.STREAM_PIPELINES, F.current_timestamp()).collect()
+    assert [(r["pipeline_name"], r["error_message"]) for r in failed] == [
+        ("satcat_stream_to_bronze", "no storage")
+    ]
+
+
+def test_nothing_rejected_writes_no_quarantine(spark, warehouse, tmp_path):
+    write_lines(tmp_path / "in", "1.txt", approach_lines(spark, event(1, "a")))
+    run(bronze.start_approach_stream, spark, warehouse, tmp_path / "in", tmp_path / "cp")
+    assert not warehouse.exists("bronze.quarantine")
+
+
 def test_broker_order_decides_the_first_arrival(spark, warehouse):
     lines = approach_lines(spark, event(1, "a", neo_name="first"), event(2, "a", neo_name="AAA"))
     frame = spark.createDataFrame(
