@@ -6,7 +6,14 @@ CSV texts that the Spark queries go through.
 
 from __future__ import annotations
 
-from checks.queries import BRIEFING_DAY, EXISTING_BEFORE, LUNAR_LIMIT, NOW, PIPELINES
+from checks.queries import (
+    BRIEFING_DAY,
+    EXISTING_BEFORE,
+    LUNAR_LIMIT,
+    NOW,
+    PIPELINES,
+    SATELLITES_BEFORE,
+)
 from skyledger.operators.quality import Check
 from skyledger.plans.checks import JOB_GATES, TABLE_TESTS
 
@@ -145,7 +152,8 @@ from (select *, row_number() over (partition by norad_cat_id, snapshot_date orde
 where rn = 1"""
 _cte("catalog", "parsed", _CATALOG.format(where=""))
 _cte("orbits", "parsed", _ORBITS.format(where=""))
-_cte("early_catalog", "parsed", _CATALOG.format(where=_EARLY_SNAPSHOT))
+_cte("early_catalog", "parsed",
+     _CATALOG.format(where=_EARLY_SNAPSHOT.replace(EXISTING_BEFORE, SATELLITES_BEFORE)))
 _cte("early_orbits", "parsed", _ORBITS.format(where=_EARLY_SNAPSHOT))
 _cte("satellites", "catalog", f"select row_number() over (order by {_NORAD_ORDER}) as satellite_sk, * from catalog")
 _cte("snapshots", "orbits satellites", f"""
@@ -312,9 +320,11 @@ where rn = 1 and not exists (
     and s.close_approach_date_full is not distinct from a.close_approach_date_full
     and s.orbiting_body is not distinct from a.orbiting_body)"""),
     "bronze_satcat_load_once": ("records", f"""
-select id, source_group as snapshot_group, snapshot_date from records as a
-where not exists (select 1 from records as s where s.snapshot_date < {_EXISTING}
-  and s.source_group = a.source_group and s.snapshot_date = a.snapshot_date)"""),
+select * from (with arrivals as (select id, snapshot_date,
+    case when id // 100000000 % 10 <> 3 then source_group end as snapshot_group from records)
+select id, snapshot_group, snapshot_date from arrivals as a
+where not exists (select 1 from arrivals as s where s.snapshot_date < {_EXISTING}
+  and s.snapshot_group is not distinct from a.snapshot_group and s.snapshot_date = a.snapshot_date))"""),
     "bronze_without_synthetic": ("bronze_neo", """
 select event_id, neo_id from bronze_neo where not is_synthetic"""),
     "silver_neo_dimension": ("neo", "select * from neo"),
@@ -361,11 +371,12 @@ from facts where miss_distance_lunar <= {LUNAR_LIMIT} group by 1"""),
     "top_closest_approaches": ("approaches objects", """
 select approach_sk, name, close_approach_date, miss_distance_lunar, rel_velocity_km_s,
        is_potentially_hazardous_asteroid
-from approaches join objects using (neo_id)
+from approaches join objects using (neo_id) where cast(neo_id as bigint) % 7 <> 0
 order by miss_distance_lunar nulls last, approach_sk limit 20"""),
     "hazardous_by_closeness": ("hazard", """
-select neo_id, name, total_approaches, closest_approach_km, is_hazardous from hazard
-where is_hazardous"""),
+select neo_id, name, total_approaches, closest_approach_km, is_hazardous,
+       row_number() over (order by closest_approach_km nulls last, neo_id) as place
+from hazard where is_hazardous"""),
     "approach_bands_daily": ("facts", f"""
 select close_approach_date, min(miss_distance_lunar) as min_ld,
        {_exact_avg("rel_velocity_km_s")} as avg_velocity, max(rel_velocity_km_s) as max_velocity
@@ -375,7 +386,9 @@ select cast(date_trunc('month', first_seen_date) as date) as month, count(*) as
 from objects group by 1"""),
     "hazard_briefing_7d": ("approaches objects", f"""
 select approach_sk, neo_id, name, close_approach_date, miss_distance_lunar, miss_distance_km,
-       rel_velocity_km_s, is_potentially_hazardous_asteroid
+       rel_velocity_km_s, is_potentially_hazardous_asteroid,
+       row_number() over (order by is_potentially_hazardous_asteroid desc, miss_distance_lunar,
+                                   approach_sk) as place
 from approaches join objects using (neo_id)
 where close_approach_date between date '{BRIEFING_DAY}' and date '{BRIEFING_DAY}' + 6
   and miss_distance_lunar <= {LUNAR_LIMIT}"""),
@@ -406,7 +419,8 @@ select orbit_regime, count(*) as satellite_count from latest group by 1"""),
 select orbit_regime, owner, count(*) as satellite_count
 from latest join catalog using (norad_cat_id) group by 1, 2"""),
     "owner_inclination_band": ("catalog orbits", """
-select norad_cat_id, object_name, owner, snapshot_date, inclination_deg
+select norad_cat_id, object_name, owner, snapshot_date, inclination_deg,
+       row_number() over (order by inclination_deg, norad_cat_id, snapshot_date) as place
 from orbits join catalog using (norad_cat_id)
 where owner = 'Brand#7' and inclination_deg between 50 and 60"""),
     "satellite_profile": ("orbit_summary", """
@@ -450,10 +464,15 @@ from bronze_neo group by 1, 2, 3 having count(*) > 1"""),
 select neo_id, count(*) as row_count from facts
 where neo_id not in (select neo_id from early_objects) group by 1"""),
     "reconcile_gold_silver": ("daily facts", """
-select close_approach_date, coalesce(total_approaches, 0) as gold_total, silver_total,
-       coalesce(total_approaches, 0) - silver_total as difference
+select close_approach_date, coalesce(total_approaches, 0) as gold_total,
+       coalesce(silver_total, 0) as silver_total,
+       coalesce(total_approaches, 0) - coalesce(silver_total, 0) as difference
 from (select close_approach_date, count(*) as silver_total from facts group by 1)
-left join daily using (close_approach_date)"""),
+full join (select close_approach_date, total_approaches from daily
+           where close_approach_date > (select min(close_approach_date) from facts)
+           union all select max(close_approach_date) + 1, 5 from daily) using (close_approach_date)"""),
+    "daily_activity_by_date": ("daily", """
+select *, row_number() over (order by close_approach_date nulls last) as place from daily"""),
     "reconcile_totals": ("daily hazard facts", """
 select 'gold.neo_daily_activity' as source, cast(sum(total_approaches) as bigint) as total from daily
 union all select 'gold.neo_hazard_summary', cast(sum(total_approaches) as bigint) from hazard
@@ -478,9 +497,18 @@ where pipeline_name in ({_PIPELINES}) and status = 'failed'
   and start_time > {_NOW} - interval 720 hour
 order by start_time desc, run_id limit 20"""),
     "supervision_stale": ("runs", f"""
-select pipeline_name, run_id, start_time from runs
-where pipeline_name in ({_PIPELINES}) and status = 'running'
+select pipeline_name, run_id, start_time,
+       row_number() over (order by start_time, run_id) as place
+from runs where pipeline_name in ({_PIPELINES}) and status = 'running'
   and start_time < {_NOW} - interval 15 minute"""),
+    "supervision_issues": ("runs", f"""
+select pipeline_name, issue, count(*) as runs from (
+  select pipeline_name,
+         case when status = 'failed' and start_time > {_NOW} - interval 1 hour then 'failed'
+              when status = 'running' and start_time < {_NOW} - interval 15 minute then 'stale'
+         end as issue
+  from runs where pipeline_name in ({_PIPELINES}))
+where issue is not null group by 1, 2"""),
     "recent_runs": ("runs", """
 select pipeline_name, run_id, status, start_time,
        date_sub('second', start_time, end_time) as duration_seconds
@@ -533,7 +561,98 @@ select cast(norad_cat_id as varchar) as entity_key, cast(snapshot_date as varcha
        case when anomaly_score > 3 then 'anomaly' else 'normal' end as predicted_label,
        anomaly_score as predicted_score
 from anomalies where anomaly_score is not null
-order by anomaly_score desc, cast(snapshot_date as varchar) limit 20"""),
+order by anomaly_score desc, cast(snapshot_date as varchar), cast(norad_cat_id as varchar) limit 20"""),
+    "ml_hazard_scores": ("neo_features", """
+select neo_id as entity_key, cast(approach_sk as varchar) as snapshot_ref, true as in_range,
+       true as label_follows,
+       rel_velocity_km_s is null or miss_distance_km is null or miss_distance_lunar is null
+         or absolute_magnitude_h is null as is_imputed
+from neo_features"""),
+    "ml_hazard_metrics": ("", """
+select unnest(['roc_auc', 'f1', 'accuracy', 'precision', 'recall']) as metric_name,
+       true as in_range"""),
+    "ml_binary_metrics": ("neo_features", """
+select unnest(['roc_auc', 'f1', 'accuracy', 'precision', 'recall']) as metric_name,
+       round(unnest([auc, 2.0::double * tp / (2 * tp + fp + fn), (tp + tn) / n,
+                     tp / (tp + fp), tp / (tp + fn)]), 9) as metric_value
+from (
+  select count(*)::double as n,
+         count(*) filter (y = 1 and s >= -22)::double as tp,
+         count(*) filter (y = 0 and s >= -22)::double as fp,
+         count(*) filter (y = 1 and s < -22)::double as fn,
+         count(*) filter (y = 0 and s < -22)::double as tn,
+         (sum(mid) filter (y = 1) - count(*) filter (y = 1) * (count(*) filter (y = 1) + 1) / 2.0::double)
+           / (count(*) filter (y = 1) * count(*) filter (y = 0)) as auc
+  from (select y, s, rank() over (order by s)
+               + (count(*) over (partition by s) - 1) / 2.0::double as mid
+        from (select is_hazardous_label as y, -floor(absolute_magnitude_h) as s from neo_features)))"""),
+    "ml_regime_agreement": ("latest", """
+select orbit_regime, count(*) as satellites,
+       count(*) filter (period_minutes is null or inclination_deg is null or apogee_km is null
+                        or perigee_km is null) as without_prediction
+from latest group by 1"""),
+    "ml_class_metrics": ("latest", """
+select * from (with pairs as (
+  select orbit_regime as a, case when apogee_km < 20000 then 'LEO' else 'GEO' end as b from latest
+), classes as (
+  select c, count(*) filter (a = c and b = c)::double as tp, count(*) filter (a = c)::double as n,
+         count(*) filter (b = c)::double as guessed
+  from pairs, (select distinct a as c from pairs where a is not null) group by c
+)
+select unnest(['accuracy', 'macro_f1']) as metric_name,
+       round(unnest([sum(tp) / sum(n), avg(2 * tp / (n + guessed))]), 9) as metric_value
+from classes)"""),
+    "ml_clusters": ("latest", """
+select norad_cat_id, period_minutes is not null and inclination_deg is not null
+         and apogee_km is not null and perigee_km is not null as is_clustered,
+       true as in_range, true as silhouette_in_range
+from latest"""),
+    "job_neo_increment": ("facts", """
+select neo_id, close_approach_date_full, orbiting_body, close_approach_date, rel_velocity_km_s,
+       miss_distance_km, true as key_fits from facts"""),
+    "job_satcat_increment": ("orbits", """
+select norad_cat_id, count(*) as snapshots, 1::bigint as keys, min(snapshot_date) as first_day,
+       max(snapshot_date) as last_day from orbits group by 1"""),
+    "job_rerun_counts": ("objects facts catalog orbits", """
+select table_name, n as first_run, n as second_run from (
+  select 'silver.neo' as table_name, count(*) as n from objects
+  union all select 'silver.neo_close_approach', count(*) from facts
+  union all select 'silver.satcat_satellite', count(*) from catalog
+  union all select 'silver.satcat_orbit_snapshot', count(*) from orbits)"""),
+    "job_dq_ledger": ("objects", """
+select check_name, case when failed = 0 then 'pass' else 'fail' end as status,
+       (select count(*) from objects) as total_records, failed as failed_records,
+       'failed' as run_status, 0::bigint as rows_added
+from (select 'silver.neo.non_null_neo_id' as check_name, 0::bigint as failed
+      union all select 'silver.neo.unique_neo_id', 0
+      union all select 'silver.neo.non_null_hazard_flag', 0
+      union all select 'silver.neo.abs_mag_reasonable_range',
+             (select count(*) from objects where absolute_magnitude_h + 29.5 > 40))"""),
+    "job_gold_tables": ("daily hazard orbit_summary facts objects orbits", """
+select 'gold.neo_daily_activity' as table_name, count(*) as row_count,
+       cast(sum(total_approaches) as bigint) as total from daily
+union all select 'gold.neo_hazard_summary', count(*), cast(sum(total_approaches) as bigint) from hazard
+union all select 'gold.satcat_orbit_summary', count(*), cast(sum(snapshot_count) as bigint) from orbit_summary
+union all select 'gold.ai_neo_features', count(*), count(*) from facts join objects using (neo_id)
+union all select 'gold.ai_satcat_features', count(*), count(*) from orbits"""),
+    "stream_ledger": ("records", """
+select 'satcat_stream_to_bronze' as pipeline_name, 'stream' as triggered_by, 'success' as status,
+       (select count(*) from lineitem join part on l_partkey = p_partkey) as records, true as in_order"""),
+    "feed_to_messages": ("", """
+select cast(c_custkey as varchar) as key, c_name as neo_name,
+       cast(cast(o_orderdate as date) + nth * 30 as varchar) as day,
+       case when nth = 0 then cast(cast(o_totalprice as decimal(18,2)) as varchar) end as kilometers
+from (select *, unnest([0, 1]) as nth from orders where o_orderstatus <> 'P')
+join customer on o_custkey = c_custkey"""),
+    "freshness_silver": ("runs", f"""
+select latest_ingest, date_sub('second', latest_ingest, {_NOW}) as lag_seconds,
+       date_sub('second', latest_ingest, {_NOW}) <= 1800 as is_fresh
+from (select max(end_time) as latest_ingest from runs where status = 'success')"""),
+    "dq_recent": ("runs", """
+select end_time as created_at, run_id, pipeline_name as check_name, status,
+       records_processed as total_records, 0::bigint as failed_records,
+       row_number() over (order by end_time desc, run_id, pipeline_name) as place
+from runs where end_time is not null order by place limit 20"""),
 }
 
 

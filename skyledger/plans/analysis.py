@@ -327,7 +327,7 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def freshness(table: DataFrame, moment: str, now: Column, limit_hours: int = 24) -> DataFrame:
+def freshness(table: DataFrame, moment: str, now: Column, limit_hours: float = 24) -> DataFrame:
     """Latest ingestion, its lag in seconds, and whether the lag is within the limit."""
     latest = table.agg(F.max(moment).alias("latest_ingest"))
     lag = F.timestamp_diff("SECOND", F.col("latest_ingest"), now)

@@ -5,18 +5,21 @@ import pytest
 import __spark_entry__ as spark_entry
 from skyledger import session
 
-WITHOUT_SQL = {"ml_hazard_scores", "ml_hazard_metrics", "ml_regime_agreement", "ml_clusters"}
 SMALL = Path("/root/testdata/sf0.001")
 
 
-def test_every_query_but_the_models_has_sql():
-    assert set(spark_entry.queries()) - set(spark_entry.oracle_sql()) == WITHOUT_SQL
+def test_every_query_has_sql():
+    from checks.oracle import ORACLE_SQL
+    from checks.queries import QUERIES
+
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(spark_entry.queries())
     assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
 @pytest.mark.skipif(not SMALL.exists(), reason="needs the test tables")
 @pytest.mark.parametrize(
-    "name", ["gold_neo_daily_activity", "gold_ai_neo_features", "merge_new_satellite", "run_state"]
+    "name", ["gold_neo_daily_activity", "gold_ai_neo_features", "merge_new_satellite", "run_state", "job_dq_ledger"]
 )
 def test_query_equals_its_sql(spark, name):
     from checks.compare import compare, duckdb_connection
