@@ -32,44 +32,68 @@ JOB_GATES: dict[str, list[Check]] = {
     ],
 }
 
-# Tests of the built tables: required columns, then unique columns.
-_REQUIRED = {
+# Tests of the built tables, required columns, then unique columns.
+_REQUIRED: dict[str, tuple[str, ...]] = {
     "gold.neo_daily_activity": (
-        "close_approach_date total_approaches unique_objects hazardous_approaches"
+        "close_approach_date",
+        "total_approaches",
+        "unique_objects",
+        "hazardous_approaches",
     ),
-    "gold.neo_hazard_summary": "neo_id is_hazardous total_approaches closest_approach_km",
-    "gold.satcat_orbit_summary": "norad_cat_id object_name snapshot_count",
+    "gold.neo_hazard_summary": (
+        "neo_id",
+        "is_hazardous",
+        "total_approaches",
+        "closest_approach_km",
+    ),
+    "gold.satcat_orbit_summary": ("norad_cat_id", "object_name", "snapshot_count"),
     "gold.ai_neo_features": (
-        "approach_sk neo_id close_approach_date rel_velocity_km_s miss_distance_km "
-        "absolute_magnitude_h is_hazardous_label"
+        "approach_sk",
+        "neo_id",
+        "close_approach_date",
+        "rel_velocity_km_s",
+        "miss_distance_km",
+        "absolute_magnitude_h",
+        "is_hazardous_label",
     ),
-    "gold.ai_satcat_features": "orbit_snapshot_sk norad_cat_id snapshot_date",
+    "gold.ai_satcat_features": ("orbit_snapshot_sk", "norad_cat_id", "snapshot_date"),
     "silver.neo": (
-        "neo_sk neo_id is_potentially_hazardous_asteroid first_seen_date last_seen_date"
+        "neo_sk",
+        "neo_id",
+        "is_potentially_hazardous_asteroid",
+        "first_seen_date",
+        "last_seen_date",
     ),
-    "silver.neo_close_approach": "approach_sk neo_sk neo_id close_approach_date",
+    "silver.neo_close_approach": ("approach_sk", "neo_sk", "neo_id", "close_approach_date"),
     "silver.satcat_satellite": (
-        "satellite_sk norad_cat_id object_name first_seen_date last_seen_date"
+        "satellite_sk",
+        "norad_cat_id",
+        "object_name",
+        "first_seen_date",
+        "last_seen_date",
     ),
     "silver.satcat_orbit_snapshot": (
-        "orbit_snapshot_sk satellite_sk norad_cat_id snapshot_date"
+        "orbit_snapshot_sk",
+        "satellite_sk",
+        "norad_cat_id",
+        "snapshot_date",
     ),
 }
-_UNIQUE = {
-    "gold.neo_daily_activity": "close_approach_date",
-    "gold.neo_hazard_summary": "neo_id",
-    "gold.satcat_orbit_summary": "norad_cat_id",
-    "gold.ai_neo_features": "approach_sk",
-    "gold.ai_satcat_features": "orbit_snapshot_sk",
-    "silver.neo": "neo_sk neo_id",
-    "silver.neo_close_approach": "approach_sk",
-    "silver.satcat_satellite": "satellite_sk norad_cat_id",
-    "silver.satcat_orbit_snapshot": "orbit_snapshot_sk",
+_UNIQUE: dict[str, tuple[str, ...]] = {
+    "gold.neo_daily_activity": ("close_approach_date",),
+    "gold.neo_hazard_summary": ("neo_id",),
+    "gold.satcat_orbit_summary": ("norad_cat_id",),
+    "gold.ai_neo_features": ("approach_sk",),
+    "gold.ai_satcat_features": ("orbit_snapshot_sk",),
+    "silver.neo": ("neo_sk", "neo_id"),
+    "silver.neo_close_approach": ("approach_sk",),
+    "silver.satcat_satellite": ("satellite_sk", "norad_cat_id"),
+    "silver.satcat_orbit_snapshot": ("orbit_snapshot_sk",),
 }
 
 TABLE_TESTS: dict[str, list[Check]] = {
-    table: [non_null(f"{table}.not_null_{c}", c) for c in required.split()]
-    + [unique(f"{table}.unique_{c}", [c]) for c in _UNIQUE[table].split()]
+    table: [non_null(f"{table}.not_null_{c}", c) for c in required]
+    + [unique(f"{table}.unique_{c}", [c]) for c in _UNIQUE[table]]
     for table, required in _REQUIRED.items()
 }
 TABLE_TESTS["gold.ai_neo_features"].append(

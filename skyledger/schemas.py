@@ -4,132 +4,262 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "str": T.StringType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "double": T.DoubleType(),
-    "bool": T.BooleanType(),
-    "date": T.DateType(),
-    "ts": T.TimestampType(),
-}
-
-
-def _table(spec: str) -> T.StructType:
-    """Build a schema from 'name:type' words; a trailing '!' marks NOT NULL."""
-    fields = []
-    for word in spec.split():
-        name, kind = word.split(":")
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
-
+# Names, types and order of the columns are those of the tables that users have.
+# `False` marks a column that is never NULL.
 
 # --- bronze -----------------------------------------------------------------
 
-BRONZE_NEO = _table(
-    "event_id:long ingestion_timestamp:ts feed_start_date:date feed_end_date:date "
-    "neo_id:str! neo_reference_id:str neo_name:str is_potentially_hazardous_asteroid:bool "
-    "absolute_magnitude_h:double estimated_diameter:str close_approach_date:date! "
-    "close_approach_date_full:str epoch_date_close_approach:long relative_velocity:str "
-    "miss_distance:str orbiting_body:str raw_neo:str"
+BRONZE_NEO = (
+    T.StructType()
+    .add("event_id", "long")
+    .add("ingestion_timestamp", "timestamp")
+    .add("feed_start_date", "date")
+    .add("feed_end_date", "date")
+    .add("neo_id", "string", False)
+    .add("neo_reference_id", "string")
+    .add("neo_name", "string")
+    .add("is_potentially_hazardous_asteroid", "boolean")
+    .add("absolute_magnitude_h", "double")
+    .add("estimated_diameter", "string")
+    .add("close_approach_date", "date", False)
+    .add("close_approach_date_full", "string")
+    .add("epoch_date_close_approach", "long")
+    .add("relative_velocity", "string")
+    .add("miss_distance", "string")
+    .add("orbiting_body", "string")
+    .add("raw_neo", "string")
 )
 
-BRONZE_SATCAT = _table(
-    "id:long ingestion_timestamp:ts snapshot_group:str! snapshot_date:date! "
-    "raw_csv_row:str! parsed_record:str"
+BRONZE_SATCAT = (
+    T.StructType()
+    .add("id", "long")
+    .add("ingestion_timestamp", "timestamp")
+    .add("snapshot_group", "string", False)
+    .add("snapshot_date", "date", False)
+    .add("raw_csv_row", "string", False)
+    .add("parsed_record", "string")
 )
 
-QUARANTINE = _table("stream:str! reason:str! message_key:str value:str quarantined_at:ts!")
+QUARANTINE = (
+    T.StructType()
+    .add("stream", "string", False)
+    .add("reason", "string", False)
+    .add("message_key", "string")
+    .add("value", "string")
+    .add("quarantined_at", "timestamp", False)
+)
 
 # --- silver -----------------------------------------------------------------
 
-SILVER_NEO = _table(
-    "neo_sk:long! neo_id:str! neo_reference_id:str name:str absolute_magnitude_h:double "
-    "estimated_diameter_km_min:double estimated_diameter_km_max:double "
-    "is_potentially_hazardous_asteroid:bool! is_sentry_object:bool nasa_jpl_url:str "
-    "first_seen_date:date last_seen_date:date"
+SILVER_NEO = (
+    T.StructType()
+    .add("neo_sk", "long", False)
+    .add("neo_id", "string", False)
+    .add("neo_reference_id", "string")
+    .add("name", "string")
+    .add("absolute_magnitude_h", "double")
+    .add("estimated_diameter_km_min", "double")
+    .add("estimated_diameter_km_max", "double")
+    .add("is_potentially_hazardous_asteroid", "boolean", False)
+    .add("is_sentry_object", "boolean")
+    .add("nasa_jpl_url", "string")
+    .add("first_seen_date", "date")
+    .add("last_seen_date", "date")
 )
 
-SILVER_APPROACH = _table(
-    "approach_sk:long! neo_sk:long! neo_id:str! close_approach_date:date! "
-    "close_approach_date_full:str epoch_date_close_approach:long orbiting_body:str "
-    "rel_velocity_km_s:double rel_velocity_km_h:double rel_velocity_mi_h:double "
-    "miss_distance_km:double miss_distance_lunar:double miss_distance_au:double "
-    "miss_distance_miles:double ingestion_timestamp:ts source_run_id:str"
+SILVER_APPROACH = (
+    T.StructType()
+    .add("approach_sk", "long", False)
+    .add("neo_sk", "long", False)
+    .add("neo_id", "string", False)
+    .add("close_approach_date", "date", False)
+    .add("close_approach_date_full", "string")
+    .add("epoch_date_close_approach", "long")
+    .add("orbiting_body", "string")
+    .add("rel_velocity_km_s", "double")
+    .add("rel_velocity_km_h", "double")
+    .add("rel_velocity_mi_h", "double")
+    .add("miss_distance_km", "double")
+    .add("miss_distance_lunar", "double")
+    .add("miss_distance_au", "double")
+    .add("miss_distance_miles", "double")
+    .add("ingestion_timestamp", "timestamp")
+    .add("source_run_id", "string")
 )
 
-SILVER_SATELLITE = _table(
-    "satellite_sk:long! norad_cat_id:int! object_id:str object_name:str! object_type:str "
-    "owner:str ops_status_code:str launch_date:date launch_site:str decay_date:date "
-    "orbit_center:str orbit_type:str rcs:double first_seen_date:date last_seen_date:date"
+SILVER_SATELLITE = (
+    T.StructType()
+    .add("satellite_sk", "long", False)
+    .add("norad_cat_id", "integer", False)
+    .add("object_id", "string")
+    .add("object_name", "string", False)
+    .add("object_type", "string")
+    .add("owner", "string")
+    .add("ops_status_code", "string")
+    .add("launch_date", "date")
+    .add("launch_site", "string")
+    .add("decay_date", "date")
+    .add("orbit_center", "string")
+    .add("orbit_type", "string")
+    .add("rcs", "double")
+    .add("first_seen_date", "date")
+    .add("last_seen_date", "date")
 )
 
-SILVER_SNAPSHOT = _table(
-    "orbit_snapshot_sk:long! satellite_sk:long! norad_cat_id:int! snapshot_date:date! "
-    "period_minutes:double inclination_deg:double apogee_km:double perigee_km:double "
-    "ecc:double mean_motion_rev_per_day:double ingestion_timestamp:ts source_group:str "
-    "source_run_id:str"
+SILVER_SNAPSHOT = (
+    T.StructType()
+    .add("orbit_snapshot_sk", "long", False)
+    .add("satellite_sk", "long", False)
+    .add("norad_cat_id", "integer", False)
+    .add("snapshot_date", "date", False)
+    .add("period_minutes", "double")
+    .add("inclination_deg", "double")
+    .add("apogee_km", "double")
+    .add("perigee_km", "double")
+    .add("ecc", "double")
+    .add("mean_motion_rev_per_day", "double")
+    .add("ingestion_timestamp", "timestamp")
+    .add("source_group", "string")
+    .add("source_run_id", "string")
 )
 
 # --- gold -------------------------------------------------------------------
 
-GOLD_DAILY_ACTIVITY = _table(
-    "close_approach_date:date total_approaches:long unique_objects:long hazardous_approaches:long"
+GOLD_DAILY_ACTIVITY = (
+    T.StructType()
+    .add("close_approach_date", "date")
+    .add("total_approaches", "long")
+    .add("unique_objects", "long")
+    .add("hazardous_approaches", "long")
 )
 
-GOLD_HAZARD_SUMMARY = _table(
-    "neo_id:str name:str is_hazardous:bool total_approaches:long first_approach_date:date "
-    "last_approach_date:date closest_approach_km:double"
+GOLD_HAZARD_SUMMARY = (
+    T.StructType()
+    .add("neo_id", "string")
+    .add("name", "string")
+    .add("is_hazardous", "boolean")
+    .add("total_approaches", "long")
+    .add("first_approach_date", "date")
+    .add("last_approach_date", "date")
+    .add("closest_approach_km", "double")
 )
 
-GOLD_ORBIT_SUMMARY = _table(
-    "norad_cat_id:int object_name:str object_type:str owner:str snapshot_count:long "
-    "first_snapshot_date:date last_snapshot_date:date avg_period_minutes:double "
-    "avg_inclination_deg:double avg_apogee_km:double avg_perigee_km:double"
+GOLD_ORBIT_SUMMARY = (
+    T.StructType()
+    .add("norad_cat_id", "integer")
+    .add("object_name", "string")
+    .add("object_type", "string")
+    .add("owner", "string")
+    .add("snapshot_count", "long")
+    .add("first_snapshot_date", "date")
+    .add("last_snapshot_date", "date")
+    .add("avg_period_minutes", "double")
+    .add("avg_inclination_deg", "double")
+    .add("avg_apogee_km", "double")
+    .add("avg_perigee_km", "double")
 )
 
-GOLD_NEO_FEATURES = _table(
-    "approach_sk:long neo_id:str close_approach_date:date rel_velocity_km_s:double "
-    "rel_velocity_km_h:double miss_distance_km:double miss_distance_lunar:double "
-    "miss_distance_au:double absolute_magnitude_h:double is_hazardous_label:int"
+GOLD_NEO_FEATURES = (
+    T.StructType()
+    .add("approach_sk", "long")
+    .add("neo_id", "string")
+    .add("close_approach_date", "date")
+    .add("rel_velocity_km_s", "double")
+    .add("rel_velocity_km_h", "double")
+    .add("miss_distance_km", "double")
+    .add("miss_distance_lunar", "double")
+    .add("miss_distance_au", "double")
+    .add("absolute_magnitude_h", "double")
+    .add("is_hazardous_label", "integer")
 )
 
-GOLD_SATCAT_FEATURES = _table(
-    "orbit_snapshot_sk:long norad_cat_id:int snapshot_date:date period_minutes:double "
-    "inclination_deg:double apogee_km:double perigee_km:double object_type:str owner:str"
+GOLD_SATCAT_FEATURES = (
+    T.StructType()
+    .add("orbit_snapshot_sk", "long")
+    .add("norad_cat_id", "integer")
+    .add("snapshot_date", "date")
+    .add("period_minutes", "double")
+    .add("inclination_deg", "double")
+    .add("apogee_km", "double")
+    .add("perigee_km", "double")
+    .add("object_type", "string")
+    .add("owner", "string")
 )
 
 # --- meta -------------------------------------------------------------------
 
 # The run ledger is append-only: one 'start' and at most a few 'end' events per run.
-RUN_EVENT = _table(
-    "run_id:str! pipeline_name:str! triggered_by:str dag_id:str task_id:str event:str! "
-    "event_time:ts! status:str! records_processed:long error_message:str"
+RUN_EVENT = (
+    T.StructType()
+    .add("run_id", "string", False)
+    .add("pipeline_name", "string", False)
+    .add("triggered_by", "string")
+    .add("dag_id", "string")
+    .add("task_id", "string")
+    .add("event", "string", False)
+    .add("event_time", "timestamp", False)
+    .add("status", "string", False)
+    .add("records_processed", "long")
+    .add("error_message", "string")
 )
 
-DQ_RECORD = _table(
-    "dq_run_id:str! run_id:str check_name:str! status:str! total_records:long "
-    "failed_records:long details:str created_at:ts!"
+DQ_RECORD = (
+    T.StructType()
+    .add("dq_run_id", "string", False)
+    .add("run_id", "string")
+    .add("check_name", "string", False)
+    .add("status", "string", False)
+    .add("total_records", "long")
+    .add("failed_records", "long")
+    .add("details", "string")
+    .add("created_at", "timestamp", False)
 )
 
 # Last surrogate key reserved by each load of a table.
-KEY_RANGE = _table("table_name:str! reserved_by:str! last_key:long!")
+KEY_RANGE = (
+    T.StructType()
+    .add("table_name", "string", False)
+    .add("reserved_by", "string", False)
+    .add("last_key", "long", False)
+)
 
 # --- ml ---------------------------------------------------------------------
 
-MODEL_REGISTRY = _table(
-    "model_id:str! model_name:str! model_version:int! algorithm:str! feature_set:str! "
-    "artifact_uri:str! trained_at:ts! training_run_id:str gate_passed:bool! params:str"
+MODEL_REGISTRY = (
+    T.StructType()
+    .add("model_id", "string", False)
+    .add("model_name", "string", False)
+    .add("model_version", "integer", False)
+    .add("algorithm", "string", False)
+    .add("feature_set", "string", False)
+    .add("artifact_uri", "string", False)
+    .add("trained_at", "timestamp", False)
+    .add("training_run_id", "string")
+    .add("gate_passed", "boolean", False)
+    .add("params", "string")
 )
 
-MODEL_METRIC = _table(
-    "metric_id:str! model_id:str! metric_name:str! metric_value:double! dataset_split:str! "
-    "created_at:ts!"
+MODEL_METRIC = (
+    T.StructType()
+    .add("metric_id", "string", False)
+    .add("model_id", "string", False)
+    .add("metric_name", "string", False)
+    .add("metric_value", "double", False)
+    .add("dataset_split", "string", False)
+    .add("created_at", "timestamp", False)
 )
 
-PREDICTION = _table(
-    "prediction_id:str! model_id:str! entity_type:str! entity_key:str! snapshot_ref:str "
-    "predicted_label:str predicted_score:double inference_run_id:str created_at:ts!"
+PREDICTION = (
+    T.StructType()
+    .add("prediction_id", "string", False)
+    .add("model_id", "string", False)
+    .add("entity_type", "string", False)
+    .add("entity_key", "string", False)
+    .add("snapshot_ref", "string")
+    .add("predicted_label", "string")
+    .add("predicted_score", "double")
+    .add("inference_run_id", "string")
+    .add("created_at", "timestamp", False)
 )
 
 TABLES: dict[str, T.StructType] = {
