@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import decontaminate, neardup, packing, quality_rules, spans
+from skyledger.llm.workers import let_workers_import
 from skyledger.session import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -15,16 +16,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
+    let_workers_import(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8)."""
+    let_workers_import(spark)
     return neardup.keep_one(docs)
 
 
 def repeated_span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the sentences that an earlier document has too; n_chars follows the text."""
+    let_workers_import(spark)
     cut = spans.without_repeats(docs)
     length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
     return cut.withColumn("n_chars", length).select(*docs.columns)
@@ -32,12 +36,13 @@ def repeated_span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item."""
-    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    benchmark = let_workers_import(spark).read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return decontaminate.without_leaks(docs, benchmark)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces of all documents in sequences."""
+    let_workers_import(spark)
     return packing.pack(docs)
 
 

@@ -18,6 +18,7 @@ from skyledger.llm import (
     urls,
     weak_labels,
 )
+from skyledger.llm.workers import let_workers_import
 from skyledger.session import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +30,7 @@ def _query(build):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return let_workers_import(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 @_query
