@@ -123,7 +123,8 @@ def _groups(docs: DataFrame, shingle_words: int, percent: int) -> tuple[DataFram
     wanted = in_buckets.select("doc_id").distinct()
     sets = staged(
         docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-            _full_sets(shingle_words), "doc_id long, shingles binary, signature binary"
+            _full_sets(shingle_words),
+            "doc_id long, shingles binary, signature binary, keys binary",
         )
     )
     links = staged(_verified(spokes, sets, percent).union(copy_links))
@@ -212,11 +213,14 @@ def _full_sets(size: int):
             ids, texts = batch.column(0), texts_of(batch.column(1))
             for i, j, part in slices(texts):
                 sets, elements, owner = _sets(part, size)
-                short = (signatures(elements, owner, j - i) >> np.uint64(41)).astype(np.uint16)
+                full = signatures(elements, owner, j - i)
+                short = (full >> np.uint64(41)).astype(np.uint16)
+                keys = band_keys(full, BAND_ROWS)
                 yield pa.record_batch(
                     [ids.slice(i, j - i), pa.array([s.tobytes() for s in sets], pa.binary()),
-                     pa.array([row.tobytes() for row in short], pa.binary())],
-                    names=["doc_id", "shingles", "signature"],
+                     pa.array([row.tobytes() for row in short], pa.binary()),
+                     pa.array([row.tobytes() for row in keys], pa.binary())],
+                    names=["doc_id", "shingles", "signature", "keys"],
                 )
 
     return run
@@ -258,34 +262,42 @@ def _compare(percent: int):
 
 
 def _cell_search(percent: int):
+    """Links inside a cell. A pair is compared in the first band that it shares: whatever bucket
+    it met in before held both, so it was searched too or had one of them as its least member."""
     least = percent / 100 - SLACK
 
     def run(table: pa.Table) -> pa.Table:
         ids = table["doc_id"].to_numpy()
         order = np.argsort(ids, kind="stable")
         ids = ids[order]
-        group = table["component"].to_numpy()[order]
-        own = table["own"].to_numpy()[order]
+        group, own = (table[c].to_numpy()[order] for c in ("component", "own"))
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        rows = table["signature"].combine_chunks()
-        marks = np.stack([np.frombuffer(rows[k].as_buffer(), np.uint16) for k in order])
-        rows = table["shingles"].combine_chunks()
-        sets = [np.frombuffer(rows[k].as_buffer(), np.uint64) for k in order]
+        marks = np.stack(_rows(table["signature"], order, np.uint16))
+        keys = np.stack(_rows(table["keys"], order, np.int64))
+        band = int(np.flatnonzero(keys[0] == table["band"][0].as_py())[0])
+        sets = _rows(table["shingles"], order, np.uint64)
         sizes = np.array([len(s) for s in sets])
+        # Shingles as dense numbers, so that membership is one look into a table.
+        distinct, number = np.unique(np.concatenate(sets), return_inverse=True)
+        numbers = np.split(number, np.cumsum(sizes)[:-1])
+        held = np.zeros(len(distinct), bool)
         found: list[tuple[int, int]] = []
         for x in range(len(ids) - 1):
             later = np.arange(x + 1, len(ids))
             later = later[group[later] != group[x]]
             if i != j:  # pairs inside one block meet in that block's own cell
                 later = later[own[later] != own[x]]
-            agree = (marks[later] == marks[x]).sum(axis=1)
-            later = later[agree >= least * SIZE]
+            low, high = np.minimum(sizes[later], sizes[x]), np.maximum(sizes[later], sizes[x])
+            later = later[100 * low >= percent * high]
+            later = later[~(keys[later, :band] == keys[x, :band]).any(axis=1)]
+            later = later[(marks[later] == marks[x]).sum(axis=1) >= least * SIZE]
             if not len(later):
                 continue
-            values = np.concatenate([sets[y] for y in later])
-            at = np.searchsorted(sets[x], values)
-            hits = sets[x][np.minimum(at, sizes[x] - 1)] == values
-            common = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(sizes[later])[:-1]]))
+            held[numbers[x]] = True
+            hits = held[np.concatenate([numbers[y] for y in later])]
+            held[numbers[x]] = False
+            begin = np.concatenate([[0], np.cumsum(sizes[later])[:-1]])
+            common = np.add.reduceat(hits, begin, dtype=np.int64)
             for y in later[100 * common >= percent * (sizes[x] + sizes[later] - common)]:
                 if group[x] != group[y]:
                     found.append((int(ids[y]), int(ids[x])))
@@ -296,3 +308,9 @@ def _cell_search(percent: int):
         )
 
     return run
+
+
+def _rows(column: pa.ChunkedArray, order: np.ndarray, kind: type) -> list[np.ndarray]:
+    """Binary values as arrays, in the given order."""
+    values = column.combine_chunks()
+    return [np.frombuffer(values[int(k)].as_buffer(), kind) for k in order]
