@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm.workers import released
 from skyledger.session import staged
 
 
@@ -20,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     grow with the logarithm of the size. Each round is a table in the shared folder, so a lost
     executor costs one round at most.
     """
-    forest = edges.mapInArrow(_spanning_forest, "a long, b long")
+    forest = edges.mapInArrow(released(_spanning_forest), "a long, b long")
     current = staged(forest.filter("a > b").distinct())
     mark = _mark(current)
     while True:

@@ -17,6 +17,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from skyledger.llm.workers import released
 
 ERROR_PERCENT = 8
 BLOCK_CHARS = 4_000_000  # of item text in one scan
@@ -160,7 +161,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = ERROR_PERCENT) -
     out = None
     for block in _blocks(benchmark):
         found = rows.mapInArrow(
-            _search(block, percent), "doc_id long, item_id long, distance int, end_char int"
+            released(_search(block, percent)), "doc_id long, item_id long, distance int, end_char int"
         )
         out = found if out is None else out.union(found)
     first = F.min(F.struct("distance", "end_char")).alias("first")
@@ -171,7 +172,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = ERROR_PE
     """The rows of `docs`, all columns, that hold no passage of any item."""
     at = docs.columns.index("text")
     for block in _blocks(benchmark):
-        docs = docs.mapInArrow(_filter(block, percent, at), docs.schema)
+        docs = docs.mapInArrow(released(_filter(block, percent, at)), docs.schema)
     return docs
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import ALNUM, Texts, Words, slices, texts_of, words_of
+from skyledger.llm.workers import released
 
 
 class Template(NamedTuple):
@@ -108,7 +109,7 @@ def document_frequencies(
                 [pa.array(np.arange(len(known) + 1)), pa.array(count)], names=["word", "n"]
             )
 
-    each = docs.select("text").mapInArrow(run, "word long, n long")
+    each = docs.select("text").mapInArrow(released(run), "word long, n long")
     found = {r["word"]: r["n"] for r in each.groupBy("word").agg(F.sum("n").alias("n")).collect()}
     return found.get(len(known), 0), {k: found.get(k, 0) for k in range(len(known))}
 
@@ -197,7 +198,7 @@ def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFram
         "doc_id long, n_words long, n_base long, first_word long, last_word long, "
         "base_labels string, labels string, score double"
     )
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(run), schema)
 
 
 def _scanned(index: Index, ids: pa.Array, words: Words) -> pa.RecordBatch:

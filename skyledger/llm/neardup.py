@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.components import components
 from skyledger.llm.superminhash import SIZE, band_keys, signatures
 from skyledger.llm.words import SPACED, Texts, shingles_of, slices, texts_of, words_of
+from skyledger.llm.workers import released
 from skyledger.operators.lookup import lookup
 from skyledger.session import staged
 
@@ -85,7 +86,7 @@ def _groups(docs: DataFrame, shingle_words: int, percent: int) -> tuple[DataFram
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = staged(
         docs.mapInArrow(
-            _sketches(shingle_words),
+            released(_sketches(shingle_words)),
             "doc_id long, n_shingles long, digest binary, bands array<long>",
         )
     )
@@ -123,7 +124,7 @@ def _groups(docs: DataFrame, shingle_words: int, percent: int) -> tuple[DataFram
     wanted = in_buckets.select("doc_id").distinct()
     sets = staged(
         docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-            _full_sets(shingle_words),
+            released(_full_sets(shingle_words)),
             "doc_id long, shingles binary, signature binary, keys binary",
         )
     )
@@ -140,7 +141,7 @@ def _verified(spokes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     per_hub = spokes.groupBy("hub").agg(F.count(F.lit(1)).alias("_n"))
     both = lookup(spokes.join(leaf, "doc_id"), hub, ["hub"], ["doc_id"], counts=per_hub)
     return both.select("doc_id", "hub", "left_set", "right_set").mapInArrow(
-        _compare(percent), "a long, b long"
+        released(_compare(percent)), "a long, b long"
     )
 
 
@@ -302,6 +303,7 @@ def _cell_search(percent: int):
                 if group[x] != group[y]:
                     found.append((int(ids[y]), int(ids[x])))
                     group[group == group[y]] = group[x]
+        pa.default_memory_pool().release_unused()
         return pa.table(
             {"a": pa.array([a for a, _ in found], pa.int64()),
              "b": pa.array([b for _, b in found], pa.int64())}

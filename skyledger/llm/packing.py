@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.tokens import default_ranks, encoded
+from skyledger.llm.workers import released
 from skyledger.session import staged
 
 CAPACITY = 2048
@@ -72,7 +73,7 @@ def pieces(
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     schema += ", ids array<int>" if with_ids else ""
     names = [field.split()[0] for field in schema.split(", ")]
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(run), schema)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
@@ -163,7 +164,7 @@ def pack(
             )
 
     fields = ", ".join(f"{c} {kind}" for c, kind in cut.select(*columns).dtypes)
-    return numbered.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return numbered.mapInArrow(released(place), f"{fields}, sequence_id long, offset long")
 
 
 def _slots(patterns: list[Pattern]) -> tuple[np.ndarray, ...]:

@@ -29,6 +29,7 @@ from skyledger.llm.words import (
     texts_of,
     words_of,
 )
+from skyledger.llm.workers import released
 
 WINDOW = 5
 SAMPLE_DOCS = 2000  # expected size of the sample that orders the rules
@@ -205,7 +206,7 @@ def measured(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
                 yield pa.record_batch([pa.array(c) for c in zip(*rows)], names=list(columns))
 
     schema = "name string, seconds double, rejected long, n_docs long"
-    each = docs.select("text").mapInArrow(run, schema)
+    each = docs.select("text").mapInArrow(released(run), schema)
     return each.groupBy("name").agg(
         F.sum("seconds").alias("seconds"),
         F.sum("rejected").alias("rejected"),
@@ -240,7 +241,7 @@ def keep_good(
             kept = [cascade(part, order) for _, _, part in slices(texts_of(batch.column(at)))]
             yield batch.filter(pa.array(np.concatenate(kept) if kept else np.empty(0, bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def judged(
@@ -270,4 +271,4 @@ def judged(
 
     fields = "".join(f"{name} long, " for name in names)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, f"doc_id long, {fields}base_failed boolean, kept boolean")
+    return rows.mapInArrow(released(run), f"doc_id long, {fields}base_failed boolean, kept boolean")

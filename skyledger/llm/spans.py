@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import SPACED, Texts, mix, prefix_values, slices, texts_of, words_of
+from skyledger.llm.workers import released
 from skyledger.operators.lookup import lookup
 from skyledger.session import staged
 
@@ -121,7 +122,7 @@ def removals(docs: DataFrame, size: int = SIZE, min_words: int = MIN_WORDS) -> D
                 )
 
     rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    spans = staged(rows.mapInArrow(run, "span long, doc_id long"))
+    spans = staged(rows.mapInArrow(released(run), "span long, doc_id long"))
     counts = spans.groupBy("span").agg(
         F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("_n")
     )
@@ -198,4 +199,4 @@ def without_repeats(
     schema = docs.schema
     for name in extra:
         schema = schema.add(name, "long")
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(released(run), schema)

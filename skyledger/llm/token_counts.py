@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.tokens import default_ranks, encoded
+from skyledger.llm.workers import released
 
 _BLOCK = 1024  # lengths per block of the suffix sums
 
@@ -34,7 +35,7 @@ def length_histogram(docs: DataFrame, ranks_path: str | None = None) -> DataFram
                 names=["n_tokens", "n_docs"],
             )
 
-    counted = docs.select("text").mapInArrow(lengths, "n_tokens long, n_docs long")
+    counted = docs.select("text").mapInArrow(released(lengths), "n_tokens long, n_docs long")
     return counted.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
 
 

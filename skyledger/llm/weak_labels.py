@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.quality_rules import Counts
 from skyledger.llm.words import mix, slices, texts_of
+from skyledger.llm.workers import released
 
 BAD, GOOD, NONE = 0, 1, 2
 TRAIN_DOCS = 4000  # expected size of the training sample
@@ -77,7 +78,7 @@ def pattern_counts(docs: DataFrame, labellers: Sequence[Labeller] = LABELLERS) -
                 code, n = np.unique(votes(Counts(part), labellers), return_counts=True)
                 yield pa.record_batch([pa.array(code), pa.array(n)], names=["pattern", "n"])
 
-    each = docs.select("text").mapInArrow(run, "pattern long, n long")
+    each = docs.select("text").mapInArrow(released(run), "pattern long, n long")
     return {r["pattern"]: r["n"] for r in each.groupBy("pattern").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -191,7 +192,7 @@ def train(
     sample = (
         docs.select("text")
         .sample(fraction=fraction, seed=4)
-        .mapInArrow(run, "pattern long, features binary, shares binary")
+        .mapInArrow(released(run), "pattern long, features binary, shares binary")
         .collect()
     )
     target = np.array([model.posterior[r["pattern"]] for r in sample])
@@ -235,4 +236,4 @@ def scored(
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, weak_label double, score double, kept boolean")
+    return rows.mapInArrow(released(run), "doc_id long, weak_label double, score double, kept boolean")

@@ -69,3 +69,20 @@ def test_stages_keep_the_columns(spark):
     docs = frame(spark, awkward())
     for _, stage in corpus_pipeline.STAGES[:3]:
         assert stage(spark, docs, "").columns == docs.columns
+
+
+def test_workers_find_the_package_and_batches_stay_small(spark):
+    from skyledger.llm.workers import BATCH_BYTES, let_workers_import
+
+    before, environment = spark.conf.get(BATCH_BYTES), spark.sparkContext.environment
+    try:
+        spark.conf.set(BATCH_BYTES, "3m")
+        let_workers_import(let_workers_import(spark))
+        assert spark.conf.get(BATCH_BYTES) == "3m"
+        root = str(Path(corpus_pipeline.__file__).resolve().parent)
+        assert environment["PYTHONPATH"].split(":").count(root) == 1
+        spark.conf.unset(BATCH_BYTES)
+        let_workers_import(spark)
+        assert spark.conf.get(BATCH_BYTES) == "8m"
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
