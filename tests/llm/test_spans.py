@@ -1,6 +1,10 @@
+import random
 import re
 
+import pyarrow as pa
+
 from skyledger.llm import spans
+from skyledger.llm.words import texts_of
 from tests.llm.samples import awkward, frame, prose
 
 
@@ -104,3 +108,46 @@ def test_columns_stay(spark):
     cut = spans.without_repeats(docs)
     assert cut.columns == docs.columns
     assert spans.without_repeats(docs.limit(0)).isEmpty()
+
+
+def planted(n=120):
+    """Passages of 51 to 90 words without a repeat inside, set in the middle of sentences of two
+    documents each, with other words, full stops and line ends around them."""
+    rng, rows, cases = random.Random(7), [], []
+    for k in range(n):
+        passage = [f"p{rng.randrange(5000)}" for _ in range(rng.randrange(51, 91))]
+        for stop in range(rng.randrange(1, 30), len(passage) - 1, rng.choice([9, 17, 23, 100])):
+            passage[stop] += "."
+        for doc_id in (1000 + k, 2000 + k):
+            around = [f"d{rng.randrange(10**6)}" for _ in range(rng.randrange(100, 160))]
+            at = rng.randrange(len(around) + 1)
+            words = around[:at] + passage + around[at:]
+            ends = {rng.randrange(len(words)) for _ in range(12)} if doc_id < 2000 else ()
+            text = "".join(w + ("\n" if q in ends else " ") for q, w in enumerate(words))
+            rows.append((doc_id, text))
+        cases.append((2000 + k, passage, around))
+    return rows, cases
+
+
+def test_passages_inside_sentences_leave_at_any_offset(spark):
+    rows, cases = planted()
+    found = spans.without_repeats(frame(spark, rows))
+    result = {r["doc_id"]: r["text"].split() for r in found.collect()}
+    for doc_id, text in rows:
+        if doc_id < 2000:
+            assert result[doc_id] == text.split()
+    for doc_id, passage, around in cases:
+        held = set(passage)
+        left = [w for w in result[doc_id] if w in held]
+        assert 2 * len(left) <= len(passage)
+        assert [w for w in result[doc_id] if w not in held] == around
+
+
+def test_cuts_are_the_least_words_of_all_windows():
+    texts = [prose(1, 300, 30), "a b " * 40, "same " * 30, prose(2, 5), "", prose(3, 50)]
+    found = spans.Sentences(texts_of(pa.array(texts)))
+    values, expected = found.words.value, set()
+    for low, high in zip(found.words.first, found.words.first[1:]):
+        for q in range(low, high - spans.WINDOW + 1):
+            expected.add(q + int(values[q : q + spans.WINDOW].argmin()))
+    assert found.cuts().tolist() == sorted(expected)
