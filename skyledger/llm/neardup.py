@@ -149,7 +149,7 @@ def _search_blocks(
     in_buckets: DataFrame, settled: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
     """Further links inside buckets that hold more than one component."""
-    sizes = sets.select("doc_id", (F.length("shingles") / F.lit(8)).alias("n"))
+    sizes = sets.groupBy("doc_id").agg(F.sum(F.length("shingles") / F.lit(8)).alias("n"))
     placed = (
         in_buckets.filter("size > 2 AND doc_id != hub")  # the least member has met all others
         .join(settled.withColumnRenamed("id", "doc_id"), "doc_id", "left")
@@ -270,12 +270,16 @@ def _cell_search(percent: int):
     def run(table: pa.Table) -> pa.Table:
         ids = table["doc_id"].to_numpy()
         order = np.argsort(ids, kind="stable")
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        keys = np.stack(_rows(table["keys"], order, np.int64))
+        # Of several texts with one doc_id only those of this bucket: the others are in their own.
+        here = keys == table["band"][0].as_py()
+        inside = here.any(axis=1)
+        band = int(here[inside.argmax()].argmax())
+        keys, order = keys[inside], order[inside]
         ids = ids[order]
         group, own = (table[c].to_numpy()[order] for c in ("component", "own"))
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
         marks = np.stack(_rows(table["signature"], order, np.uint16))
-        keys = np.stack(_rows(table["keys"], order, np.int64))
-        band = int(np.flatnonzero(keys[0] == table["band"][0].as_py())[0])
         sets = _rows(table["shingles"], order, np.uint64)
         sizes = np.array([len(s) for s in sets])
         # Shingles as dense numbers, so that membership is one look into a table.

@@ -73,6 +73,15 @@ def test_blocks_of_a_mixed_bucket_find_the_same(spark, monkeypatch):
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows, 5, 80)
 
 
+def test_second_texts_of_an_id_do_not_disturb_a_mixed_bucket(spark):
+    rows = family(60)
+    rows += [(i, prose(3000 + i, 60, 5000)) for i in sorted({i for i, _ in rows})]
+    found = neardup.near_duplicates(frame(spark, rows))
+    assert sorted(((r[0], r[2]) for r in found.collect())) == sorted(
+        (i, top) for i, _, top, _ in brute(rows, 5, 80)
+    )
+
+
 def test_keep_one_keeps_all_columns_and_one_row_per_group(spark):
     rows = awkward() + family(20)
     docs = frame(spark, rows)
