@@ -10,13 +10,15 @@
 5. Components of all links give the groups.
 
 No step returns all pairs of a bucket, and no task holds more than two blocks of one bucket.
-A link of similarity 0.8 shares no bucket with probability (1 - 0.8^4)^32 < 5e-8.
+Rows of a band and the pre-check follow from `percent`: a link at that similarity shares no bucket
+with probability MISS at most (0.8: (1 - 0.8^4)^32 < 5e-8), and is skipped with MISS at most.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,26 @@ BAND_ROWS = 4
 BLOCK_SHINGLES = 1 << 20  # of a block's sets together; a cell holds two blocks
 BLOCK_DOCS = 2048
 _GONE = "_near_duplicate"
-#: Pairs whose signatures agree in fewer registers are not compared: at a similarity of 0.8 that is
-#: five standard deviations below the mean.
-SLACK = 0.18
+MISS = 5e-8
+
+
+def band_rows(percent: int) -> int:
+    """Registers in a band, BAND_ROWS or fewer, so that a link is missed with MISS at most."""
+    rows, s = BAND_ROWS, percent / 100
+    while rows and (1 - s**rows) ** (SIZE // rows) > MISS:
+        rows //= 2
+    if not rows or not 0 < percent <= 100:
+        raise ValueError(f"{SIZE} registers do not find links of {percent} percent")
+    return rows
+
+
+def least_equal(percent: int) -> int:
+    """Pairs whose signatures agree in fewer registers are not compared; by the binomial tail a link
+    has fewer with probability MISS at most."""
+    s, below, t = percent / 100, 0.0, 0
+    while t < SIZE and (below := below + comb(SIZE, t) * s**t * (1 - s) ** (SIZE - t)) <= MISS:
+        t += 1
+    return t
 
 
 def near_duplicates(
@@ -83,10 +102,11 @@ def keep_one(
 
 def _groups(docs: DataFrame, shingle_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Sketch of each row, and (id, component) of all documents that are linked."""
+    rows = band_rows(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = staged(
         docs.mapInArrow(
-            released(_sketches(shingle_words)),
+            released(_sketches(shingle_words, rows)),
             "doc_id long, n_shingles long, digest binary, bands array<long>",
         )
     )
@@ -124,7 +144,7 @@ def _groups(docs: DataFrame, shingle_words: int, percent: int) -> tuple[DataFram
     wanted = in_buckets.select("doc_id").distinct()
     sets = staged(
         docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-            released(_full_sets(shingle_words)),
+            released(_full_sets(shingle_words, rows)),
             "doc_id long, shingles binary, signature binary, keys binary",
         )
     )
@@ -187,13 +207,13 @@ def _search_blocks(
     return full.groupBy("band", "i", "j").applyInArrow(_cell_search(percent), "a long, b long")
 
 
-def _sketches(size: int):
+def _sketches(size: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), texts_of(batch.column(1))
             for i, j, part in slices(texts):
                 sets, elements, owner = _sets(part, size)
-                keys = band_keys(signatures(elements, owner, j - i), BAND_ROWS)
+                keys = band_keys(signatures(elements, owner, j - i), rows)
                 digests = [_digest(s) if len(s) else None for s in sets]
                 bands = pa.ListArray.from_arrays(
                     pa.array(np.arange(j - i + 1, dtype=np.int32) * keys.shape[1]),
@@ -208,7 +228,7 @@ def _sketches(size: int):
     return run
 
 
-def _full_sets(size: int):
+def _full_sets(size: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), texts_of(batch.column(1))
@@ -216,7 +236,7 @@ def _full_sets(size: int):
                 sets, elements, owner = _sets(part, size)
                 full = signatures(elements, owner, j - i)
                 short = (full >> np.uint64(41)).astype(np.uint16)
-                keys = band_keys(full, BAND_ROWS)
+                keys = band_keys(full, rows)
                 yield pa.record_batch(
                     [ids.slice(i, j - i), pa.array([s.tobytes() for s in sets], pa.binary()),
                      pa.array([row.tobytes() for row in short], pa.binary()),
@@ -265,7 +285,7 @@ def _compare(percent: int):
 def _cell_search(percent: int):
     """Links inside a cell. A pair is compared in the first band that it shares: whatever bucket
     it met in before held both, so it was searched too or had one of them as its least member."""
-    least = percent / 100 - SLACK
+    least = least_equal(percent)
 
     def run(table: pa.Table) -> pa.Table:
         ids = table["doc_id"].to_numpy()
@@ -295,7 +315,7 @@ def _cell_search(percent: int):
             low, high = np.minimum(sizes[later], sizes[x]), np.maximum(sizes[later], sizes[x])
             later = later[100 * low >= percent * high]
             later = later[~(keys[later, :band] == keys[x, :band]).any(axis=1)]
-            later = later[(marks[later] == marks[x]).sum(axis=1) >= least * SIZE]
+            later = later[(marks[later] == marks[x]).sum(axis=1) >= least]
             if not len(later):
                 continue
             held[numbers[x]] = True

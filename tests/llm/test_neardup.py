@@ -1,6 +1,7 @@
 import random
 import re
 from itertools import combinations
+from math import comb
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,27 @@ def test_second_texts_of_an_id_do_not_disturb_a_mixed_bucket(spark):
     )
 
 
+def test_links_at_a_low_percent_are_found(spark):
+    rows = []
+    for k in range(80):
+        common = prose(5000 + k, 104, 10**6)
+        rows += [(2 * k + q, f"{common} {prose(9000 + 2 * k + q, 50, 10**6)}") for q in (0, 1)]
+    found = neardup.near_duplicates(frame(spark, rows), percent=50)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows, 5, 50)
+    assert sum(not r[-1] for r in brute(rows, 5, 50)) == 80
+
+
+def test_bounds_follow_the_percent():
+    assert [neardup.band_rows(p) for p in (100, 80, 79, 50, 13)] == [4, 4, 2, 2, 1]
+    for percent in (0, 12, 101):
+        with pytest.raises(ValueError):
+            neardup.band_rows(percent)
+    for percent in (50, 80):
+        s, t = percent / 100, neardup.least_equal(percent)
+        tail = [sum(comb(128, k) * s**k * (1 - s) ** (128 - k) for k in range(n)) for n in (t, t + 1)]
+        assert tail[0] <= neardup.MISS < tail[1]
+
+
 def test_keep_one_keeps_all_columns_and_one_row_per_group(spark):
     rows = awkward() + family(20)
     docs = frame(spark, rows)
