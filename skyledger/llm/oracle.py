@@ -108,3 +108,48 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
         CASE WHEN arg_max(role, k) <> 'assistant' THEN max(n) END)::INTEGER AS first_bad_turn
 FROM checked GROUP BY conv_id
 """
+
+ORACLE_SQL["op12_source_divergence"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), words AS (
+    SELECT row_id, lang, source,
+        unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS total FROM words
+    GROUP BY lang, term HAVING count(DISTINCT row_id) >= 3
+), sources AS (
+    SELECT DISTINCT lang, source FROM docs
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words GROUP BY lang, source, term
+), grid AS (
+    SELECT s.lang, s.source, k.term, coalesce(n, 0) AS n, total,
+        sum(coalesce(n, 0)) OVER (PARTITION BY s.lang, s.source) AS size,
+        sum(coalesce(n, 0)) OVER (PARTITION BY s.lang) AS lang_size,
+        count(*) OVER (PARTITION BY s.lang, s.source) AS v
+    FROM sources s JOIN kept k USING (lang) LEFT JOIN counts c
+        ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), shares AS (
+    SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 1)) // (size + v) AS p,
+        1 + (1000000000::HUGEINT * (total + 1)) // (lang_size + v) AS q
+    FROM grid
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place
+    FROM every
+)
+SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR place <= 200
+"""

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.llm import (
     chat,
     decontaminate,
+    divergence,
     licenses,
+    main_text,
     neardup,
     packing,
     quality_rules,
     spans,
+    spelling,
     token_counts,
     urls,
     weak_labels,
@@ -98,3 +101,19 @@ def op3_license_index(spark, sf_dir):
 @_query
 def op4_weak_labels(spark, sf_dir):
     return weak_labels.scored(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_main_text(spark, sf_dir):
+    return main_text.main_texts(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_spelling_variants(spark, sf_dir):
+    words = spelling.word_counts(_table(spark, sf_dir, "documents"), drop_every=31)
+    return spelling.variants(staged(words))
