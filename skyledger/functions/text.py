@@ -17,7 +17,10 @@ def to_number(column: Column, type_name: str = "double") -> Column:
     An integer may be written with a fraction (`5.0`), which is cut off.
     """
     if type_name in ("int", "bigint"):
-        return column.try_cast("decimal(38,18)").try_cast(type_name)
+        # Most numbers are whole; the decimal is made only for the others.
+        return F.coalesce(
+            column.try_cast(type_name), column.try_cast("decimal(38,18)").try_cast(type_name)
+        )
     return column.try_cast(type_name)
 
 

@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions.aggregates import count_where
+from skyledger.session import staged_with
+
 RECORD_COLUMNS = ["check_name", "status", "total_records", "failed_records", "details"]
 
 
@@ -74,9 +77,7 @@ def _record(check_name, total, failed, details) -> Column:
 
 
 def _row_level(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    fails = [
-        F.count(F.when(c.fails(), F.lit(1))).alias(f"f{i}") for i, c in enumerate(checks)
-    ]
+    fails = [count_where(c.fails()).alias(f"f{i}") for i, c in enumerate(checks)]
     counted = df.agg(F.count(F.lit(1)).alias("n"), *fails)
     records = [
         _record(c.name, F.col("n"), F.col(f"f{i}"), c.details) for i, c in enumerate(checks)
@@ -93,20 +94,49 @@ def _uniqueness(df: DataFrame, check: Check) -> DataFrame:
     return counted.select(F.inline(F.array(_record(check.name, F.col("n"), F.col("f"), check.details))))
 
 
-def evaluate(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
-    """One record per check."""
+def _active(checks: Iterable[Check]) -> list[Check]:
     active = [
         c for c in checks if not (c.kind == "range" and c.low is None and c.high is None)
     ]
+    if not active:
+        raise ValueError("no check to evaluate")
+    return active
+
+
+def evaluate(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
+    """One record per check."""
+    active = _active(checks)
     row_level = [c for c in active if c.kind != "unique"]
     parts = [_uniqueness(df, c) for c in active if c.kind == "unique"]
     if row_level:
         parts.insert(0, _row_level(df, row_level))
-    if not parts:
-        raise ValueError("no check to evaluate")
     return reduce(DataFrame.unionByName, parts)
 
 
+def staged_and_evaluated(
+    df: DataFrame, checks: Iterable[Check]
+) -> tuple[DataFrame, DataFrame]:
+    """`df` written to the shared storage, and one record per check.
+
+    The row-level checks are counted while the rows are written, so they cost no pass of their own.
+    Each uniqueness check reads its key columns of the written rows.
+    """
+    active = _active(checks)
+    row_level = [c for c in active if c.kind != "unique"]
+    fails = {f"f{i}": count_where(c.fails()) for i, c in enumerate(row_level)}
+    rows, found = staged_with(df, n=F.count(F.lit(1)), **fails)
+    total = F.lit(found["n"]).cast("long")
+    records = [
+        _record(c.name, total, F.lit(found[f"f{i}"]).cast("long"), c.details)
+        for i, c in enumerate(row_level)
+    ]
+    parts = [_uniqueness(rows, c) for c in active if c.kind == "unique"]
+    if records:
+        one = df.sparkSession.range(0, 1, 1, 1)
+        parts.insert(0, one.select(F.inline(F.array(*records))))
+    return rows, reduce(DataFrame.unionByName, parts)
+
+
 def evaluate_all(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Check]]) -> DataFrame:
     """Records for several tables; `checks` maps a table name to its checks."""
     return reduce(

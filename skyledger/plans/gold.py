@@ -8,12 +8,14 @@ joins on the catalog number cannot run hot.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.aggregates import exact_avg
 from skyledger.functions.text import flag
 from skyledger.operators.lookup import lookup
+from skyledger.schemas import GOLD_ORBIT_PARTIAL, ORBIT_MEASURES
 
 
 def neo_daily_activity(approaches: DataFrame, neo: DataFrame) -> DataFrame:
@@ -36,62 +38,113 @@ def neo_daily_activity(approaches: DataFrame, neo: DataFrame) -> DataFrame:
     )
 
 
-def neo_hazard_summary(approaches: DataFrame, neo: DataFrame) -> DataFrame:
-    """Activity and closest approach per object. Objects without a dimension row stay."""
-    per_object = approaches.groupBy("neo_id").agg(
-        F.count(F.lit(1)).alias("n"),
+def hazard_partials(approaches: DataFrame) -> DataFrame:
+    """Activity per object, in a form that `merged_hazards` can add up."""
+    return approaches.groupBy("neo_id").agg(
+        F.count(F.lit(1)).alias("total_approaches"),
         F.min("close_approach_date").alias("first_approach_date"),
         F.max("close_approach_date").alias("last_approach_date"),
         F.min("miss_distance_km").alias("closest_approach_km"),
     )
+
+
+def merged_hazards(*partials: DataFrame) -> DataFrame:
+    """Partials over disjoint approaches as one. A stored summary serves as a partial as well."""
+    columns = [
+        "neo_id", "total_approaches", "first_approach_date", "last_approach_date",
+        "closest_approach_km",
+    ]
+    together = reduce(DataFrame.unionByName, [p.select(*columns) for p in partials])
+    return together.groupBy("neo_id").agg(
+        F.sum("total_approaches").alias("total_approaches"),
+        F.min("first_approach_date").alias("first_approach_date"),
+        F.max("last_approach_date").alias("last_approach_date"),
+        F.min("closest_approach_km").alias("closest_approach_km"),
+    )
+
+
+def hazard_summary(partials: DataFrame, neo: DataFrame) -> DataFrame:
+    """Partials with name and flag. Objects without a dimension row stay."""
     objects = neo.groupBy("neo_id").agg(
         F.max("name").alias("name"),
         F.bool_or("is_potentially_hazardous_asteroid").alias("is_hazardous"),
         F.count(F.lit(1)).alias("copies"),
     )
-    return per_object.join(objects, "neo_id", "left").select(
+    return partials.join(objects, "neo_id", "left").select(
         "neo_id",
         "name",
         "is_hazardous",
-        (F.col("n") * F.coalesce("copies", F.lit(1))).alias("total_approaches"),
+        (F.col("total_approaches") * F.coalesce("copies", F.lit(1))).alias("total_approaches"),
         "first_approach_date",
         "last_approach_date",
         "closest_approach_km",
     )
 
 
-def satcat_orbit_summary(satellites: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Snapshot count, date span and mean elements per satellite."""
-    per_satellite = snapshots.groupBy("norad_cat_id").agg(
-        F.count(F.lit(1)).alias("n"),
+def neo_hazard_summary(approaches: DataFrame, neo: DataFrame) -> DataFrame:
+    """Activity and closest approach per object. Objects without a dimension row stay."""
+    return hazard_summary(hazard_partials(approaches), neo)
+
+
+def orbit_partials(snapshots: DataFrame) -> DataFrame:
+    """Counts, dates and exact sums per satellite, in a form that `merged_orbits` can add up."""
+    sums = []
+    for c in ORBIT_MEASURES:
+        sums += [
+            F.sum(F.col(c).cast("decimal(38,9)")).alias(f"sum_{c}"),
+            F.count(c).alias(f"count_{c}"),
+        ]
+    return snapshots.groupBy("norad_cat_id").agg(
+        F.count(F.lit(1)).alias("snapshot_count"),
         F.min("snapshot_date").alias("first_snapshot_date"),
         F.max("snapshot_date").alias("last_snapshot_date"),
-        exact_avg(F.col("period_minutes")).alias("avg_period_minutes"),
-        exact_avg(F.col("inclination_deg")).alias("avg_inclination_deg"),
-        exact_avg(F.col("apogee_km")).alias("avg_apogee_km"),
-        exact_avg(F.col("perigee_km")).alias("avg_perigee_km"),
+        *sums,
     )
+
+
+def merged_orbits(*partials: DataFrame) -> DataFrame:
+    """Partials over disjoint snapshots as one."""
+    names = GOLD_ORBIT_PARTIAL.fieldNames()
+    together = reduce(DataFrame.unionByName, [p.select(*names) for p in partials])
+    summed = [
+        F.sum(c).alias(c) for c in names if c.startswith(("sum_", "count_", "snapshot_count"))
+    ]
+    return together.groupBy("norad_cat_id").agg(
+        F.min("first_snapshot_date").alias("first_snapshot_date"),
+        F.max("last_snapshot_date").alias("last_snapshot_date"),
+        *summed,
+    ).select(*names)
+
+
+def orbit_summary(satellites: DataFrame, partials: DataFrame) -> DataFrame:
+    """Partials with the attributes of their satellite and the mean elements."""
     names = satellites.groupBy("norad_cat_id").agg(
         F.max("object_name").alias("object_name"),
         F.max("object_type").alias("object_type"),
         F.max("owner").alias("owner"),
         F.count(F.lit(1)).alias("copies"),
     )
-    return per_satellite.join(names, "norad_cat_id", "inner").select(
+    means = [
+        F.try_divide(F.col(f"sum_{c}").cast("double"), F.col(f"count_{c}").cast("double"))
+        for c in ORBIT_MEASURES
+    ]
+    return partials.join(names, "norad_cat_id", "inner").select(
         "norad_cat_id",
         "object_name",
         "object_type",
         "owner",
-        (F.col("n") * F.col("copies")).alias("snapshot_count"),
+        (F.col("snapshot_count") * F.col("copies")).alias("snapshot_count"),
         "first_snapshot_date",
         "last_snapshot_date",
-        "avg_period_minutes",
-        "avg_inclination_deg",
-        "avg_apogee_km",
-        "avg_perigee_km",
+        *[mean.alias(f"avg_{c}") for c, mean in zip(ORBIT_MEASURES, means)],
     )
 
 
+def satcat_orbit_summary(satellites: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Snapshot count, date span and mean elements per satellite."""
+    return orbit_summary(satellites, orbit_partials(snapshots))
+
+
 def ai_neo_features(approaches: DataFrame, neo: DataFrame) -> DataFrame:
     """One feature row per approach with the hazard label of its object."""
     objects = neo.select(

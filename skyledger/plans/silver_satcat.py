@@ -17,21 +17,36 @@ SNAPSHOT_KEY = ["norad_cat_id", "snapshot_date"]
 
 
 def parse_records(bronze: DataFrame) -> DataFrame:
-    """Typed catalog records; rows without a usable catalog number are left out.
+    """Typed catalog records from their JSON text; rows without a usable catalog number are left out.
 
     `json_tuple` is a generator, so the filter on the catalog number stays above it. With
     `from_json` the optimizer would copy the parse into a pushed-down filter and parse twice.
     """
-    raw = bronze.select(
-        "id",
-        "snapshot_date",
-        F.col("snapshot_group").alias("source_group"),
-        F.json_tuple("parsed_record", *SATCAT_FIELDS).alias(*SATCAT_FIELDS),
+    return _typed(
+        bronze.select(
+            "id",
+            "snapshot_date",
+            "snapshot_group",
+            F.json_tuple("parsed_record", *SATCAT_FIELDS).alias(*SATCAT_FIELDS),
+        )
     )
+
+
+def variant_records(bronze: DataFrame) -> DataFrame:
+    """The same from `record`, the VARIANT that stored rows have.
+
+    A scan reads only the members that are used further up, without any JSON text. A NULL record is
+    one that was malformed when it was stored.
+    """
+    members = [F.try_variant_get("record", f"$.{f}", "string").alias(f) for f in SATCAT_FIELDS]
+    return _typed(bronze.select("id", "snapshot_date", "snapshot_group", *members))
+
+
+def _typed(raw: DataFrame) -> DataFrame:
     typed = raw.select(
         "id",
         "snapshot_date",
-        "source_group",
+        F.col("snapshot_group").alias("source_group"),
         to_number(F.col("NORAD_CAT_ID"), "int").alias("norad_cat_id"),
         F.col("OBJECT_ID").alias("object_id"),
         F.col("OBJECT_NAME").alias("object_name"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Names, types and order of the columns are those of the tables that users have.
@@ -38,6 +40,8 @@ BRONZE_SATCAT = (
     .add("snapshot_date", "date", False)
     .add("raw_csv_row", "string", False)
     .add("parsed_record", "string")
+    # The same as a VARIANT: parsed once, when the row is written. NULL where it is malformed.
+    .add("record", T.VariantType())
 )
 
 QUARANTINE = (
@@ -186,6 +190,20 @@ GOLD_SATCAT_FEATURES = (
     .add("owner", "string")
 )
 
+# Mergeable state of the orbit summary: sums and counts per satellite.
+ORBIT_MEASURES = ("period_minutes", "inclination_deg", "apogee_km", "perigee_km")
+GOLD_ORBIT_PARTIAL = (
+    T.StructType()
+    .add("norad_cat_id", "integer")
+    .add("snapshot_count", "long")
+    .add("first_snapshot_date", "date")
+    .add("last_snapshot_date", "date")
+)
+for _measure in ORBIT_MEASURES:
+    GOLD_ORBIT_PARTIAL = GOLD_ORBIT_PARTIAL.add(f"sum_{_measure}", "decimal(38,9)").add(
+        f"count_{_measure}", "long"
+    )
+
 # --- meta -------------------------------------------------------------------
 
 # The run ledger is append-only: one 'start' and at most a few 'end' events per run.
@@ -272,6 +290,7 @@ TABLES: dict[str, T.StructType] = {
     "silver.satcat_orbit_snapshot": SILVER_SNAPSHOT,
     "gold.neo_daily_activity": GOLD_DAILY_ACTIVITY,
     "gold.neo_hazard_summary": GOLD_HAZARD_SUMMARY,
+    "gold.satcat_orbit_partial": GOLD_ORBIT_PARTIAL,
     "gold.satcat_orbit_summary": GOLD_ORBIT_SUMMARY,
     "gold.ai_neo_features": GOLD_NEO_FEATURES,
     "gold.ai_satcat_features": GOLD_SATCAT_FEATURES,
@@ -283,6 +302,12 @@ TABLES: dict[str, T.StructType] = {
     "ml.prediction": PREDICTION,
 }
 
+
+def as_variant(text: str) -> Column:
+    """A JSON text column as a VARIANT; NULL where it is malformed or repeats a member."""
+    return F.try_parse_json(text)
+
+
 # --- JSON -------------------------------------------------------------------
 
 # Nested objects are read as STRING: Spark keeps their JSON text, so unknown members survive

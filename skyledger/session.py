@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,15 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """As `staged`, with aggregates over the rows that are taken while they are written."""
+    if not metrics:
+        return staged(df), {}
+    observation = Observation(f"staged-{uuid.uuid4().hex}")
+    columns = [column.alias(name) for name, column in metrics.items()]
+    return staged(df.observe(observation, *columns)), observation.get
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove what `staged` writes inside the block when it ends, also after an error.
