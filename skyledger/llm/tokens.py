@@ -1,7 +1,8 @@
 """Token ids of whole Arrow text columns under a byte-level BPE vocabulary.
 
-The ids are those of the `tokenizers` library for the same vocabulary, with the strings of special
-tokens taken as ordinary text. Such a vocabulary never joins bytes across its pre-split pieces, so
+The ids are those of the `tokenizers` library for the same vocabulary without special tokens added: a
+text is split at the added tokens of the vocabulary's JSON file, which stand for themselves, and what
+lies between is encoded part by part. Such a vocabulary never joins bytes across its pre-split pieces, so
 the ids of a text are those of its pieces one after another. For texts of plain Latin letters the
 pieces are found by array operations and looked up in a table of pieces met before; each new piece
 goes to the encoder once. All other texts go to the encoder whole.
@@ -10,8 +11,11 @@ goes to the encoder once. All other texts go to the encoder whole.
 from __future__ import annotations
 
 import base64
+import json
+import re
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +44,10 @@ def _classes() -> np.ndarray:
 
 
 class Encoder:
-    """Token ids for a vocabulary file of ranks (base64 bytes and rank per line)."""
+    """Token ids for a vocabulary file of ranks (base64 bytes and rank per line).
+
+    A JSON file of the same name beside it, if there is one, names the added tokens.
+    """
 
     def __init__(self, ranks_path: str):
         import public_tokenizers
@@ -51,6 +58,9 @@ class Encoder:
         self.encode = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
+        self.added = _added_tokens(Path(ranks_path).with_suffix(".json"))
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
         self.kinds = _classes()
         self.values = mix(np.arange(1, TOP + 1, dtype=np.uint64) * np.uint64(77))
         self.curly = np.array([ord(c) for c in _AFTER_APOSTROPHE], np.uint16)
@@ -66,6 +76,19 @@ class Encoder:
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the offsets of each text in them."""
         joined = "".join(texts)
+        if self.cut is None or not self.cut.search(joined):
+            return self._plain(texts, joined)
+        parts = [self.cut.split(text) for text in texts]  # texts and added tokens by turns
+        between = [part for split in parts for part in split[::2]]
+        ids, at = self._plain(between, "".join(between))
+        count = np.array([len(split) // 2 for split in parts])
+        last = np.cumsum(count + 1)  # of the parts between, past the end of each text
+        inner = np.setdiff1d(np.arange(1, len(between) + 1), last)
+        marks = [self.added[mark] for split in parts for mark in split[1::2]]
+        ids = np.insert(ids, at[inner], np.array(marks, np.uint32))
+        return ids, np.concatenate([[0], at[last] + np.cumsum(count)])
+
+    def _plain(self, texts: list[str], joined: str) -> tuple[np.ndarray, np.ndarray]:
         try:
             units = np.frombuffer(joined.encode("utf-16-le"), np.uint16)
         except UnicodeEncodeError:  # lone surrogates
@@ -91,7 +114,9 @@ class Encoder:
 
     def _halves(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         middle = len(texts) // 2
-        (a, i), (b, j) = self(texts[:middle]), self(texts[middle:])
+        (a, i), (b, j) = (
+            self._plain(half, "".join(half)) for half in (texts[:middle], texts[middle:])
+        )
         return np.concatenate([a, b]), np.concatenate([i, j[1:] + i[-1]])
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +168,16 @@ class Encoder:
         return begin, length
 
 
+def _added_tokens(path: Path) -> dict[str, int]:
+    if not path.exists():
+        return {}
+    tokens = json.loads(path.read_text(encoding="utf-8"))["added_tokens"]
+    for token in tokens:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"{path}: {token['content']} takes in its surroundings")
+    return {token["content"]: token["id"] for token in tokens}
+
+
 @cache
 def encoder(ranks_path: str) -> Encoder:
     """One encoder per Python worker."""
