@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from skyledger.session import staged
 
 BLOCK_POSTINGS = 300_000  # postings that a task holds before it hands a run on
 CHUNK = 2048  # postings of a run that reach the merge at once
+MERGE_POSTINGS = 100_000  # postings that a merge takes in before it adds up what is complete
 OUT_ROWS = 50_000
 SCALE = 1_000_000_000
 
@@ -56,11 +59,11 @@ def frequencies(docs: DataFrame, min_docs: int = 3, shards: int | None = None) -
     the sources; `head` marks one row per term. Other columns are ignored.
 
     Runs go to `shards` hash shards, by default as many as the session has shuffle partitions. A task
-    of the merge holds one chunk of each run at a time.
+    of the merge holds one chunk of each run at a time, and MERGE_POSTINGS besides.
     """
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = _named(docs).mapInArrow(released(partial(_runs, shards)), _RUN)
-    in_order = runs.repartition(shards, "shard").sortWithinPartitions("shard", "lang", "first")
+    in_order = runs.repartitionById(shards, "shard").sortWithinPartitions("shard", "lang", "first")
     return in_order.mapInArrow(released(partial(_merged, min_docs)), _FREQUENCY)
 
 
@@ -84,31 +87,36 @@ def _runs(shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 def _run(block: dict, shards: int) -> Iterator[pa.RecordBatch]:
-    """One block as chunks, each of one shard and language, in term order."""
-    by_lang: dict[str, list[tuple]] = {}
-    for (lang, source), (counts, docs) in block.items():
-        seed = zlib.crc32(lang.encode() + b"\0")
-        by_lang.setdefault(lang, []).extend(
-            (zlib.crc32(term, seed) % shards, term, source, n, docs[term])
-            for term, n in counts.items()
-        )
-    for lang, postings in by_lang.items():
-        if not postings:
+    """One block as chunks, each of one shard and language, in the order of the terms."""
+    by_lang: dict[str, list[str]] = {}
+    for lang, source in block:
+        by_lang.setdefault(lang, []).append(source)
+    for lang, sources in by_lang.items():
+        sources.sort()
+        groups = [block[lang, source] for source in sources]
+        sizes = [len(counts) for counts, _ in groups]
+        if not sum(sizes):
             continue
-        postings.sort()
-        shard, terms, sources, n, docs = zip(*postings)
-        shard = np.array(shard)
+        coded = pa.array([t for counts, _ in groups for t in counts], pa.binary()).dictionary_encode()
+        terms, code = coded.dictionary, coded.indices.to_numpy()
+        rank = np.empty(len(terms), np.int64)
+        rank[pc.sort_indices(terms).to_numpy()] = np.arange(len(terms))
+        seed = zlib.crc32(lang.encode() + b"\0")
+        shard = np.array([zlib.crc32(term, seed) % shards for term in terms.to_pylist()])[code]
+        source = np.repeat(np.arange(len(sources)), sizes)
+        order = np.lexsort((source, rank[code], shard))
+        n = np.array([n for counts, _ in groups for n in counts.values()], np.int64)
+        docs = np.array([docs[term] for counts, docs in groups for term in counts], np.int64)
+        shard, names = shard[order], terms.take(pa.array(code[order])).cast(pa.string())
         ends = np.append(np.flatnonzero(np.diff(shard)) + 1, len(shard))
         cuts = [0]
         for end in ends.tolist():
             cuts += [*range(cuts[-1] + CHUNK, end, CHUNK), end]
-        offsets = pa.array(cuts, pa.int32())
-        names = pa.array(terms, pa.binary()).cast(pa.string())
+        begin = np.array(cuts[:-1])
+        columns = (names, pa.array(sources).take(pa.array(source[order])), n[order], docs[order])
         lists = [
-            pa.ListArray.from_arrays(offsets, values)
-            for values in (names, pa.array(sources), pa.array(n), pa.array(docs))
+            pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(c)) for c in columns
         ]
-        begin = np.array(cuts[:-1])
         yield pa.record_batch(
             [pa.array(shard[begin].astype(np.int32)), pa.array([lang] * len(begin)),
              names.take(pa.array(begin)), *lists],
@@ -116,81 +124,80 @@ def _run(block: dict, shards: int) -> Iterator[pa.RecordBatch]:
         )
 
 
-class _Frequencies:
-    """Output columns of the merge; postings of one term arrive one after another."""
+class _Merge:
+    """Heap of the open chunks of a shard, ordered by the next term of each.
+
+    Chunks arrive by their first term, so all terms before the latest first one are complete. They
+    are taken from the chunks in slices, and equal ones are added up together.
+    """
 
     def __init__(self, min_docs: int):
         self.min_docs = min_docs
-        self.lang = self.term = None
-        self.postings: list[list] = []  # [source, n] of the current term
-        self.docs = 0
-        self.rows: tuple[list, ...] = ([], [], [], [], [], [])
-
-    def add(self, lang: str, term: str, source: str, n: int, docs: int) -> None:
-        if term != self.term or lang != self.lang:
-            self.finish()
-            self.lang, self.term = lang, term
-        if self.postings and self.postings[-1][0] == source:
-            self.postings[-1][1] += n
-        else:
-            self.postings.append([source, n])
-        self.docs += docs
-
-    def finish(self) -> None:
-        if self.docs >= self.min_docs:
-            langs, terms, sources, counts, totals, heads = self.rows
-            k, total = len(self.postings), sum(n for _, n in self.postings)
-            langs += [self.lang] * k
-            terms += [self.term] * k
-            sources += [source for source, _ in self.postings]
-            counts += [n for _, n in self.postings]
-            totals += [total] * k
-            heads += [True, *[False] * (k - 1)]
-        self.postings, self.docs = [], 0
-
-    def batch(self) -> pa.RecordBatch:
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
-        arrays = [pa.array(rows, kind) for rows, kind in zip(self.rows, kinds)]
-        self.rows = ([], [], [], [], [], [])
-        return pa.record_batch(arrays, names=["lang", "term", "source", "n", "total", "head"])
+        self.heap: list[tuple[str, int, pa.Table]] = []
+        self.serial = self.held = 0
+
+    def add(self, first: str, chunk: pa.Table) -> None:
+        self.serial += 1
+        heapq.heappush(self.heap, (first, self.serial, chunk))
+        self.held += len(chunk)
+
+    def before(self, lang: str, bound: str | None) -> Iterator[pa.RecordBatch]:
+        """Frequencies of the terms before `bound`, or of all."""
+        slices = []
+        while self.heap and (bound is None or self.heap[0][0] < bound):
+            _, number, chunk = heapq.heappop(self.heap)
+            cut = len(chunk) if bound is None else _below(chunk["term"], bound)
+            slices.append(chunk.slice(0, cut))
+            if cut < len(chunk):
+                rest = chunk.slice(cut)
+                heapq.heappush(self.heap, (rest["term"][0].as_py(), number, rest))
+            self.held -= cut
+        if slices:
+            yield from self._summed(lang, pa.concat_tables(slices))
+
+    def _summed(self, lang: str, postings: pa.Table) -> Iterator[pa.RecordBatch]:
+        sums = postings.group_by(["term", "source"]).aggregate([("n", "sum"), ("docs", "sum")])
+        code = sums["term"].combine_chunks().dictionary_encode().indices.to_numpy()
+        order = np.argsort(code, kind="stable")  # postings of a term together
+        code = code[order]
+        head = np.append(True, np.diff(code) != 0)
+        start = np.flatnonzero(head)
+        n, docs = (sums[c].to_numpy()[order] for c in ("n_sum", "docs_sum"))
+        total = np.add.reduceat(n, start)[np.cumsum(head) - 1]
+        kept = np.add.reduceat(docs, start)[np.cumsum(head) - 1] >= self.min_docs
+        if not kept.any():
+            return
+        chosen = pa.array(order[kept])
+        columns = [
+            pa.array([lang] * len(chosen)), sums["term"].take(chosen).combine_chunks(),
+            sums["source"].take(chosen).combine_chunks(), pa.array(n[kept]), pa.array(total[kept]),
+            pa.array(head[kept]),
+        ]
+        yield pa.record_batch(columns, names=["lang", "term", "source", "n", "total", "head"])
+
+
+def _below(terms: pa.ChunkedArray, bound: str) -> int:
+    """How many of some sorted terms come before `bound`."""
+    return bisect_left(range(len(terms)), bound, key=lambda k: terms[k].as_py())
 
 
 def _merged(min_docs: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Heap-merge of all chunks of a shard, which arrive by their first term."""
-    out, heap, here, serial = _Frequencies(min_docs), [], None, 0
-
-    def drain(before: str | None) -> Iterator[pa.RecordBatch]:
-        while heap and (before is None or heap[0][0] < before):
-            term, source, number, n, docs, rest = heap[0]
-            out.add(here[1], term, source, n, docs)
-            if (following := next(rest, None)) is None:
-                heapq.heappop(heap)
-            else:
-                heapq.heapreplace(heap, (*following[:2], number, *following[2:], rest))
-            if len(out.rows[0]) > OUT_ROWS:
-                yield out.batch()
-
+    merge, here = _Merge(min_docs), None
     for batch in batches:
+        shards, langs, firsts, *lists = batch.columns
         for k in range(len(batch)):
-            shard, lang, first, *lists = (column[k] for column in batch.columns)
-            place = (shard.as_py(), lang.as_py())
+            place, first = (shards[k].as_py(), langs[k].as_py()), firsts[k].as_py()
             if place != here:
-                yield from drain(None)
+                if here is not None:
+                    yield from merge.before(here[1], None)
                 here = place
-            yield from drain(first.as_py())
-            rest = _postings(*(values.values for values in lists))
-            term, source, n, docs = next(rest)
-            serial += 1
-            heapq.heappush(heap, (term, source, serial, n, docs, rest))
-    yield from drain(None)
-    out.finish()
-    yield out.batch()
-
-
-def _postings(*columns: pa.Array, size: int = 256) -> Iterator[tuple]:
-    """The postings of a chunk; only a few of them are Python objects at a time."""
-    for low in range(0, len(columns[0]), size):
-        yield from zip(*(column.slice(low, size).to_pylist() for column in columns))
+            elif merge.held >= MERGE_POSTINGS:
+                yield from merge.before(here[1], first)
+            columns = [values[k].values for values in lists]
+            merge.add(first, pa.table(columns, names=["term", "source", "n", "docs"]))
+    if here is not None:
+        yield from merge.before(here[1], None)
 
 
 def _part(count: Column | str, of: Column) -> Column:

@@ -63,6 +63,7 @@ def test_equals_plain_counting(spark, monkeypatch):
     monkeypatch.setattr(divergence, "BLOCK_POSTINGS", 40)
     monkeypatch.setattr(divergence, "CHUNK", 3)
     monkeypatch.setattr(divergence, "OUT_ROWS", 7)
+    monkeypatch.setattr(divergence, "MERGE_POSTINGS", 10)
     check(spark, corpus(2), top=5)
 
 
@@ -79,6 +80,7 @@ def test_runs_merge_to_the_same_frequencies(spark, monkeypatch):
     whole = {tuple(r) for r in divergence.frequencies(docs.coalesce(1), 1, shards=1).collect()}
     monkeypatch.setattr(divergence, "BLOCK_POSTINGS", 10)
     monkeypatch.setattr(divergence, "CHUNK", 2)
+    monkeypatch.setattr(divergence, "MERGE_POSTINGS", 5)
     parts = [tuple(r) for r in divergence.frequencies(docs.repartition(7), 1, shards=5).collect()]
     assert set(parts) == whole and len(parts) == len(whole)
 
