@@ -111,6 +111,18 @@ from facts join neo using (neo_id)""")
 _cte("early_objects", "bronze_neo", _OBJECTS.format(where=_EARLY))
 _cte("early_facts", "bronze_neo", _FACTS.format(where=_EARLY))
 
+# Objects as the jobs see them: by the events that bronze has kept, one per approach.
+_LANDED_OBJECTS = """
+select neo_id, name, first_seen_date, last_seen_date from (
+  select neo_id, neo_name as name,
+         row_number() over (partition by neo_id order by close_approach_date desc, event_id desc) as rn,
+         min(close_approach_date) over (partition by neo_id) as first_seen_date,
+         max(close_approach_date) over (partition by neo_id) as last_seen_date
+  from (select *, row_number() over (
+          partition by neo_id, close_approach_date_full, orbiting_body order by event_id) as copy_number
+        from bronze_neo where close_approach_date {sign} """ + _EXISTING + """)
+  where copy_number = 1) where rn = 1"""
+
 _cte("records", "", """
 select (l_orderkey * 10 + l_linenumber) * 100000000 + l_partkey as id,
        l_shipdate as ingestion_timestamp,
@@ -331,6 +343,18 @@ select event_id, neo_id from bronze_neo where not is_synthetic"""),
     "silver_neo_close_approach": ("approaches", "select * from approaches"),
     "silver_satcat_satellite": ("satellites", "select * from satellites"),
     "silver_satcat_orbit_snapshot": ("snapshots", "select * from snapshots"),
+    "silver_satcat_records_variant": ("parsed", """
+select id, snapshot_date, source_group, norad_cat_id, object_id, object_name, object_type, owner,
+       ops_status_code, launch_date, launch_site, decay_date, orbit_center, orbit_type, rcs,
+       period_minutes, inclination_deg, apogee_km, perigee_km
+from parsed"""),
+    "merge_pruned_neo": ("bronze_neo facts objects early_objects", f"""
+select o.neo_id, coalesce(e.name, late.name) as name,
+       coalesce(e.first_seen_date, late.first_seen_date) as first_seen_date,
+       coalesce(e.last_seen_date, late.last_seen_date) as last_seen_date,
+       case when e.neo_id is null then 'silver-late' else 'silver-early' end as load_run
+from objects as o left join (select * from ({_LANDED_OBJECTS.format(sign="<")})) as e using (neo_id)
+left join (select * from ({_LANDED_OBJECTS.format(sign=">=")})) as late using (neo_id)"""),
     "merge_new_neo": ("objects early_objects", """
 select (select count(*) from early_objects) + row_number() over (order by md5(neo_id), neo_id) as neo_sk,
        neo_id, name, first_seen_date, last_seen_date
@@ -635,6 +659,19 @@ union all select 'gold.neo_hazard_summary', count(*), cast(sum(total_approaches)
 union all select 'gold.satcat_orbit_summary', count(*), cast(sum(snapshot_count) as bigint) from orbit_summary
 union all select 'gold.ai_neo_features', count(*), count(*) from facts join objects using (neo_id)
 union all select 'gold.ai_satcat_features', count(*), count(*) from orbits"""),
+    "job_gold_increment": ("daily hazard orbit_summary facts objects orbits", """
+select 'gold.neo_daily_activity' as mart, cast(unique_objects as varchar) as entity,
+       close_approach_date as day, total_approaches as n, cast(hazardous_approaches as double) as value
+from daily
+union all select 'gold.neo_hazard_summary', neo_id, last_approach_date, total_approaches,
+       closest_approach_km from hazard
+union all select 'gold.satcat_orbit_summary', cast(norad_cat_id as varchar), last_snapshot_date,
+       snapshot_count, avg_apogee_km from orbit_summary
+union all select 'gold.ai_neo_features', neo_id, close_approach_date,
+       case when is_potentially_hazardous_asteroid then 1 else 0 end, miss_distance_km
+from facts join objects using (neo_id)
+union all select 'gold.ai_satcat_features', cast(norad_cat_id as varchar), snapshot_date, null,
+       perigee_km from orbits"""),
     "stream_ledger": ("records", """
 select 'satcat_stream_to_bronze' as pipeline_name, 'stream' as triggered_by, 'success' as status,
        (select count(*) from lineitem join part on l_partkey = p_partkey) as records, true as in_order"""),

@@ -198,6 +198,25 @@ def silver_satcat_orbit_snapshot(t):
     return t.snapshots
 
 
+@query
+def silver_satcat_records_variant(t):
+    """Typed records from the VARIANT that stored rows have, next to the state of their text."""
+    warehouse = _warehouse(t)
+    warehouse.append(t.bronze_satcat, "bronze.satcat_raw", "load")
+    return silver_satcat.variant_records(warehouse.read("bronze.satcat_raw"))
+
+
+@query
+def merge_pruned_neo(t):
+    """Two loads of objects; the second reads the key buckets of its own objects only."""
+    warehouse = _warehouse(t)
+    _land_approaches(t, warehouse)
+    for load in ("early", "late"):
+        jobs.neo_to_silver(warehouse, f"silver-{load}", [load])
+    stored = warehouse.stored("silver.neo")
+    return stored.select("neo_id", "name", "first_seen_date", "last_seen_date", "load_run")
+
+
 @query
 def merge_new_neo(t):
     stored = silver_neo.build_neo(t.bronze_neo.filter(_before("close_approach_date")))
@@ -423,8 +442,12 @@ def _unkeyed_silver_tables(t: Inputs) -> dict[str, DataFrame]:
 
 @query
 def dq_job_checks(t):
-    tables = {name: staged(df) for name, df in _unkeyed_silver_tables(t).items()}
-    return quality.evaluate_all(tables, JOB_GATES)
+    """The row-level checks are counted while each table is written, as the jobs do."""
+    records = [
+        quality.staged_and_evaluated(df, JOB_GATES[name])[1]
+        for name, df in _unkeyed_silver_tables(t).items()
+    ]
+    return reduce(DataFrame.unionByName, records)
 
 
 @query
@@ -764,15 +787,25 @@ def _warehouse(t: Inputs) -> Warehouse:
     return Warehouse(t.spark, fresh_dir(t.spark, "job-tables"))
 
 
-def _land(t: Inputs, warehouse: Warehouse) -> None:
-    """Two loads of approaches and of catalog snapshots, cut by date."""
+LOADS = (("early", False), ("late", True))
+
+
+def _land_approaches(t: Inputs, warehouse: Warehouse) -> None:
+    """Two loads of approaches, cut by date."""
     approaches = staged(t.bronze_neo.withColumnRenamed("event_id", "position"))
-    catalog = staged(t.bronze_satcat.drop("id"))
-    for run, negate in (("early", False), ("late", True)):
-        day, moment = _before("close_approach_date"), _before("snapshot_date")
+    day = _before("close_approach_date")
+    for run, negate in LOADS:
         part = approaches.filter(~day if negate else day)
         jobs.land_approaches(warehouse, part, run, ["position"])
-        jobs.land_catalog(warehouse, catalog.filter(~moment if negate else moment), run)
+
+
+def _land(t: Inputs, warehouse: Warehouse) -> None:
+    """Two loads of approaches and of catalog snapshots, cut by date."""
+    _land_approaches(t, warehouse)
+    catalog = staged(t.bronze_satcat.drop("id"))
+    day = _before("snapshot_date")
+    for run, negate in LOADS:
+        jobs.land_catalog(warehouse, catalog.filter(~day if negate else day), run)
 
 
 @query
@@ -873,6 +906,44 @@ def job_gold_tables(t):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def job_gold_increment(t):
+    """Marts after two loads, each taken to gold by a job that only adds what is new."""
+    warehouse = _warehouse(t)
+    _land_approaches(t, warehouse)
+    day = _before("snapshot_date")
+    for load, negate in LOADS:
+        # Stored with the ids that they have, which decide between two snapshots of a day.
+        part = t.bronze_satcat.filter(~day if negate else day)
+        warehouse.append(part, "bronze.satcat_raw", load)
+        jobs.neo_to_silver(warehouse, load, [load])
+        jobs.satcat_to_silver(warehouse, load, [load])
+        jobs.silver_changes_to_gold(warehouse, f"gold-{load}")
+    text, number = "string", "double"
+
+    def rows(table: str, key: str, first: str, n: str | None, value: str | None) -> DataFrame:
+        return warehouse.read(table).select(
+            F.lit(table).alias("mart"),
+            F.col(key).cast(text).alias("entity"),
+            F.col(first).alias("day"),
+            (F.col(n) if n else F.lit(None)).cast("long").alias("n"),
+            (F.col(value) if value else F.lit(None)).cast(number).alias("value"),
+        )
+
+    parts = [
+        rows("gold.neo_daily_activity", "unique_objects", "close_approach_date", "total_approaches",
+             "hazardous_approaches"),
+        rows("gold.neo_hazard_summary", "neo_id", "last_approach_date", "total_approaches",
+             "closest_approach_km"),
+        rows("gold.satcat_orbit_summary", "norad_cat_id", "last_snapshot_date", "snapshot_count",
+             "avg_apogee_km"),
+        rows("gold.ai_neo_features", "neo_id", "close_approach_date", "is_hazardous_label",
+             "miss_distance_km"),
+        rows("gold.ai_satcat_features", "norad_cat_id", "snapshot_date", None, "perigee_km"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def stream_ledger(t):
     """What the ledger holds after a stream has run over all catalog messages."""
