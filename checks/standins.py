@@ -16,6 +16,7 @@ from skyledger.operators.ledger import run_state
 from skyledger.plans import silver_neo, silver_satcat
 from skyledger.session import staged
 
+ROW_GROUP_BYTES = 128 << 20  # what writers put into a row group at most
 REDELIVERED_OFFSET = 1_000_000_000_000
 
 
@@ -38,6 +39,17 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def rows(self, name: str) -> DataFrame:
+        """A table whose rows are worked on one by one, dealt over all cores.
+
+        A scan cannot split a row group, so a file of one group would keep one core busy. Tables with
+        groups for every core are left as they are.
+        """
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return df.repartition(cores) if size < cores * ROW_GROUP_BYTES else df
+
     # --- approaches ---
 
     @cached_property
@@ -46,7 +58,7 @@ class Inputs:
         copies = F.when(F.col("o_orderstatus") == "P", F.array(F.lit(0), F.lit(1))).otherwise(
             F.array(F.lit(0))
         )
-        orders = self.table("orders").select("*", F.explode(copies).alias("copy"))
+        orders = self.rows("orders").select("*", F.explode(copies).alias("copy"))
         customers = self.table("customer")
         return orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "inner")
 
@@ -115,7 +127,7 @@ class Inputs:
 
     @cached_property
     def bronze_satcat(self) -> DataFrame:
-        lines, parts = self.table("lineitem"), self.table("part")
+        lines, parts = self.rows("lineitem"), self.table("part")
         joined = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "inner")
         size = F.col("p_size").cast("long")
         quantity = F.col("l_quantity").cast("long")
