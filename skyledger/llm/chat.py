@@ -88,7 +88,7 @@ def _by_role(role: Column, template: Template, pick, other: Column) -> Column:
 
 
 def segments(turns: DataFrame, template: Template = INSTRUCT) -> DataFrame:
-    """(conv_id, turn, role, opening, body, closing, loss) for each row of `turns`.
+    """(conv_id, turn, role, text, opening, body, closing, loss) for each row of `turns`.
 
     Needs conv_id, turn, role, text; other columns are ignored. A NULL text is empty, a NULL role
     is the empty role. Each row stands alone, so a long conversation needs no task of its own here.
@@ -101,6 +101,7 @@ def segments(turns: DataFrame, template: Template = INSTRUCT) -> DataFrame:
         "conv_id",
         "turn",
         role.alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
         _by_role(role, template, lambda t: t.opening, named).alias("opening"),
         escaped(F.coalesce("text", F.lit("")), template).alias("body"),
         _by_role(role, template, lambda t: t.closing, F.lit(template.other.closing)).alias(
@@ -119,14 +120,15 @@ def format_chats(turns: DataFrame, template: Template = INSTRUCT) -> DataFrame:
     after the last. A conversation is one value of the result, so its rows meet in one task.
     """
     each = segments(turns, template)
-    turn = F.struct("turn", "role", "body", "opening", "closing", "loss")
+    # The text itself, not its escaped form, tells the order.
+    turn = F.struct("turn", "role", "text", "opening", "closing", "loss")
     chats = each.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     parts = F.flatten(
         F.transform(
             "turns",
             lambda t: F.array(
                 F.struct(t["opening"].alias("text"), F.lit(False).alias("loss")),
-                F.struct(t["body"].alias("text"), t["loss"].alias("loss")),
+                F.struct(escaped(t["text"], template).alias("text"), t["loss"].alias("loss")),
                 F.struct(t["closing"].alias("text"), F.lit(False).alias("loss")),
             ),
         )

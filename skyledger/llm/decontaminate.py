@@ -12,12 +12,13 @@ The items are the query set: they reach the tasks in blocks of bounded size, one
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from skyledger.llm.workers import released
+from skyledger.session import staged
 
 ERROR_PERCENT = 8
 BLOCK_CHARS = 4_000_000  # of item text in one scan
@@ -144,7 +145,7 @@ class Searcher:
         found[item_id] = min(found.get(item_id, hit), hit)
 
 
-@cache
+@lru_cache(1)
 def _searcher(items: tuple[tuple[int, str], ...], percent: int) -> Searcher:
     return Searcher(list(items), percent)
 
@@ -158,11 +159,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = ERROR_PERCENT) -
     result; rows without doc_id report NULL as their id. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = None
-    for block in _blocks(benchmark):
-        found = rows.mapInArrow(
-            released(_search(block, percent)), "doc_id long, item_id long, distance int, end_char int"
-        )
+    out, schema = None, "doc_id long, item_id long, distance int, end_char int"
+    n, blocks = _blocks(benchmark)
+    for block in blocks:
+        found = rows.mapInArrow(released(_search(block, percent)), schema)
+        # Of several blocks each is done with before the next is read.
+        found = staged(found) if n > 1 else found
         out = found if out is None else out.union(found)
     first = F.min(F.struct("distance", "end_char")).alias("first")
     return out.groupBy("doc_id", "item_id").agg(first).select("doc_id", "item_id", "first.*")
@@ -171,24 +173,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = ERROR_PERCENT) -
 def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = ERROR_PERCENT) -> DataFrame:
     """The rows of `docs`, all columns, that hold no passage of any item."""
     at = docs.columns.index("text")
-    for block in _blocks(benchmark):
+    n, blocks = _blocks(benchmark)
+    for block in blocks:
         docs = docs.mapInArrow(released(_filter(block, percent, at)), docs.schema)
+        docs = staged(docs) if n > 1 else docs
     return docs
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[tuple[tuple[int, str], ...]]:
-    """Distinct items in blocks of at most BLOCK_CHARS, or one longer item; one block at least."""
+def _blocks(benchmark: DataFrame) -> tuple[int, Iterator[tuple[tuple[int, str], ...]]]:
+    """Number of blocks, and the distinct items block by block; one block at least.
+
+    Items are dealt to blocks of about BLOCK_CHARS characters by a hash and written to the shared
+    folder. Only the block that is asked for comes to the driver, to be sent to the tasks.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     items = items.filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
-    block, size, any_block = [], 0, False
-    for row in items.orderBy("item_id", "text").toLocalIterator():
-        if block and size + len(row["text"]) > BLOCK_CHARS:
-            yield tuple(block)
-            block, size, any_block = [], 0, True
-        block.append((row["item_id"], row["text"]))
-        size += len(row["text"])
-    if block or not any_block:
-        yield tuple(block)
+    chars = items.agg(F.sum(F.char_length("text").cast("long"))).first()[0] or 0
+    n = -(-chars // BLOCK_CHARS) or 1
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    written = staged(items.withColumn("block", block).repartition("block"))
+
+    def read() -> Iterator[tuple[tuple[int, str], ...]]:
+        for k in range(n):
+            rows = written.filter(F.col("block") == k).select("item_id", "text").collect()
+            yield tuple(sorted((r["item_id"], r["text"]) for r in rows))
+
+    return n, read()
 
 
 def _search(items: tuple, percent: int):

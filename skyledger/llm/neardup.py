@@ -17,6 +17,7 @@ with probability MISS at most (0.8: (1 - 0.8^4)^32 < 5e-8), and is skipped with
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from math import comb
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.components import components
 from skyledger.llm.superminhash import SIZE, band_keys, signatures
 from skyledger.llm.words import SPACED, Texts, shingles_of, slices, texts_of, words_of
-from skyledger.llm.workers import released
+from skyledger.llm.workers import released, unused
 from skyledger.operators.lookup import lookup
 from skyledger.session import staged
 
@@ -37,7 +38,6 @@ PERCENT = 80
 BAND_ROWS = 4
 BLOCK_SHINGLES = 1 << 20  # of a block's sets together; a cell holds two blocks
 BLOCK_DOCS = 2048
-_GONE = "_near_duplicate"
 MISS = 5e-8
 
 
@@ -88,15 +88,21 @@ def keep_one(
 ) -> DataFrame:
     """The rows of `docs` whose doc_id is the least of its group, with all their columns.
 
-    Of several rows with that doc_id the one with the least text hash stays. Rows without doc_id
-    stay, and so do texts without words.
+    Of several rows with that doc_id the one with the least text hash stays, of equal texts the one
+    whose other columns have the least hash (all but maps and variants). Rows without doc_id stay,
+    and so do texts without words. Columns may have any names.
     """
     _, grouped = _groups(docs, shingle_words, percent)
-    gone = grouped.filter("id != component").select(F.col("id").alias(_GONE))
+    own = unused(docs, "near_duplicate")
+    gone = grouped.filter("id != component").select(F.col("id").alias(own))
     named = docs.filter("doc_id IS NOT NULL")
-    left = named.join(gone, F.col("doc_id").cast("long") == F.col(_GONE), "left_anti")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    one = left.withColumn(_GONE, place).filter(F.col(_GONE) == 1).drop(_GONE)
+    left = named.join(gone, F.col("doc_id").cast("long") == F.col(own), "left_anti")
+    hashed = [
+        f"`{f.name}`" for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())
+    ]
+    order = (F.xxhash64("text"), F.xxhash64(*hashed))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
+    one = left.withColumn(own, place).filter(F.col(own) == 1).drop(own)
     return one.union(docs.filter("doc_id IS NULL"))
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.words import SPACED, Texts, mix, prefix_values, slices, texts_of, words_of
-from skyledger.llm.workers import released
+from skyledger.llm.workers import released, unused
 from skyledger.operators.lookup import lookup
 from skyledger.session import staged
 
@@ -42,7 +42,6 @@ WINDOW = 8
 EDGES = 3 * WINDOW - 2
 _ENDS = np.isin(np.arange(256), list(b".!?"))
 _CLOSERS = np.isin(np.arange(256), list(b"\"')]"))
-REMOVED = "_repeated_spans"
 
 
 class Sentences:
@@ -198,16 +197,15 @@ def without_repeats(
     NULL texts stay NULL; a text that consists of repeats becomes empty. Rows with equal doc_id are
     one document, and no span of theirs counts as repeated between them; rows without doc_id lose
     only what repeats inside their own text. `with_counts` adds n_sentences and n_removed, the
-    sentences (or pieces) of which no word is left.
+    sentences (or pieces) of which no word is left, in the place of columns that have these names.
     """
-    if REMOVED in docs.columns:
-        raise ValueError(f"the column name {REMOVED} is taken")
+    if with_counts:
+        docs = docs.drop("n_sentences", "n_removed")
+    own, own_id = unused(docs, "repeated_spans"), unused(docs, "repeated_spans_of")
     gone = removals(docs, size, min_words).select(
-        F.col("doc_id").alias(f"{REMOVED}_of"), F.col("hashes").alias(REMOVED)
-    )
-    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col(f"{REMOVED}_of"), "left").drop(
-        f"{REMOVED}_of"
+        F.col("doc_id").alias(own_id), F.col("hashes").alias(own)
     )
+    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col(own_id), "left").drop(own_id)
     at, extra = docs.columns.index("text"), ["n_sentences", "n_removed"] if with_counts else []
     names = docs.columns
 

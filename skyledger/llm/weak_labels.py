@@ -163,12 +163,19 @@ def fit_scorer(
     return weights, bias
 
 
+_PLACES = 1 << 40
+
+
 def train(
     docs: DataFrame,
     labellers: Sequence[Labeller] = LABELLERS,
     train_docs: int = TRAIN_DOCS,
 ) -> tuple[LabelModel, np.ndarray, float]:
-    """Label model over all documents, scorer over a sample of about `train_docs` of them."""
+    """Label model over all documents, scorer over a sample of about `train_docs` of them.
+
+    Whether a row is in the sample depends on a hash of its doc_id and text alone, and the sample is
+    sorted, so that the model is the same however the rows are partitioned.
+    """
     counts = pattern_counts(docs, labellers)
     model = fit_labels(counts, len(labellers))
 
@@ -189,12 +196,14 @@ def train(
                 )
 
     fraction = min(1.0, train_docs / max(sum(counts.values()), 1))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(_PLACES))
     sample = (
-        docs.select("text")
-        .sample(fraction=fraction, seed=4)
+        docs.filter(place < F.lit(int(fraction * _PLACES)))
+        .select("text")
         .mapInArrow(released(run), "pattern long, features binary, shares binary")
         .collect()
     )
+    sample.sort()
     target = np.array([model.posterior[r["pattern"]] for r in sample])
     each = [np.frombuffer(r["features"], np.int32) for r in sample]
     rows = np.repeat(np.arange(len(sample)), [len(e) for e in each])

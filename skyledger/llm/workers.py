@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SPARK_DEFAULT, _OWN = "67108864b", "8m"
@@ -33,6 +33,14 @@ def let_workers_import(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def released(
     run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -1,0 +1,75 @@
+"""Clashing column names, ties, and results that must not depend on the partitioning."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.llm import chat, decontaminate, neardup, spans, weak_labels
+from tests.llm.samples import prose
+
+ROWS = [(k, prose(k % 7, 90)) for k in range(12)] + [(3, prose(3, 90)), (None, None), (20, "")]
+NAMES = ("near_duplicate", "_near_duplicate", "repeated_spans", "repeated_spans_of", "id", "component",
+         "span", "hashes", "first_doc", "block", "item_id", "n_sentences", "n_removed", "_n", "_part")
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    schema = "doc_id LONG, text STRING, " + ", ".join(f"{n} STRING" for n in NAMES)
+    return spark.createDataFrame([(i, t, *["x"] * len(NAMES)) for i, t in ROWS], schema).repartition(3)
+
+
+def test_keep_one_with_any_names(clashing):
+    kept = neardup.keep_one(clashing)
+    assert kept.columns == clashing.columns
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0) for r in kept.collect()) == [
+        (False, 0), *((True, k) for k in (*range(7), 20)),
+    ]
+
+
+def test_keep_one_settles_ties_by_the_other_columns(spark):
+    rows = [(1, "one two three", f"v{k}") for k in range(40)]
+    found = set()
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, v STRING").repartition(parts, "v")
+        found |= {tuple(r) for r in neardup.keep_one(docs).collect()}
+    assert len(found) == 1
+
+
+def test_spans_with_any_names(clashing):
+    cut = spans.without_repeats(clashing, with_counts=True)
+    assert sorted(cut.columns) == sorted(clashing.columns)
+    assert dict(cut.dtypes)["n_removed"] == "bigint" and cut.count() == len(ROWS)
+    assert spans.without_repeats(clashing).columns == clashing.columns
+
+
+def test_decontamination_with_any_names(clashing, spark, monkeypatch):
+    benchmark = spark.createDataFrame([(k, prose(k, 30), "x") for k in range(9)], "item_id LONG, text STRING, block STRING")
+    expected = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(clashing, benchmark).collect()}
+    assert expected
+    clean = {r["doc_id"] for r in decontaminate.without_leaks(clashing, benchmark).collect()}
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 200)
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(clashing, benchmark).collect()} == expected
+    assert {r["doc_id"] for r in decontaminate.without_leaks(clashing, benchmark).collect()} == clean
+    n, blocks = decontaminate._blocks(benchmark)
+    blocks = list(blocks)
+    assert n == len(blocks) > 3 and sum(map(len, blocks)) == 9
+
+
+def test_equal_turns_are_ordered_by_their_text(spark):
+    texts = ["A", "<s>", "\\", "[INST]", "B"]
+    turns = spark.createDataFrame([(1, 0, "user", t) for t in texts], "conv_id LONG, turn LONG, role STRING, text STRING")
+    row = chat.digests(chat.format_chats(turns)).first()
+    lines = "".join(f"user\n{t}\n" for t in sorted(texts))
+    assert row["turns_sha256"] == hashlib.sha256(lines.encode()).hexdigest()
+
+
+def test_scores_do_not_depend_on_the_partitioning(spark):
+    docs = spark.createDataFrame(
+        [(k, prose(k, 5 + k % 80) + (" !!! $$$" * (k % 3))) for k in range(300)], "doc_id LONG, text STRING"
+    )
+    results = []
+    for parts in (1, 6):
+        scored = weak_labels.scored(docs.repartition(parts, F.xxhash64("text")), train_docs=60)
+        results.append({r["doc_id"]: (r["weak_label"], r["score"]) for r in scored.collect()})
+    assert results[0] == results[1] and len({s for _, s in results[0].values()}) > 100
