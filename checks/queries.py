@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -49,10 +50,18 @@ def _before(column: str, day: str = EXISTING_BEFORE):
 
 
 def _placed(df: DataFrame) -> DataFrame:
-    """Number the rows of a small sorted result as they come out, so that the order is compared."""
-    seen = df.withColumn("_seen", F.monotonically_increasing_id())
-    place = F.row_number().over(Window.orderBy("_seen"))
-    return seen.withColumn("place", place.cast("long")).drop("_seen")
+    """Number the rows of a sorted result as they come out, so that the order is compared.
+
+    The sorted partitions stay as they are: each gets the number of rows before it, and its rows are
+    numbered by their place in it. Only one count per partition meets in a task.
+    """
+    seen = staged(df.withColumn("_seen", F.monotonically_increasing_id()))
+    part, inside = F.shiftrightunsigned("_seen", 33), F.col("_seen").bitwiseAND((1 << 33) - 1)
+    sizes = seen.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    offsets = sizes.select("_part", before.alias("_before"))
+    numbered = seen.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return numbered.select(*df.columns, (F.col("_before") + inside + 1).alias("place"))
 
 
 # --- sources and bronze ------------------------------------------------------
@@ -311,9 +320,7 @@ def approaches_within_ld_weekly(t):
 
 @query
 def top_closest_approaches(t):
-    """Every seventh object is missing, so some of the closest facts have no dimension row."""
-    known = t.neo.filter(F.col("neo_id").cast("long") % 7 != 0)
-    return analysis.top_closest(t.approaches, known)
+    return analysis.top_closest(t.approaches, t.neo)
 
 
 @query
@@ -658,6 +665,71 @@ def stream_satcat_to_bronze(t):
     )
 
 
+@query
+def stream_neo_stateful(t):
+    """Two starts on one checkpoint; the second gets all messages again, and new ones."""
+    early = t.bronze_neo.filter(_before("close_approach_date"))
+    warehouse = _warehouse(t)
+    checkpoint, lines = (fresh_dir(t.spark, f"stateful-{n}") for n in ("checkpoint", "messages"))
+    for rows in (early, t.bronze_neo):
+        sent = messages.encode_approaches(
+            rows.drop("event_id", "ingestion_timestamp", "feed_start_date", "feed_end_date")
+        )
+        sent.select("value").write.mode("append").text(lines)
+        source = messages.file_stream(t.spark, lines)
+        for stream in streams.start_unique_approach_stream(
+            source, warehouse, checkpoint, availableNow=True
+        ):
+            stream.awaitTermination()
+    landed = warehouse.read("bronze.neo_event_raw")
+    return landed.groupBy(*silver_neo.APPROACH_KEY).agg(
+        F.count(F.lit(1)).alias("copies"), F.countDistinct("event_id").alias("ids")
+    )
+
+
+@query
+def stream_satcat_file_sink(t):
+    """The file sink over all messages, started twice on one checkpoint."""
+    sent = messages.encode_catalog(t.bronze_satcat, F.col("ingestion_timestamp"))
+    lines = _write_lines(t, sent, "sink-messages")
+    path, checkpoint = (fresh_dir(t.spark, f"satcat-{n}") for n in ("files", "files-checkpoint"))
+    for _ in range(2):
+        streams.start_catalog_file_stream(
+            messages.file_stream(t.spark, lines), path, checkpoint, availableNow=True
+        ).awaitTermination()
+    records = silver_satcat.variant_records(streams.read_catalog_files(t.spark, path))
+    return records.groupBy("norad_cat_id", "snapshot_date", "source_group").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.min("apogee_km").alias("min_apogee_km"),
+        F.max("perigee_km").alias("max_perigee_km"),
+    )
+
+
+@query
+def stream_silver_lag(t):
+    """A stream, then the job that takes its batches over: all within the limit of 30 minutes."""
+    log = streams.ProgressLog()
+    t.spark.streams.addListener(log)
+    try:
+        sent = messages.encode_catalog(t.bronze_satcat, F.col("ingestion_timestamp"))
+        lines = _write_lines(t, sent, "lag-messages")
+        warehouse = _run_stream(t, streams.start_catalog_stream, lines, "lag-stream")
+        # The report of a batch comes after the batch.
+        deadline = time.monotonic() + 60
+        while not log.store(warehouse, "progress") and time.monotonic() < deadline:
+            time.sleep(0.2)
+    finally:
+        t.spark.streams.removeListener(log)
+    jobs.recorded(warehouse, "satcat_to_silver", lambda run: jobs.satcat_to_silver(warehouse, run))
+    runs = ledger.run_state(warehouse.read("meta.pipeline_run"))
+    lags = streams.silver_lag(warehouse.read("meta.stream_progress"), runs)
+    return lags.groupBy("stream").agg(
+        F.sum("input_rows").alias("input_rows"),
+        F.bool_and("is_fresh").alias("is_fresh"),
+        F.bool_and(F.col("lag_seconds") >= 0).alias("in_order"),
+    )
+
+
 @query
 def stream_quarantine(t):
     """Event properties sent as catalog messages: some broken, some without key or time."""
@@ -981,10 +1053,9 @@ def freshness_silver(t):
 
 @query
 def dq_recent(t):
-    """Newest quality records: one per run, ordered by its end."""
-    records = t.runs.filter("end_time IS NOT NULL").select(
-        F.col("end_time").alias("created_at"), "run_id", F.col("pipeline_name").alias("check_name"),
-        "status", F.col("records_processed").alias("total_records"),
-        F.lit(0).cast("long").alias("failed_records"),
-    )
-    return _placed(ledger.recent_checks(records))
+    """Newest quality records of the ledger, after a job has written some."""
+    warehouse = _warehouse(t)
+    _land_approaches(t, warehouse)
+    jobs.neo_to_silver(warehouse, "silver")
+    records = ledger.recent_checks(warehouse.read("meta.data_quality_run"))
+    return _placed(records.drop("created_at"))

@@ -42,7 +42,8 @@ def top_closest(approaches: DataFrame, neo: DataFrame, limit: int = 20) -> DataF
     measures = approaches.select(
         "approach_sk", "neo_id", "close_approach_date", "miss_distance_lunar", "rel_velocity_km_s"
     )
-    known = lookup(measures, neo.select("neo_id"), ["neo_id"], ["approach_sk"], "left_semi")
+    # Adaptive execution splits a hot key of the left side of a semi join.
+    known = measures.join(neo.select("neo_id"), "neo_id", "left_semi")
     ranked = known.orderBy(*order).limit(limit)
     names = neo.select("neo_id", "name", "is_potentially_hazardous_asteroid")
     return names.join(F.broadcast(ranked), "neo_id", "inner").orderBy(*order).select(

@@ -233,6 +233,16 @@ DQ_RECORD = (
     .add("created_at", "timestamp", False)
 )
 
+# Finished micro-batches, as the streams report them.
+STREAM_PROGRESS = (
+    T.StructType()
+    .add("stream", "string", False)
+    .add("query_id", "string", False)
+    .add("batch_id", "long", False)
+    .add("finished_at", "timestamp", False)
+    .add("input_rows", "long")
+)
+
 # Last surrogate key reserved by each load of a table.
 KEY_RANGE = (
     T.StructType()
@@ -297,6 +307,7 @@ TABLES: dict[str, T.StructType] = {
     "meta.pipeline_run": RUN_EVENT,
     "meta.data_quality_run": DQ_RECORD,
     "meta.key_range": KEY_RANGE,
+    "meta.stream_progress": STREAM_PROGRESS,
     "ml.model_registry": MODEL_REGISTRY,
     "ml.model_metric": MODEL_METRIC,
     "ml.prediction": PREDICTION,

@@ -311,16 +311,33 @@ class Warehouse:
         a failure finishes the work: the merged rows are hidden until the old ones are gone.
         """
         name = self._part_name(table, part.replace(day=1) if isinstance(part, date) else part)
-        folder = f"{self.path(table)}/{name}"
+        return self._merge(table, name, into, lambda rows: rows)
+
+    def merge_runs(
+        self, table: str, into: str, fold: Callable[[DataFrame], DataFrame]
+    ) -> int:
+        """The same for a table without parts, whose rows `fold` may put together. The notes of the
+        merged runs go with their folders, so the table must not be asked for `finished` runs."""
+        old = set(self.loads_of(table)) - {into}
+        merged = self._merge(table, "", into, fold)
+        for run in old if merged else ():
+            remove(self.spark, f"{self.path(table)}/_done/{run}")
+        return merged
+
+    def _merge(
+        self, table: str, part_name: str, into: str, fold: Callable[[DataFrame], DataFrame]
+    ) -> int:
+        folder = f"{self.path(table)}/{part_name}".rstrip("/")
         prefix, merged = f"{LOAD_COLUMN}=", f"{self.path(table)}/_merged/{into}"
         if not path_exists(self.spark, merged):
-            rows = self._stored(table, [name], into)
+            rows = self._stored(table, [part_name] if part_name else None, into)
             runs = rows.select(LOAD_COLUMN).distinct().count()
             if runs < 2:
                 return 0
             self._clear(table, into)
             self._note(table, "pending", into)
-            self._write(rows.select(*TABLES[table].fieldNames()), table, into)
+            folded = fold(rows.select(*TABLES[table].fieldNames()))
+            self._write(self.shaped(folded, table), table, into)
             self._note(table, "merged", into)
         hidden = {f"{prefix}{run}" for run in (*self._pending(table), into)}
         old = [n for n in folder_names(self.spark, f"{folder}/{prefix}*") if n not in hidden]

@@ -6,19 +6,34 @@ after the stream and the batch, so a replayed batch adds nothing twice.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from threading import Event
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from skyledger.functions.text import day_of_iso_timestamp, to_day
-from skyledger.plans.jobs import append_catalog, land_approaches, recorded
-from skyledger.schemas import NEO_MESSAGE, SATCAT_MESSAGE
+from skyledger.plans.jobs import append_approaches, append_catalog, land_approaches, recorded
+from skyledger.plans.silver_neo import APPROACH_KEY
+from skyledger.schemas import (
+    BRONZE_SATCAT,
+    NEO_MESSAGE,
+    SATCAT_MESSAGE,
+    STREAM_PROGRESS,
+    as_variant,
+)
+from skyledger.session import literal_rows, staged_with
 from skyledger.sources.tables import Warehouse
 
+#: The silver job that takes over what a stream lands.
+TAKEN_OVER_BY = {
+    "neo_stream_to_bronze": "neo_to_silver",
+    "satcat_stream_to_bronze": "satcat_to_silver",
+}
 _CORRUPT = "_corrupt"
 _SOURCE_ORDER = ("timestamp", "partition", "offset")
 
@@ -175,6 +190,173 @@ def start_catalog_stream(
     )
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def start_unique_approach_stream(
+    messages: DataFrame, warehouse: Warehouse, checkpoint: str, **trigger
+) -> list[StreamingQuery]:
+    """Stream approach messages into bronze; the keys seen so far are state of the stream.
+
+    The state store (RocksDB, in the checkpoint) drops every key that came before, in this batch, an
+    earlier one or before a restart. So a batch costs what it holds, whatever bronze has grown to.
+    Keys that came to bronze by other ways are not known here: use one way per table. NULL is an
+    ordinary value of a key. The state holds one entry per key for good, on the executors' disks.
+
+    A second query takes the rejected messages to the quarantine.
+    """
+    trigger = trigger or {"processingTime": "30 seconds"}
+    stream, parsed = "neo_stream_to_bronze", parse_approaches(messages)
+    fresh = usable(parsed).dropDuplicates(APPROACH_KEY)
+
+    def start(rows: DataFrame, name: str, write: Callable[[DataFrame, str], int]) -> StreamingQuery:
+        started, query = Event(), []
+
+        def on_batch(batch: DataFrame, batch_id: int) -> None:
+            started.wait()
+            run = f"{name}-{query[0].id}-{batch_id}"
+            recorded(
+                warehouse, name, lambda _: write(batch, run), run_id=run, triggered_by="stream"
+            )
+
+        query.append(
+            rows.writeStream.outputMode("append")
+            .queryName(name)
+            .foreachBatch(on_batch)
+            .option("checkpointLocation", f"{checkpoint}/{name}")
+            .trigger(**trigger)
+            .start()
+        )
+        started.set()
+        return query[0]
+
+    def reject(rows: DataFrame, run: str) -> int:
+        kept, found = staged_with(rows, rows=F.count(F.lit(1)))
+        if found["rows"]:
+            warehouse.append(kept, "bronze.quarantine", run)
+        return found["rows"]
+
+    spark = messages.sparkSession
+    before = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, ROCKSDB)
+    try:
+        rows = start(fresh, stream, lambda rows, run: append_approaches(warehouse, rows, run))
+    finally:
+        spark.conf.set(_STATE_STORE, before)
+    return [rows, start(quarantined(parsed, stream), f"{stream}_quarantine", reject)]
+
+
+def start_catalog_file_stream(
+    messages: DataFrame, path: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Stream usable catalog messages into Parquet files below `path`, each exactly once.
+
+    The sink's own log says which files belong to finished batches; a restart neither repeats nor
+    loses rows. `read_catalog_files` reads by that log. `id` is a hash of the message: equal messages
+    have the same one, and it orders the snapshots of a day. Rejected messages are left out; a
+    `start_catalog_stream` on the same source quarantines them.
+    """
+    parsed = parse_catalog(messages)
+    rows = parsed.withColumns(
+        {
+            "id": F.xxhash64("value"),
+            "ingestion_timestamp": F.current_timestamp(),
+            "record": as_variant("parsed_record"),
+        }
+    )
+    return (
+        usable(rows)
+        .select(*BRONZE_SATCAT.fieldNames())
+        .writeStream.format("parquet")
+        .queryName("satcat_stream_to_files")
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "30 seconds"}))
+        .start()
+    )
+
+
+def read_catalog_files(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the finished batches of a file stream, shaped as `bronze.satcat_raw`."""
+    return spark.read.schema(BRONZE_SATCAT).parquet(path)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Notes the finished batches of the streams of a session.
+
+        log = ProgressLog(); spark.streams.addListener(log); ...; log.store(warehouse, "monday")
+
+    Events come asynchronously, on a thread that must not wait; `store` writes what has come so far.
+    Batches without input are left out.
+    """
+
+    def __init__(self):
+        self._seen: deque[tuple] = deque()
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.name and p.numInputRows:
+            began = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00"))
+            took = timedelta(milliseconds=p.durationMs.get("triggerExecution", 0))
+            self._seen.append((p.name, str(p.id), p.batchId, began + took, p.numInputRows))
+
+    def store(self, warehouse: Warehouse, run: str) -> int:
+        """Append the batches seen since the last call to `meta.stream_progress`."""
+        rows = [self._seen.popleft() for _ in range(len(self._seen))]
+        if rows:
+            frame = literal_rows(warehouse.spark, STREAM_PROGRESS, rows)
+            warehouse.append(frame, "meta.stream_progress", run)
+        return len(rows)
+
+
+def silver_lag(
+    progress: DataFrame, runs: DataFrame, limit_minutes: int = 30, within_days: int = 2
+) -> DataFrame:
+    """(stream, batch_id, input_rows, finished_at, silver_run, lag_seconds, is_fresh) of each batch.
+
+    The first successful silver run that began after the batch took it over; the lag ends with it. A
+    batch that none took over within about `within_days` has no lag and is not fresh. Batches meet
+    the runs of their own and the next days only. A batch reported twice counts once.
+    """
+    silver = F.create_map(*[F.lit(x) for pair in TAKEN_OVER_BY.items() for x in pair])
+    day = F.col("finished_at").cast("date")
+    batches = (
+        progress.dropDuplicates(["stream", "query_id", "batch_id"])
+        .withColumn("pipeline_name", F.try_element_at(silver, F.col("stream")))
+        .withColumn("days", F.sequence(day, F.date_add(day, within_days)))
+    )
+    took = runs.filter("status = 'success'").select(
+        "pipeline_name",
+        F.col("start_time").cast("date").alias("day"),
+        F.struct("start_time", "end_time", "run_id").alias("taken"),
+    )
+    each = batches.withColumn("day", F.explode("days"))
+    later = F.when(F.col("taken.start_time") >= F.col("finished_at"), F.col("taken"))
+    first = (
+        each.join(took, ["pipeline_name", "day"], "left")
+        .groupBy("stream", "query_id", "batch_id", "input_rows", "finished_at")
+        .agg(F.min(later).alias("taken"))
+    )
+    lag = F.timestamp_diff("SECOND", F.col("finished_at"), F.col("taken.end_time"))
+    return first.select(
+        "stream",
+        "batch_id",
+        "input_rows",
+        "finished_at",
+        F.col("taken.run_id").alias("silver_run"),
+        lag.alias("lag_seconds"),
+        F.coalesce(lag <= limit_minutes * 60, F.lit(False)).alias("is_fresh"),
+    )
+
+
 def quarantine_counts(quarantine: DataFrame) -> DataFrame:
     """Rejected messages per stream and reason."""
     return quarantine.groupBy("stream", "reason").agg(F.count(F.lit(1)).alias("messages"))
