@@ -256,3 +256,46 @@ def test_record_pass_rates(spark):
     )
     rates = {r["check_name"]: r["pass_percent"] for r in ledger.record_pass_rates(records).collect()}
     assert rates == {"c": 95.0, "empty": None}
+
+
+def test_ledger_snapshot_and_tail(warehouse, spark):
+    """500 runs leave a bounded number of folders, and every state is what it was."""
+    from pathlib import Path
+
+    table = "meta.pipeline_run"
+    number, second = F.col("id").cast("int"), F.make_interval(secs=F.col("id"))
+    one = F.struct(F.lit("start").alias("event"), F.lit("running").alias("status"), F.lit(None).cast("long").alias("n"))
+    two = F.struct(F.lit("end").alias("event"), F.when(number % 3 == 0, "failed").otherwise("success").alias("status"),
+                   number.cast("long").alias("n"))
+    three = F.struct(F.lit("end").alias("event"), F.lit("success").alias("status"), F.lit(None).cast("long").alias("n"))
+    events = F.when(number % 7 == 0, F.array(one)).when(number % 5 == 0, F.array(one, two, three)).otherwise(F.array(one, two))
+    rows = spark.range(500).select("id", F.posexplode(events).alias("k", "e")).select(
+        F.format_string("run%03d", "id").alias("run_id"), F.lit("p").alias("pipeline_name"), "e.event", "e.status",
+        (F.lit(NOW) + second + F.make_interval(mins=F.col("k"))).alias("event_time"),
+        F.col("e.n").alias("records_processed"), F.when(F.col("e.status") == "failed", "x").alias("error_message"),
+        F.concat_ws("-", "id", "k").alias("load_run"),
+    )
+    shaped = warehouse.shaped(rows, table).withColumn("load_run", F.monotonically_increasing_id().cast("string"))
+    shaped.write.partitionBy("load_run").parquet(warehouse.path(table))
+    folder = Path(warehouse.path(table))
+    for name in [p.name.split("=")[1] for p in folder.glob("load_run=*")]:
+        warehouse._note(table, "done", name)
+
+    def state():
+        return sorted(map(str, ledger.run_state(warehouse.read(table)).collect()))
+
+    before = state()
+    assert len(before) == 500 and len(list(folder.glob("load_run=*"))) > 900
+    assert jobs.compact_ledger(warehouse, "snapshot-1") > 900
+    assert state() == before
+    assert len(list(folder.glob("load_run=*"))) == len(list(folder.glob("_done/*[!c]"))) == 1
+    assert warehouse.read(table).count() < 1000
+    # Later events add to the snapshot, and the next snapshot takes both in.
+    run_id = "run007"
+    late = ledger.run_event(spark, run_id, "p", "end", "success", NOW + timedelta(days=1), records_processed=9)
+    warehouse.append(late, table, "tail")
+    ended = {r["run_id"]: r for r in ledger.run_state(warehouse.read(table)).collect()}[run_id]
+    assert (ended["status"], ended["records_processed"]) == ("success", 9)
+    with_tail = state()
+    assert jobs.compact_ledger(warehouse, "snapshot-2") == 2 and state() == with_tail
+    assert jobs.compact_ledger(warehouse, "snapshot-3") == 0

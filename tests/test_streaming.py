@@ -146,3 +146,88 @@ def test_snapshot_day_is_the_written_day(spark, value):
     message = json.dumps({"snapshot_group": "g", "snapshot_timestamp": value, "satcat": {}})
     row = bronze.parse_catalog(spark.createDataFrame([(message,)], "value STRING")).first()
     assert str(row["snapshot_date"]) == "2025-01-03" and row["reason"] is None
+
+
+def start_unique(spark, warehouse, lines, checkpoint):
+    for stream in bronze.start_unique_approach_stream(
+        messages.file_stream(spark, str(lines)), warehouse, str(checkpoint), availableNow=True
+    ):
+        stream.awaitTermination()
+
+
+def test_keys_in_the_state_survive_a_restart(spark, warehouse, tmp_path, monkeypatch):
+    from skyledger.sources.tables import Warehouse
+
+    def unread(*args, **kwargs):
+        raise AssertionError("bronze was read")
+
+    monkeypatch.setattr(Warehouse, "stored_between", unread)
+    first = [event(1, "a"), event(2, "a"), event(3, "b", full=None), event(4, "b", full=None)]
+    write_lines(tmp_path / "in", "1.txt", [*approach_lines(spark, *first), "broken {"])
+    start_unique(spark, warehouse, tmp_path / "in", tmp_path / "cp")
+    write_lines(tmp_path / "in", "2.txt", approach_lines(spark, *first, event(5, "a", body="Moon")))
+    start_unique(spark, warehouse, tmp_path / "in", tmp_path / "cp")
+    rows = dicts(warehouse.read("bronze.neo_event_raw"), "event_id")
+    assert sorted((r["neo_id"], r["orbiting_body"], r["close_approach_date_full"] is None) for r in rows) == [
+        ("a", "Earth", False), ("a", "Moon", False), ("b", "Earth", True),
+    ]
+    assert len({r["event_id"] for r in rows}) == 3
+    rejected = dicts(bronze.quarantine_counts(warehouse.read("bronze.quarantine")))
+    assert rejected == [{"stream": "neo_stream_to_bronze", "reason": "malformed", "messages": 1}]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def catalog_lines(spark, *records):
+    frame = satcat_frame(spark, *records)
+    moment = F.lit("2025-01-03 00:00:00").cast("timestamp")
+    return [r["value"] for r in messages.encode_catalog(frame, moment).collect()]
+
+
+def test_file_sink_writes_each_message_once(spark, tmp_path):
+    path = str(tmp_path / "files")
+    write_lines(tmp_path / "in", "1.txt", [*catalog_lines(spark, record(1), record(2, norad="5")), "broken {"])
+
+    def go():
+        source = messages.file_stream(spark, str(tmp_path / "in"))
+        bronze.start_catalog_file_stream(source, path, str(tmp_path / "cp"), availableNow=True).awaitTermination()
+        return bronze.read_catalog_files(spark, path)
+
+    assert go().count() == go().count() == 2
+    write_lines(tmp_path / "in", "2.txt", catalog_lines(spark, record(1)))
+    rows = go()
+    assert rows.count() == 3 and rows.select("id").distinct().count() == 2
+    from skyledger.plans import silver_satcat
+
+    assert {r["norad_cat_id"] for r in silver_satcat.variant_records(rows).collect()} == {25544, 5}
+    # What a batch left behind that never finished is not in the sink's log.
+    stray = next((tmp_path / "files").glob("part-*.parquet"))
+    (tmp_path / "files" / "part-stray.parquet").write_bytes(stray.read_bytes())
+    assert bronze.read_catalog_files(spark, path).count() == 3
+
+
+def test_silver_lag(spark):
+    from datetime import datetime, timedelta
+
+    at = datetime(2025, 1, 3, 23, 50)
+
+    def minutes(n):
+        return at + timedelta(minutes=n)
+
+    progress = spark.createDataFrame(
+        [("neo_stream_to_bronze", "q", k, t, 5) for k, t in enumerate([at, at, minutes(30), minutes(9000)])]
+        + [("neo_stream_to_bronze", "q", 0, at, 5), ("other", "q", 0, at, 1)],
+        "stream STRING, query_id STRING, batch_id LONG, finished_at TIMESTAMP, input_rows LONG",
+    )
+    runs = spark.createDataFrame(
+        [("r0", "neo_to_silver", "success", minutes(-1), minutes(1)),  # began before the batch
+         ("r1", "neo_to_silver", "failed", minutes(2), minutes(3)),
+         ("r2", "neo_to_silver", "success", minutes(15), minutes(20)),
+         ("r3", "neo_to_silver", "success", minutes(61), minutes(65)),
+         ("r4", "satcat_to_silver", "success", minutes(1), minutes(2))],
+        "run_id STRING, pipeline_name STRING, status STRING, start_time TIMESTAMP, end_time TIMESTAMP",
+    )
+    found = dicts(bronze.silver_lag(progress, runs), "stream", "batch_id")
+    assert [(r["batch_id"], r["silver_run"], r["lag_seconds"], r["is_fresh"]) for r in found] == [
+        (0, "r2", 1200, True), (1, "r2", 1200, True), (2, "r3", 2100, False), (3, None, None, False),
+        (0, None, None, False),
+    ]
