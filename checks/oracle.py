@@ -451,6 +451,7 @@ where owner = 'Brand#7' and inclination_deg between 50 and 60"""),
 select norad_cat_id, object_name, avg_period_minutes, avg_apogee_km, avg_perigee_km,
        avg_inclination_deg
 from orbit_summary where norad_cat_id = 42"""),
+    "satellite_lookup_stored": ("satellites", "select * from satellites where norad_cat_id = 42"),
     "orbit_history": ("orbits", """
 select norad_cat_id, snapshot_date, period_minutes, apogee_km, perigee_km,
        row_number() over h as snapshot_number,

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.standins import Inputs
 from skyledger.functions import text
@@ -394,6 +395,19 @@ def satellite_profile(t):
     return analysis.satellite_profile(gold.satcat_orbit_summary(t.catalog, t.orbits), 42)
 
 
+@query
+def satellite_lookup_stored(t):
+    """One satellite from the stored dimension: two loads, of which its bucket is compacted."""
+    warehouse, table = _warehouse(t), "silver.satcat_satellite"
+    satellites = staged(t.satellites)
+    early = _before("first_seen_date", SATELLITES_BEFORE)
+    for load, rows in (("early", satellites.filter(early)), ("late", satellites.filter(~early))):
+        warehouse.append(rows, table, load)
+    one = literal_rows(t.spark, T.StructType().add("norad_cat_id", "integer"), [(42,)])
+    warehouse.compact(table, warehouse.parts_of(table, one)[0], "merged")
+    return warehouse.find(table, 42)
+
+
 @query
 def orbit_history(t):
     return analysis.orbit_history(t.orbits)

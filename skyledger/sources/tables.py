@@ -89,6 +89,14 @@ SPLITS: dict[str, Split] = {
 #: Tables of which the newest version of a part is read.
 VERSIONED = frozenset(table for table in SPLITS if table.startswith("gold."))
 
+#: Keys by which compaction orders the rows of a part, for lookups of single keys.
+CLUSTERED_BY = {
+    "silver.neo": "neo_id",
+    "silver.neo_close_approach": "neo_id",
+    "silver.satcat_satellite": "norad_cat_id",
+    "silver.satcat_orbit_snapshot": "norad_cat_id",
+}
+
 #: Columns filled from others when rows are written, once for all readers.
 DERIVED: dict[str, dict[str, Callable[[], Column]]] = {
     "bronze.satcat_raw": {"record": lambda: as_variant("parsed_record")},
@@ -277,7 +285,23 @@ class Warehouse:
         self._note(table, "done", run)
         remove(self.spark, f"{self.path(table)}/_pending/{run}")
 
-    def _write(self, out: DataFrame, table: str, run: str) -> None:
+    def find(self, table: str, value: object) -> DataFrame:
+        """Rows whose clustering key has a value, wherever the table is not compacted too.
+
+        A dimension lists the folder of one key bucket. In compacted parts, statistics and Bloom
+        filters let the scan skip all row groups that do not hold the key.
+        """
+        key = CLUSTERED_BY[table]
+        kind = TABLES[table][key].dataType
+        wanted = F.lit(value).cast(kind)
+        if SPLITS[table].column == BUCKET_COLUMN:
+            one = literal_rows(self.spark, T.StructType().add(key, kind), [(value,)])
+            rows = self.stored_for(table, one)
+        else:
+            rows = self.stored(table)
+        return rows.filter(F.col(key) == wanted).select(*TABLES[table].fieldNames())
+
+    def _write(self, out: DataFrame, table: str, run: str, clustered: bool = False) -> None:
         out = out.withColumn(LOAD_COLUMN, F.lit(run))
         for name, build in DERIVED.get(table, {}).items():
             out = out.withColumn(name, F.coalesce(F.col(name), build()))
@@ -286,9 +310,17 @@ class Warehouse:
             # Rebalancing splits a part that holds most rows over several writers and joins small
             # ones, so neither one huge task nor a mass of small files comes out.
             column = SPLITS[table].column
-            out = out.withColumn(column, SPLITS[table].part()).hint("rebalance", column)
+            out = out.withColumn(column, SPLITS[table].part())
             split = [column, LOAD_COLUMN]
+            if clustered and table in CLUSTERED_BY:
+                # Ranges of the key per file, in order inside; adaptive execution sizes them.
+                order = [column, LOAD_COLUMN, CLUSTERED_BY[table]]
+                out = out.repartitionByRange(column, CLUSTERED_BY[table]).sortWithinPartitions(*order)
+            else:
+                out = out.hint("rebalance", column)
         writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if clustered and table in CLUSTERED_BY:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{CLUSTERED_BY[table]}", "true")
         writer.partitionBy(*split).parquet(self.path(table))
 
     def _clear(self, table: str, run: str) -> None:
@@ -337,7 +369,7 @@ class Warehouse:
             self._clear(table, into)
             self._note(table, "pending", into)
             folded = fold(rows.select(*TABLES[table].fieldNames()))
-            self._write(self.shaped(folded, table), table, into)
+            self._write(self.shaped(folded, table), table, into, clustered=True)
             self._note(table, "merged", into)
         hidden = {f"{prefix}{run}" for run in (*self._pending(table), into)}
         old = [n for n in folder_names(self.spark, f"{folder}/{prefix}*") if n not in hidden]

@@ -212,3 +212,37 @@ def test_replaced_parts(warehouse, spark):
     assert stored() == [(5, 1, 1)]
     with pytest.raises(ValueError, match="replace_parts"):
         warehouse.append(days((1, 1, 1)), table, "r")
+
+
+def test_a_lookup_reads_one_row_group_of_many(warehouse, spark):
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    table = "silver.satcat_orbit_snapshot"
+    day = F.lit("2025-01-03").cast("date")
+    for run, parity in (("a", 0), ("b", 1)):
+        number = (F.col("id") * 2 + parity).cast("int")
+        rows = spark.range(20_000).select(number.alias("norad_cat_id"), day.alias("snapshot_date"),
+                                          F.rand(parity).alias("apogee_km"))
+        warehouse.append(rows, table, run)
+    spark.sparkContext._jsc.hadoopConfiguration().setInt("parquet.block.size", 64_000)
+    try:
+        assert warehouse.compact(table, date(2025, 1, 1), "merged") == 2
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    files = [f.removeprefix("file://") for f in warehouse.read(table).inputFiles()]
+    groups = sum(pq.ParquetFile(f).metadata.num_row_groups for f in files)
+    found = warehouse.find(table, 12_345)
+    assert [r["norad_cat_id"] for r in found.collect()] == [12_345] and groups > 10
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert 0 < scan.metrics().apply("numOutputRows").value() <= 40_000 / groups * 2
+    assert warehouse.find(table, -1).isEmpty()
+
+
+def test_a_lookup_in_a_dimension_lists_one_bucket(warehouse, spark):
+    table = "silver.satcat_satellite"
+    rows = spark.range(500).selectExpr("cast(id as int) as norad_cat_id", "cast(id as string) as object_name")
+    warehouse.append(rows, table, "r")
+    found = warehouse.find(table, 77)
+    assert len(folders(found, "key_bucket")) == 1
+    assert [r["object_name"] for r in found.collect()] == ["77"]
