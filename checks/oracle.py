@@ -461,6 +461,8 @@ select norad_cat_id, snapshot_date, period_minutes, apogee_km, perigee_km,
 from orbits window h as (partition by norad_cat_id order by snapshot_date)"""),
     "orbit_deltas": ("deltas", "select * from deltas"),
     "orbit_anomaly_zscore": ("anomalies", "select * from anomalies"),
+    "orbit_anomaly_incremental": ("anomalies", f"""
+select * from anomalies where snapshot_date >= {_EXISTING}"""),
     "orbit_anomaly_top": ("anomalies", """
 select norad_cat_id, snapshot_date, anomaly_score from anomalies where anomaly_score is not null
 order by anomaly_score desc, norad_cat_id, snapshot_date limit 20"""),

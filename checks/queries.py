@@ -17,7 +17,7 @@ from skyledger.functions import text
 from skyledger.operators import ledger, merge, numbering, quality
 from skyledger.operators.dedup import duplicate_keys
 from skyledger.operators.quality import QualityGateError
-from skyledger.plans import analysis, gold, jobs, ml, silver_neo, silver_satcat
+from skyledger.plans import analysis, gold, jobs, ml, moments, silver_neo, silver_satcat
 from skyledger.plans.checks import JOB_GATES, TABLE_TESTS
 from skyledger.schemas import MODEL_REGISTRY
 from skyledger.session import fresh_dir, literal_rows, staged
@@ -428,6 +428,19 @@ def orbit_anomaly_top(t):
     return analysis.top_anomalies(analysis.orbit_anomalies(t.orbits))
 
 
+@query
+def orbit_anomaly_incremental(t):
+    """Scores of the second of two loads, from moments that the first has left."""
+    warehouse = _warehouse(t)
+    snapshots = staged(t.orbits)
+    for load, negate in LOADS:
+        early = _before("snapshot_date")
+        part = snapshots.filter(~early if negate else early)
+        warehouse.append(part, "silver.satcat_orbit_snapshot", load)
+        scored = moments.score_new_snapshots(warehouse, f"score-{load}")
+    return scored
+
+
 @query
 def orbit_elements_derived(t):
     return analysis.derived_elements(t.orbits)

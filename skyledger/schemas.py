@@ -204,6 +204,19 @@ for _measure in ORBIT_MEASURES:
         f"count_{_measure}", "long"
     )
 
+# Moments of the deltas between snapshots, and the last elements, per satellite.
+MOMENT_ELEMENTS = ("period_minutes", "apogee_km", "perigee_km")
+ORBIT_MOMENTS = (
+    T.StructType().add("norad_cat_id", "integer").add("last_snapshot_date", "date")
+)
+for _measure in MOMENT_ELEMENTS:
+    ORBIT_MOMENTS = (
+        ORBIT_MOMENTS.add(f"last_{_measure}", "double")
+        .add(f"n_{_measure}", "long")
+        .add(f"mean_{_measure}", "double")
+        .add(f"m2_{_measure}", "double")
+    )
+
 # --- meta -------------------------------------------------------------------
 
 # The run ledger is append-only: one 'start' and at most a few 'end' events per run.
@@ -302,6 +315,7 @@ TABLES: dict[str, T.StructType] = {
     "gold.neo_hazard_summary": GOLD_HAZARD_SUMMARY,
     "gold.satcat_orbit_partial": GOLD_ORBIT_PARTIAL,
     "gold.satcat_orbit_summary": GOLD_ORBIT_SUMMARY,
+    "gold.orbit_moments": ORBIT_MOMENTS,
     "gold.ai_neo_features": GOLD_NEO_FEATURES,
     "gold.ai_satcat_features": GOLD_SATCAT_FEATURES,
     "meta.pipeline_run": RUN_EVENT,

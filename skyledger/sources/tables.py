@@ -83,6 +83,7 @@ SPLITS: dict[str, Split] = {
     "gold.neo_hazard_summary": _by_key("neo_id"),
     "gold.satcat_orbit_partial": _by_key("norad_cat_id"),
     "gold.satcat_orbit_summary": _by_key("norad_cat_id"),
+    "gold.orbit_moments": _by_key("norad_cat_id"),
     "gold.ai_neo_features": _by_month(lambda: F.trunc("close_approach_date", "month")),
     "gold.ai_satcat_features": _by_month(_snapshot_month),
 }

@@ -246,3 +246,44 @@ def test_a_lookup_in_a_dimension_lists_one_bucket(warehouse, spark):
     found = warehouse.find(table, 77)
     assert len(folders(found, "key_bucket")) == 1
     assert [r["object_name"] for r in found.collect()] == ["77"]
+
+
+def test_moments_of_several_loads_equal_the_history(warehouse, spark):
+    import random
+    import statistics
+
+    from skyledger.plans import moments
+
+    rng, rows = random.Random(3), []
+    for satellite in range(1, 9):
+        for day in range(1, 25):
+            if rng.random() < 0.8:
+                values = [rng.choice([None, *range(90, 95)]) if satellite > 1 else 90 for _ in range(3)]
+                rows.append((satellite, date(2025, 1, day), *[None if v is None else float(v) for v in values]))
+    schema = "norad_cat_id INT, snapshot_date DATE, period_minutes DOUBLE, apogee_km DOUBLE, perigee_km DOUBLE"
+    cuts = [(1, 8), (8, 9), (9, 25)]
+    found = {}
+    for low, high in cuts:
+        part = [r for r in rows if low <= r[1].day < high]
+        warehouse.append(spark.createDataFrame(part, schema), "silver.satcat_orbit_snapshot", f"l{low}")
+        scored = moments.score_new_snapshots(warehouse, f"m{low}").collect()
+        assert {(r["norad_cat_id"], r["snapshot_date"]) for r in scored} == {r[:2] for r in part}
+        found |= {(r["norad_cat_id"], r["snapshot_date"]): r for r in scored}
+    for satellite in range(1, 9):
+        own = sorted(r for r in rows if r[0] == satellite)
+        for k, name in enumerate(("period_minutes", "apogee_km", "perigee_km"), 2):
+            pairs = [(b[1], None if None in (a[k], b[k]) else b[k] - a[k]) for a, b in zip(own, own[1:])]
+            deltas = [d for _, d in pairs if d is not None]
+            spread = statistics.stdev(deltas) if len(deltas) > 1 else 0
+            for day, d in pairs:
+                if day.day >= 9:
+                    z = found[satellite, day][f"z_{name}"]
+                    expected = None if d is None or not spread else (d - statistics.mean(deltas)) / spread
+                    assert z == (None if expected is None else pytest.approx(expected, abs=1e-6))
+    # Nothing new gives no scores; a late snapshot has none and leaves the moments alone.
+    before = content(warehouse, "gold.orbit_moments")
+    assert moments.score_new_snapshots(warehouse, "again").isEmpty()
+    late = spark.createDataFrame([(2, date(2024, 12, 1), 1.0, 1.0, 1.0)], schema)
+    warehouse.append(late, "silver.satcat_orbit_snapshot", "late")
+    assert moments.score_new_snapshots(warehouse, "late").isEmpty()
+    assert content(warehouse, "gold.orbit_moments") == before
