@@ -171,7 +171,10 @@ class Encoder:
 def _added_tokens(path: Path) -> dict[str, int]:
     if not path.exists():
         return {}
-    tokens = json.loads(path.read_text(encoding="utf-8"))["added_tokens"]
+    text = path.read_text(encoding="utf-8")
+    # Only this list: the whole file as objects would stay in the worker's memory.
+    at = re.search(r'"added_tokens"\s*:\s*', text)
+    tokens = json.JSONDecoder().raw_decode(text, at.end())[0] if at else []
     for token in tokens:
         if token["single_word"] or token["lstrip"] or token["rstrip"]:
             raise ValueError(f"{path}: {token['content']} takes in its surroundings")

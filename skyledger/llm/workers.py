@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -44,7 +45,7 @@ def unused(df: DataFrame, name: str) -> str:
 def released(
     run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """`run`, after which the worker gives back the memory that Arrow holds for later batches.
+    """`run`, after which the worker gives back the memory that Arrow and the C library hold.
 
     Workers serve many tasks. What they keep between them is lost to the executor.
     """
@@ -54,5 +55,7 @@ def released(
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone has it
+                trim(0)
 
     return task
