@@ -68,3 +68,64 @@ def test_frequencies_count_all_rows(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(frame(spark, files()).limit(0)).isEmpty()
+
+
+# The notices of the licenses themselves.
+GNU = ("This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published "
+       "by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+NOTICES = {
+    "gpl-3": GNU.format("program", "General Public License", "3"),
+    "gpl-2": GNU.replace("software:", "software;").format("program", "General Public License", "2"),
+    "lgpl": GNU.format("library", "Lesser General Public License", "2.1"),
+    "agpl-3": GNU.format("program", "Affero General Public License", "3"),
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+           'associated documentation files (the "Software"), to deal in the Software without restriction, including '
+           "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+           "copies of the Software, and to permit persons to whom the Software is furnished to do so",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+           "that the following conditions are met:",
+    "apache-2": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+                "compliance with the License. You may obtain a copy of the License at",
+    "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+             "was not distributed with this file, You can obtain one at",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+           "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+}
+
+
+def test_original_notices_also_with_a_word_inserted_or_left_out(spark):
+    rows, expected = [], {}
+    for label, notice in NOTICES.items():
+        words = notice.split()
+        changed = [words] + [words[:k] + ["very"] + words[k:] for k in range(1, len(words), 3)]
+        for new in changed:
+            rows.append((len(rows), f"{prose(len(rows), 20)} {' '.join(new)} {prose(len(rows), 7)}"))
+            expected[rows[-1][0]] = label
+    lgpl3 = GNU.format("library", "Lesser General Public License", "3")
+    rows.append((len(rows), lgpl3))
+    expected[rows[-1][0]] = "lgpl"
+    found = {r["doc_id"]: r for r in licenses.scan(frame(spark, rows)).collect()}
+    # A word between the base phrase's own breaks that, and another license's name is no insertion.
+    assert {k: r["labels"] for k, r in found.items()} == expected
+    assert all(r["score"] > 0.6 for r in found.values())
+
+
+def test_words_without_the_notice_give_no_label(spark):
+    shuffled = [" ".join(sorted(n.lower().split())) for n in NOTICES.values()]
+    far = [n.replace(" ", " w w w w w ") for n in NOTICES.values()]
+    rows = list(enumerate([*shuffled, *far, "gnu general public", "version 3 of the license", prose(3, 900)]))
+    assert {r["labels"] for r in licenses.scan(frame(spark, rows)).collect()} == {""}
+
+
+def plain_labels(text):
+    """Notices word for word, by a search for their whole text."""
+    words = f" {' '.join(re.findall('[a-z0-9]+', (text or '').lower()))} "
+    return {t.label for t in licenses.TEMPLATES if f" {t.text} " in words}
+
+
+def test_whole_texts_are_never_missed(spark):
+    texts = [t.text for t in licenses.TEMPLATES]
+    rows = [(k, " ".join(texts[(k * 7 + j * 3) % len(texts)].upper() + "; " + prose(k + j, k % 9) for j in range(1 + k % 4)))
+            for k in range(60)] + [(70, " ".join(texts * 40))]
+    for r in licenses.scan(frame(spark, rows)).collect():
+        assert plain_labels(dict(rows)[r["doc_id"]]) <= set(r["labels"].split(","))
