@@ -294,6 +294,19 @@ _KM_H = _round("rel_velocity_km_s * 3600.0", 3)
 
 # --- queries: name -> (CTEs it reads, final select) ---------------------------
 
+# Counts and ROC AUC of the score "whole magnitudes, cut at 22".
+_RULE_COUNTS = """from (
+  select count(*)::double as n,
+         count(*) filter (y = 1 and s >= -22)::double as tp,
+         count(*) filter (y = 0 and s >= -22)::double as fp,
+         count(*) filter (y = 1 and s < -22)::double as fn,
+         count(*) filter (y = 0 and s < -22)::double as tn,
+         (sum(mid) filter (y = 1) - count(*) filter (y = 1) * (count(*) filter (y = 1) + 1) / 2.0::double)
+           / (count(*) filter (y = 1) * count(*) filter (y = 0)) as auc
+  from (select y, s, rank() over (order by s)
+               + (count(*) over (partition by s) - 1) / 2.0::double as mid
+        from (select is_hazardous_label as y, -floor(absolute_magnitude_h) as s from neo_features)))"""
+
 _QUERIES: dict[str, tuple[str, str]] = {
     "neo_feed_flatten": ("", """
 select date '1995-01-01' as feed_start_date, date '1995-01-07' as feed_end_date,
@@ -595,28 +608,23 @@ select neo_id as entity_key, cast(approach_sk as varchar) as snapshot_ref, true
        rel_velocity_km_s is null or miss_distance_km is null or miss_distance_lunar is null
          or absolute_magnitude_h is null as is_imputed
 from neo_features"""),
-    "ml_hazard_metrics": ("", """
-select unnest(['roc_auc', 'f1', 'accuracy', 'precision', 'recall']) as metric_name,
-       true as in_range"""),
-    "ml_binary_metrics": ("neo_features", """
+    "ml_hazard_metrics": ("neo_features", f"""
+select metric_name, true as in_range, case when metric_name = 'roc_auc' then rule_auc end as rule_auc,
+       case when metric_name = 'roc_auc' then true end as beats_rule
+from (select unnest(['roc_auc', 'f1', 'accuracy', 'precision', 'recall']) as metric_name,
+             round(auc, 9) as rule_auc {_RULE_COUNTS})"""),
+    "ml_binary_metrics": ("neo_features", f"""
 select unnest(['roc_auc', 'f1', 'accuracy', 'precision', 'recall']) as metric_name,
        round(unnest([auc, 2.0::double * tp / (2 * tp + fp + fn), (tp + tn) / n,
                      tp / (tp + fp), tp / (tp + fn)]), 9) as metric_value
-from (
-  select count(*)::double as n,
-         count(*) filter (y = 1 and s >= -22)::double as tp,
-         count(*) filter (y = 0 and s >= -22)::double as fp,
-         count(*) filter (y = 1 and s < -22)::double as fn,
-         count(*) filter (y = 0 and s < -22)::double as tn,
-         (sum(mid) filter (y = 1) - count(*) filter (y = 1) * (count(*) filter (y = 1) + 1) / 2.0::double)
-           / (count(*) filter (y = 1) * count(*) filter (y = 0)) as auc
-  from (select y, s, rank() over (order by s)
-               + (count(*) over (partition by s) - 1) / 2.0::double as mid
-        from (select is_hazardous_label as y, -floor(absolute_magnitude_h) as s from neo_features)))"""),
+{_RULE_COUNTS}"""),
     "ml_regime_agreement": ("latest", """
 select orbit_regime, count(*) as satellites,
        count(*) filter (period_minutes is null or inclination_deg is null or apogee_km is null
-                        or perigee_km is null) as without_prediction
+                        or perigee_km is null) as without_prediction,
+       (select max(n) from (select count(*) as n from latest where period_minutes is not null
+          and inclination_deg is not null and apogee_km is not null and perigee_km is not null
+          group by orbit_regime)) as largest_class, true as beats_it
 from latest group by 1"""),
     "ml_class_metrics": ("latest", """
 select * from (with pairs as (

@@ -811,22 +811,36 @@ def ml_hazard_scores(t):
     )
 
 
+def _magnitude_rule(features: DataFrame) -> DataFrame:
+    """A fixed score, whole magnitudes with a cut at 22, as a model's output."""
+    score = -F.floor("absolute_magnitude_h").cast("double")
+    return features.select(
+        "is_hazardous_label",
+        array_to_vector(F.array(-score, score)).alias("rawPrediction"),
+        (score >= -22.0).cast("double").alias("prediction"),
+    )
+
+
 @query
 def ml_hazard_metrics(t):
-    _, metrics = ml.train_hazard(staged(_features(t)))
-    return metrics.select("metric_name", F.col("metric_value").between(0.0, 1.0).alias("in_range"))
+    """The trained model's metrics on its test split; its ROC AUC has to beat that of a fixed rule."""
+    features = staged(_features(t))
+    _, metrics = ml.train_hazard(features)
+    rule = ml.binary_metrics(_magnitude_rule(features)).filter("metric_name = 'roc_auc'")
+    auc = rule.first()["metric_value"]
+    is_auc = F.col("metric_name") == "roc_auc"
+    return metrics.select(
+        "metric_name",
+        F.col("metric_value").between(0.0, 1.0).alias("in_range"),
+        F.when(is_auc, F.lit(round(auc, 9))).alias("rule_auc"),
+        F.when(is_auc, F.col("metric_value") > auc).alias("beats_rule"),
+    )
 
 
 @query
 def ml_binary_metrics(t):
     """Metrics of a fixed score: whole magnitudes, with a cut at 22."""
-    score = -F.floor("absolute_magnitude_h").cast("double")
-    scored = _features(t).select(
-        "is_hazardous_label",
-        array_to_vector(F.array(-score, score)).alias("rawPrediction"),
-        (score >= -22.0).cast("double").alias("prediction"),
-    )
-    metrics = ml.binary_metrics(scored)
+    metrics = ml.binary_metrics(_magnitude_rule(_features(t)))
     return metrics.select("metric_name", F.round("metric_value", 9).alias("metric_value"))
 
 
@@ -834,13 +848,18 @@ def ml_binary_metrics(t):
 def ml_regime_agreement(t):
     model, _ = ml.train_regime(t.orbits)
     scored = ml.predicted_regimes(model, t.orbits)
-    agreement = ml.regime_agreement(scored)
+    agreement = staged(ml.regime_agreement(scored))
+    # A model that always answers with the commonest class agrees in just its share.
+    known = agreement.filter("predicted_regime IS NOT NULL")
+    agreed = F.when(F.col("orbit_regime") == F.col("predicted_regime"), F.col("satellites"))
+    hits = known.agg(F.sum(agreed)).scalar()
+    largest = known.groupBy("orbit_regime").agg(F.sum("satellites").alias("n")).agg(F.max("n"))
     return agreement.groupBy("orbit_regime").agg(
         F.sum("satellites").alias("satellites"),
         F.sum(F.when(F.col("predicted_regime").isNull(), F.col("satellites")).otherwise(0)).alias(
             "without_prediction"
         ),
-    )
+    ).select("*", largest.scalar().alias("largest_class"), (hits > largest.scalar()).alias("beats_it"))
 
 
 @query

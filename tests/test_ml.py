@@ -143,7 +143,7 @@ def test_class_metrics(spark):
 def test_train_and_score_jobs(warehouse, features, tmp_path):
     from skyledger.plans import model_jobs
 
-    warehouse.append(features, "gold.ai_neo_features", "g")
+    warehouse.overwrite(features, "gold.ai_neo_features", "g")
     with pytest.raises(ValueError, match="no active model"):
         model_jobs.score_hazard(warehouse, "s0")
     first = model_jobs.train_hazard(warehouse, "t1", str(tmp_path / "models"), trees=5, depth=4)
