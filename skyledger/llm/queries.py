@@ -21,6 +21,7 @@ from skyledger.llm import (
     urls,
     weak_labels,
 )
+from skyledger.llm.labelled_urls import labelled_urls
 from skyledger.llm.workers import let_workers_import
 from skyledger.session import staged
 
@@ -89,7 +90,7 @@ URL_RULES = (
 
 @_query
 def op7_url_verdicts(spark, sf_dir):
-    model = urls.train(urls.labelled_urls(spark))
+    model = urls.train(labelled_urls(spark).filter("NOT held_out"))
     return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES, model)
 
 

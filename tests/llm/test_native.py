@@ -1,8 +1,10 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyledger.llm import chat, urls
+from skyledger.llm.labelled_urls import labelled_urls
 
 TURNS = "conv_id LONG, turn LONG, role STRING, text STRING, loss STRING, segments INT"
 
@@ -103,26 +105,59 @@ RULES = (
 )
 
 
-def test_rules(spark):
-    model = urls.train(urls.labelled_urls(spark))
+@pytest.fixture(scope="module")
+def model(spark):
+    return urls.train(labelled_urls(spark).filter("NOT held_out"))
+
+
+def test_rules(spark, model):
     judged = urls.judge(pages(spark, [u for u, *_ in URLS]), RULES, model)
     for r in judged.collect():
         _, host, path, rule, verdict = URLS[r["page_id"]]
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
-        assert r["verdict"] == (verdict or ("block" if r["score"] > 0.5 else "allow"))
+        assert r["verdict"] == (verdict or ("block" if r["score"] > urls.THRESHOLD else "allow"))
     assert urls.judge(pages(spark, URLS[0][:1]).limit(0), RULES, model).isEmpty()
 
 
-def test_model_on_held_out_sites(spark):
-    model = urls.train(urls.labelled_urls(spark))
-    wanted = ["https://www.mountain-library.org/en/1", "http://thether.net/x", "http://gardens.com/a"]
-    unwanted = ["http://pills-cheaper.com/en/1", "http://mega-casino.net/x", "http://spam-site.org/a"]
-    judged = urls.judge(pages(spark, wanted + unwanted), (), model).orderBy("page_id").collect()
-    assert [r["verdict"] for r in judged] == ["allow"] * 3 + ["block"] * 3
+def grams_of(text):
+    marked = f"^{text}$"
+    return {marked[k : k + n] for n in urls.GRAMS for k in range(len(marked) - n + 1)}
+
+
+def test_grams(spark):
+    for r in urls.features(urls.with_parts(pages(spark, [u for u, *_ in URLS]))).collect():
+        _, host, path, *_ = URLS[r["page_id"]]
+        assert set(r["_grams"]) == {f"h{g}" for g in grams_of(host)} | {f"p{g}" for g in grams_of(path)}
+
+
+def test_model_on_held_out_sites(spark, model):
+    table = urls.with_parts(labelled_urls(spark)).drop("path")
+    parts = [table.filter("NOT held_out"), table.filter("held_out")]
+    assert parts[0].join(parts[1], "host").isEmpty()
+    held_out = parts[1].withColumn("page_id", F.monotonically_increasing_id())
+    judged = urls.judge(held_out, (), model).join(held_out.select("page_id", "label"), "page_id")
+    right = (F.col("verdict") == "block") == (F.col("label") == 1)
+    n, share = judged.agg(F.count(F.lit(1)), F.avg(right.cast("int"))).first()
+    assert n >= 40 and share >= 0.9
+
+
+def test_training_tables(spark):
+    schema = "url STRING, label INT, host STRING, path INT"
+    rows = [("http://a.example/x", 1, "h", 1), ("http://b.example/y", 0, "h", 2),
+            (None, 1, "h", 3), ("http://c.example", None, "h", 4), ("", 0, None, None)]
+    table = spark.createDataFrame(rows, schema)
+    page = pages(spark, ["http://a.example/x", "http://b.example/y", None])
+    scores = [
+        [r["score"] for r in urls.judge(page, (), urls.train(t)).orderBy("page_id").collect()]
+        for t in (table.repartition(1), table.repartition(4))
+    ]
+    assert scores[0] == scores[1] and scores[0][0] > 0.5 > scores[0][1]
+    for bad in (table.limit(0), table.filter("label = 0")):
+        with pytest.raises(ValueError):
+            urls.train(bad)
 
 
-def test_no_python_in_the_plans(spark):
-    model = urls.train(urls.labelled_urls(spark))
+def test_no_python_in_the_plans(spark, model):
     # Literal input, so that no Python worker makes the rows.
     page = spark.range(3).select(F.col("id").alias("page_id"), F.lit("http://a.com/x").alias("url"))
     said = chat.extra_turns(page, 1, [("user", "a"), ("assistant", "b")])
