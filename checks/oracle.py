@@ -640,8 +640,34 @@ from classes)"""),
     "ml_clusters": ("latest", """
 select norad_cat_id, period_minutes is not null and inclination_deg is not null
          and apogee_km is not null and perigee_km is not null as is_clustered,
-       true as in_range, true as silhouette_in_range
+       true as in_range, true as silhouette_in_range, true as beats_rule,
+       (with complete as (
+          select * from latest where period_minutes is not null and inclination_deg is not null
+            and apogee_km is not null and perigee_km is not null
+        ), inside as (
+          select count(*) * var_pop(period_minutes) as p, count(*) * var_pop(inclination_deg) as i,
+                 count(*) * var_pop(apogee_km) as a, count(*) * var_pop(perigee_km) as g
+          from complete group by orbit_regime
+        ), whole as (
+          select count(*) * var_pop(period_minutes) as p, count(*) * var_pop(inclination_deg) as i,
+                 count(*) * var_pop(apogee_km) as a, count(*) * var_pop(perigee_km) as g
+          from complete
+        )
+        select round((sum(inside.p) / any_value(whole.p) + sum(inside.i) / any_value(whole.i)
+                      + sum(inside.a) / any_value(whole.a) + sum(inside.g) / any_value(whole.g)) / 4, 9)
+        from inside, whole) as rule_share
 from latest"""),
+    "ml_active_model_metrics": ("neo_features", f"""
+select 'neo_hazard_classifier' as model_name, 2 as model_version, 'test' as dataset_split,
+       unnest(['roc_auc', 'f1', 'accuracy', 'precision', 'recall']) as metric_name,
+       round(unnest([auc, 2.0::double * tp / (2 * tp + fp + fn), (tp + tn) / n,
+                     tp / (tp + fp), tp / (tp + fn)]), 9) as metric_value
+{_RULE_COUNTS}"""),
+    "ml_hazard_top_risk": ("neo_features", """
+select neo_id as entity_key, cast(approach_sk as varchar) as snapshot_ref,
+       case when risk > 0.05::double then '1' else '0' end as predicted_label, risk as predicted_score
+from (select *, 1.0::double / (1.0::double + absolute_magnitude_h) as risk from neo_features)
+order by risk desc nulls last, cast(approach_sk as varchar), neo_id limit 20"""),
     "job_neo_increment": ("facts", """
 select neo_id, close_approach_date_full, orbiting_body, close_approach_date, rel_velocity_km_s,
        miss_distance_km, true as key_fits from facts"""),

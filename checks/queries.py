@@ -7,6 +7,8 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from skyledger.functions import text
 from skyledger.operators import ledger, merge, numbering, quality
 from skyledger.operators.dedup import duplicate_keys
 from skyledger.operators.quality import QualityGateError
-from skyledger.plans import analysis, gold, jobs, ml, moments, silver_neo, silver_satcat
+from skyledger.plans import analysis, gold, jobs, ml, model_jobs, moments, silver_neo, silver_satcat
 from skyledger.plans.checks import JOB_GATES, TABLE_TESTS
 from skyledger.schemas import MODEL_REGISTRY
 from skyledger.session import fresh_dir, literal_rows, staged
@@ -811,13 +813,13 @@ def ml_hazard_scores(t):
     )
 
 
-def _magnitude_rule(features: DataFrame) -> DataFrame:
-    """A fixed score, whole magnitudes with a cut at 22, as a model's output."""
+def _magnitude_rule(features: DataFrame, cut: float = -22.0) -> DataFrame:
+    """A fixed score, whole magnitudes with a cut, as a model's output."""
     score = -F.floor("absolute_magnitude_h").cast("double")
     return features.select(
         "is_hazardous_label",
         array_to_vector(F.array(-score, score)).alias("rawPrediction"),
-        (score >= -22.0).cast("double").alias("prediction"),
+        (score >= cut).cast("double").alias("prediction"),
     )
 
 
@@ -873,15 +875,64 @@ def ml_class_metrics(t):
 
 @query
 def ml_clusters(t):
+    """Clusters of latest orbits; they have to leave less variance inside than the orbit regimes."""
     assigned, silhouette = ml.cluster_orbits(t.orbits)
-    return assigned.select(
+    latest = analysis.with_regime(analysis.latest_snapshots(t.orbits))
+    rows = staged(assigned.join(latest.drop("cluster"), "norad_cat_id"))
+    complete = rows.filter(F.col("cluster").isNotNull())
+    rule = ml.within_share(complete, "orbit_regime")
+    return rows.select(
         "norad_cat_id",
         F.col("cluster").isNotNull().alias("is_clustered"),
         F.coalesce(F.col("cluster").between(0, 3), F.lit(True)).alias("in_range"),
         F.lit(-1.0 <= silhouette <= 1.0).alias("silhouette_in_range"),
+        F.round(F.lit(rule), 9).alias("rule_share"),
+        F.lit(ml.within_share(complete, "cluster") < rule).alias("beats_rule"),
     )
 
 
+def _three_hazard_models(t: Inputs, features: DataFrame) -> tuple[Warehouse, list[str]]:
+    """A fixed rule registered three times: another cut, the cut at 22, and one that missed its gate."""
+    warehouse = _warehouse(t)
+    model = PipelineModel([VectorAssembler(inputCols=["absolute_magnitude_h"], outputCol="features")])
+    ids = []
+    for n, (cut, passed) in enumerate([(-20.0, True), (-22.0, True), (-24.0, False)]):
+        metrics = ml.binary_metrics(_magnitude_rule(features, cut))
+        ids.append(
+            model_jobs.register(
+                warehouse, f"train-{n}", model, metrics, ml.HAZARD_MODEL, "rule",
+                "gold.ai_neo_features", fresh_dir(t.spark, "models"), passed, {},
+            )
+        )
+    return warehouse, ids
+
+
+@query
+def ml_active_model_metrics(t):
+    """Metrics of the active one of three versions, from the registry in the warehouse."""
+    warehouse, _ = _three_hazard_models(t, staged(_features(t)))
+    found = model_jobs.active_model_metrics(warehouse)
+    return found.withColumn("metric_value", F.round("metric_value", 9))
+
+
+@query
+def ml_hazard_top_risk(t):
+    """Riskiest approaches by the active version; the two others have scored all approaches too."""
+    features = staged(_features(t))
+    warehouse, ids = _three_hazard_models(t, features)
+    risk = F.lit(1.0) / (F.lit(1.0) + F.col("absolute_magnitude_h"))
+    for n, (model_id, factor) in enumerate(zip(ids, (2.0, 1.0, 3.0))):
+        scores = features.select(
+            F.lit("neo").alias("entity_type"),
+            F.col("neo_id").alias("entity_key"),
+            F.col("approach_sk").cast("string").alias("snapshot_ref"),
+            (risk > 0.05).cast("int").cast("string").alias("predicted_label"),
+            (risk * factor).alias("predicted_score"),
+        )
+        warehouse.append(ml.prediction_rows(scores, model_id, f"score-{n}"), "ml.prediction", f"score-{n}")
+    return model_jobs.hazard_top_risk(warehouse)
+
+
 @query
 def ml_active_top_predictions(t):
     """Top scores of the active one of three versions of an anomaly model."""

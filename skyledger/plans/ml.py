@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -142,12 +143,11 @@ def score_hazard(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def prediction_rows(scores: DataFrame, model_id: str, run_id: str) -> DataFrame:
-    """Scores as rows of the prediction table. The id follows from model and approach, so a
+    """Scores as rows of the prediction table. The id follows from model, entity and snapshot, so a
     repeated run gives the same rows."""
+    named = F.concat_ws("|", F.lit(model_id), "entity_type", "entity_key", "snapshot_ref")
     return scores.select(
-        F.md5(F.concat_ws("|", F.lit(model_id), "entity_type", "snapshot_ref").cast("binary")).alias(
-            "prediction_id"
-        ),
+        F.md5(named.cast("binary")).alias("prediction_id"),
         F.lit(model_id).alias("model_id"),
         "entity_type",
         "entity_key",
@@ -303,6 +303,25 @@ def cluster_orbits(snapshots: DataFrame, k: int = 4) -> tuple[DataFrame, float]:
     return every.select("norad_cat_id").join(clusters, "norad_cat_id", "left"), silhouette
 
 
+def within_share(rows: DataFrame, group: str, features: Sequence[str] = ORBIT_FEATURES) -> float | None:
+    """Share of the variance of `features` that is left inside the groups, 0 to 1: the inertia of a
+    grouping over that of one single group, each feature standardized.
+
+    A feature that does not vary counts as 0; rows without any feature give None. Few groups: their
+    counts and variances are what leaves the one pass over the rows.
+    """
+    spread = [(F.count(c) * F.coalesce(F.var_pop(c), F.lit(0.0))).alias(f"_s{k}")
+              for k, c in enumerate(features)]
+    sums = rows.rollup(group).agg(F.grouping(group).alias("_all"), *spread, F.count(F.lit(1)).alias("_n"))
+    parts = []
+    for k in range(len(features)):
+        inside = F.sum(F.when(F.col("_all") == 0, F.col(f"_s{k}")))
+        whole = F.sum(F.when(F.col("_all") == 1, F.col(f"_s{k}")))
+        parts.append(F.when(whole > 0, inside / whole).otherwise(0.0))
+    n = F.sum(F.when(F.col("_all") == 1, F.col("_n")))
+    return sums.agg(F.when(n > 0, sum(parts, F.lit(0.0)) / len(features)).alias("share")).first()["share"]
+
+
 def anomaly_scores(anomalies: DataFrame, threshold: float = 3.0) -> DataFrame:
     """Orbit anomalies as scores of the prediction table."""
     score = F.col("anomaly_score")

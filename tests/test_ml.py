@@ -166,3 +166,30 @@ def test_anomaly_scores_as_predictions(spark):
     assert rows == [
         ("satellite", "5", "2025-01-01", "anomaly", 3.5), ("satellite", "6", "2025-01-01", "normal", 0.2),
     ]
+
+
+def test_share_of_variance_inside_groups(spark):
+    rows = [("a", 1.0, 5.0), ("a", 3.0, 5.0), (None, 10.0, 5.0), (None, 14.0, 5.0)]
+    frame = spark.createDataFrame(rows, "g STRING, x DOUBLE, y DOUBLE").repartition(3)
+    values = [r[1] for r in rows]
+    mean = sum(values) / 4
+    inside = 2 * 1.0**2 + 2 * 2.0**2  # around the means 2 and 12
+    share = inside / sum((v - mean) ** 2 for v in values)
+    assert ml.within_share(frame, "g", ["x"]) == pytest.approx(share)
+    assert ml.within_share(frame, "g", ["x", "y"]) == pytest.approx(share / 2)
+    assert ml.within_share(frame.withColumn("g", F.lit("one")), "g", ["x"]) == pytest.approx(1)
+    assert ml.within_share(frame.limit(0), "g", ["x"]) is None
+
+
+def test_prediction_ids_are_one_per_entity_and_snapshot(spark):
+    scores = spark.range(6).select(
+        F.lit("satellite").alias("entity_type"),
+        (F.col("id") % 3).cast("string").alias("entity_key"),
+        F.when(F.col("id") < 3, "2024-01-01").otherwise("2024-01-02").alias("snapshot_ref"),
+        F.lit("normal").alias("predicted_label"),
+        F.lit(0.5).alias("predicted_score"),
+    )
+    first, again = (
+        {r["prediction_id"] for r in ml.prediction_rows(scores, "m", run).collect()} for run in "ab"
+    )
+    assert len(first) == 6 and first == again
