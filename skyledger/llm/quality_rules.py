@@ -250,7 +250,8 @@ def judged(
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept).
 
     One row per row of `docs`. The counts are made for every text; the verdict is the cascade's,
-    which takes the counts that it needs from them.
+    which takes the counts that it needs from them. NULL and empty texts have counts of 0 and fail;
+    repeated rows are judged alike; columns other than doc_id and text are ignored.
     """
     order = ordered(docs, rules, sample_docs)
     base = [rule for rule in rules if rule.name in BASE]
