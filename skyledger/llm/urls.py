@@ -19,7 +19,7 @@ ALLOW, BLOCK = "allow", "block"
 GRAMS = (3, 4, 5)
 FEATURES = 1 << 18
 MAX_LABELLED = 20_000
-THRESHOLD = 0.55  # by cross-validation on the training part: few ordinary sites are blocked
+THRESHOLD = 0.55  # above a half, so that urls of weak evidence stay
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
