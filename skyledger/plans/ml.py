@@ -92,7 +92,9 @@ def train_hazard(features: DataFrame, trees: int = 20, depth: int = 5) -> tuple[
             VectorAssembler(inputCols=filled, outputCol="features"),
             forest,
         ]
-        model = Pipeline(stages=stages).fit(train)
+        # The copy leaves out the training summary, which drags the session into each task; a session
+        # that has an `Observation` (see `staged_with`) cannot be serialized.
+        model = Pipeline(stages=stages).fit(train).copy()
         return model, binary_metrics(model.transform(split.filter("split = 'test'")))
     finally:
         split.unpersist()
@@ -240,7 +242,7 @@ def train_regime(snapshots: DataFrame, trees: int = 20, depth: int = 8) -> tuple
                 inputCol="prediction", outputCol="predicted_regime", labels=indexer.labels
             ),
         ]
-        model = Pipeline(stages=stages).fit(split.filter("split = 'train'"))
+        model = Pipeline(stages=stages).fit(split.filter("split = 'train'")).copy()  # no summary
     finally:
         split.unpersist()
     return model, model.transform(split.filter("split = 'test'"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skyledger.operators.quality import QualityGateError, evaluate, raise_on_failure
 from skyledger.plans import ml
 from skyledger.schemas import MODEL_REGISTRY
+from skyledger.session import staged_with
 
 
 @pytest.fixture(scope="module")
@@ -71,6 +72,14 @@ def test_train_score_and_gate(features):
         raise_on_failure(evaluate(*ml.metric_gate(metrics, threshold=1.01)))
 
 
+def test_training_after_an_observation_in_the_session(spark, features):
+    """An `Observation` makes the session unserializable; no task may carry the session."""
+    staged_with(spark.range(10), rows=F.count(F.lit(1)))
+    model, metrics = ml.train_hazard(features, trees=2, depth=2)
+    assert metrics.count() == 5
+    assert ml.score_hazard(model, features).count() == features.count()
+
+
 def test_registry_keeps_one_active_version(spark):
     registry = spark.createDataFrame([], MODEL_REGISTRY)
     moment = datetime(2025, 1, 1, tzinfo=timezone.utc)
