@@ -231,3 +231,24 @@ def test_silver_lag(spark):
         (0, "r2", 1200, True), (1, "r2", 1200, True), (2, "r3", 2100, False), (3, None, None, False),
         (0, None, None, False),
     ]
+
+
+def test_a_batch_is_not_cached_and_rejects_are_counted_in_passing(spark, warehouse, tmp_path, monkeypatch):
+    """A cached batch holds its texts several times over, on disk where memory runs out."""
+    from pyspark.sql import DataFrame
+
+    def cached(*_):
+        raise AssertionError("a batch was cached")
+
+    monkeypatch.setattr(DataFrame, "persist", cached)
+    monkeypatch.setattr(DataFrame, "cache", cached)
+    line = json.dumps(
+        {"snapshot_group": "a", "snapshot_timestamp": "2025-01-03T00:00:00", "satcat": {"NORAD_CAT_ID": "7"}}
+    )
+    write_lines(tmp_path / "in", "1.txt", [line, "{", line])
+    for checkpoint in ("cp", "cp"):
+        run(bronze.start_catalog_stream, spark, warehouse, tmp_path / "in", tmp_path / checkpoint)
+    stored = warehouse.read("bronze.satcat_raw").collect()
+    assert sorted(r["id"] for r in stored) == [1, 2]
+    assert all(r["raw_csv_row"] == r["parsed_record"] for r in stored)
+    assert [r["value"] for r in warehouse.read("bronze.quarantine").collect()] == ["{"]
