@@ -187,3 +187,15 @@ def test_raise_on_failure_names_all_failures(spark):
     checks = [quality.non_null("first", "a"), quality.value_range("second", "b", low=0.0)]
     with pytest.raises(quality.QualityGateError, match="first.*second"):
         quality.raise_on_failure(quality.evaluate(frame, checks))
+
+
+def test_nothing_stored_takes_no_join(spark):
+    from pyspark.sql import types as T
+
+    from skyledger.session import literal_rows
+
+    empty = literal_rows(spark, T.StructType().add("k", "long"), [])
+    frame = spark.range(10).select(F.col("id").alias("k"))
+    new = merge.not_yet_in(frame, empty, ["k"])
+    assert "Join" not in plan(new)
+    assert new.count() == 10
