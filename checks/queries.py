@@ -263,9 +263,10 @@ def merge_new_satellite(t):
 @query
 def merge_new_snapshot(t):
     early = t.records.filter(_before("snapshot_date"))
-    stored = silver_satcat.build_snapshots(early, silver_satcat.build_satellites(early))
+    stored = silver_satcat.build_snapshots(early, silver_satcat.satellite_keys(early))
     new = silver_satcat.new_snapshots(t.orbits, stored)
-    keyed = staged(silver_satcat.with_satellite_key(new, t.satellites))
+    keyed = silver_satcat.with_satellite_key(new, t.satellite_keys)
+    keyed = staged(numbering.bucketed(keyed, silver_satcat.SNAPSHOT_KEY))
     return silver_satcat.number_snapshots(keyed, stored).select(
         "orbit_snapshot_sk", "satellite_sk", *silver_satcat.SNAPSHOT_KEY, "apogee_km"
     )

@@ -189,7 +189,14 @@ class Inputs:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return silver_satcat.build_snapshots(self.records, self.satellites)
+        return silver_satcat.build_snapshots(self.records, self.satellite_keys)
+
+    @cached_property
+    def satellite_keys(self) -> DataFrame:
+        """Keys of the satellites; their attributes are built for queries that use them."""
+        if "satellites" in self.__dict__:
+            return self.satellites
+        return silver_satcat.satellite_keys(self.records)
 
     # The same rows without surrogate keys, for queries that return none.
 

@@ -7,7 +7,8 @@ offset, and a second pass ranks the rows inside every bucket. The numbers equal
 order depends on the key only, so repeated runs and lost executors give the same numbers.
 
 The key must be unique; duplicates belong to `dedup` first. Both passes read the input, so hand in
-a staged table where building it is expensive.
+a staged table where building it is expensive, and stage it with `bucketed`: then the digest is taken
+once before the shuffle, not once a pass.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEX_DIGITS = 4  # 65,536 buckets: the offsets stay a small broadcast at any table size
+BUCKET = "_bucket"
 _SEPARATOR = "|"
 _NULL_TEXT = "~"
 
@@ -28,29 +30,36 @@ def key_digest(keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws(_SEPARATOR, *parts).cast("binary"))
 
 
+def bucketed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df` with the bucket of its key, which `dense_number` by the same keys then takes from there."""
+    digits = F.substring(key_digest(keys), 1, HEX_DIGITS)
+    return df.withColumn(BUCKET, F.conv(digits, 16, 10).cast("int"))
+
+
 def dense_number(
     df: DataFrame, keys: Sequence[str], name: str, base: Column | int = 0, within: str | None = None
 ) -> DataFrame:
     """Add column `name`: base + 1, base + 2, ... in digest order, restarting per `within` value."""
     group = [within] if within else []
     digest = key_digest(keys)
-    marked = df.withColumn("_bucket", F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("int"))
-    counts = marked.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    columns = [c for c in df.columns if c != BUCKET]
+    marked = df if BUCKET in df.columns else bucketed(df, keys)
+    counts = marked.groupBy(*group, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     # At most 16**HEX_DIGITS rows per group, whatever the size of `df`.
-    running = Window.partitionBy(*group).orderBy("_bucket")
+    running = Window.partitionBy(*group).orderBy(BUCKET)
     offsets = counts.select(
         *group,
-        "_bucket",
+        BUCKET,
         (F.sum("_n").over(running) - F.col("_n")).alias("_offset"),
     )
-    in_bucket = Window.partitionBy(*group, "_bucket").orderBy("_digest", *keys)
+    in_bucket = Window.partitionBy(*group, BUCKET).orderBy("_digest", *keys)
     # The digest is taken again after the shuffle, which is spared its 32 characters a row.
-    placed = marked.repartition(*group, "_bucket").withColumn("_digest", digest)
+    placed = marked.repartition(*group, BUCKET).withColumn("_digest", digest)
     ranked = placed.withColumn("_rank", F.row_number().over(in_bucket).cast("long"))
     number = F.col("_offset") + F.col("_rank")
     base_column = F.lit(base).cast("long") if isinstance(base, int) else base
-    return ranked.join(F.broadcast(offsets), [*group, "_bucket"], "inner").select(
-        (base_column + number).alias(name), *df.columns
+    return ranked.join(F.broadcast(offsets), [*group, BUCKET], "inner").select(
+        (base_column + number).alias(name), *columns
     )
 
 

@@ -9,7 +9,7 @@ from skyledger.functions.text import to_number
 from skyledger.operators.dedup import first_per_key
 from skyledger.operators.lookup import lookup
 from skyledger.operators.merge import not_yet_in
-from skyledger.operators.numbering import dense_number, next_base
+from skyledger.operators.numbering import bucketed, dense_number, next_base
 from skyledger.schemas import DIAMETER, DISTANCE, SILVER_APPROACH, SILVER_NEO, VELOCITY
 from skyledger.session import staged
 
@@ -118,9 +118,10 @@ def number_approaches(new: DataFrame, existing: DataFrame | None = None) -> Data
 
 def build_neo(bronze: DataFrame) -> DataFrame:
     """Full build of the dimension from bronze; staged once, as the numbering reads it twice."""
-    return number_neos(staged(neo_candidates(bronze)))
+    return number_neos(staged(bucketed(neo_candidates(bronze), DIM_KEY)))
 
 
 def build_approaches(bronze: DataFrame, neo: DataFrame) -> DataFrame:
     """Full build of the fact table from bronze."""
-    return number_approaches(staged(with_neo_key(staged(approach_candidates(bronze)), neo)))
+    keyed = with_neo_key(staged(approach_candidates(bronze)), neo)
+    return number_approaches(staged(bucketed(keyed, APPROACH_KEY)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.text import to_day, to_number
 from skyledger.operators.dedup import first_per_key
 from skyledger.operators.merge import not_yet_in
-from skyledger.operators.numbering import dense_number, next_base
+from skyledger.operators.numbering import bucketed, dense_number, next_base
 from skyledger.schemas import SATCAT_FIELDS, SILVER_SATELLITE, SILVER_SNAPSHOT
 from skyledger.session import staged
 
@@ -150,10 +150,20 @@ def number_snapshots(new: DataFrame, existing: DataFrame | None = None) -> DataF
 
 def build_satellites(records: DataFrame) -> DataFrame:
     """Full build of the dimension; staged once, as the numbering reads it twice."""
-    return number_satellites(staged(satellite_candidates(records)))
+    return number_satellites(staged(bucketed(satellite_candidates(records), DIM_KEY)))
+
+
+def satellite_keys(records: DataFrame) -> DataFrame:
+    """(satellite_sk, norad_cat_id) as `build_satellites` gives them, without the attributes.
+
+    The numbers depend on the catalog numbers only, which are grouped without a sort of the records.
+    """
+    known = staged(bucketed(records.select(*DIM_KEY).distinct(), DIM_KEY))
+    return dense_number(known, DIM_KEY, "satellite_sk")
 
 
 def build_snapshots(records: DataFrame, satellites: DataFrame) -> DataFrame:
     """Full build of the fact table."""
     snapshots = snapshot_candidates(records)
-    return number_snapshots(staged(with_satellite_key(snapshots, satellites)))
+    keyed = with_satellite_key(snapshots, satellites)
+    return number_snapshots(staged(bucketed(keyed, SNAPSHOT_KEY)))

@@ -46,3 +46,22 @@ def test_shared_folder_is_temporary_only_in_local_mode(spark):
     assert Path(session.shared_dir(_Session("local[2]"))).exists()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(_Session("spark://host:7077"))
+
+
+@pytest.mark.skipif(not SMALL.exists(), reason="needs the test tables")
+def test_snapshots_are_keyed_without_the_attributes_of_satellites(spark):
+    from checks.standins import Inputs
+
+    inputs = Inputs(spark, str(SMALL))
+    assert inputs.snapshots.count() > 0 and "satellites" not in inputs.__dict__
+
+
+def test_scans_are_bounded_unless_the_session_says_otherwise(spark):
+    before = spark.conf.get(session.SPLIT_BYTES)
+    try:
+        for given, kept in (("134217728b", "32m"), ("64m", "64m")):
+            spark.conf.set(session.SPLIT_BYTES, given)
+            session.bound_splits(spark)
+            assert spark.conf.get(session.SPLIT_BYTES) == kept
+    finally:
+        spark.conf.set(session.SPLIT_BYTES, before)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from skyledger.operators import merge, quality
 from skyledger.operators.dedup import duplicate_keys, first_per_key, last_per_key
 from skyledger.operators.lookup import lookup
-from skyledger.operators.numbering import dense_number, next_base
+from skyledger.operators.numbering import bucketed, dense_number, next_base
+from skyledger.session import staged
 
 
 def plan(df):
@@ -58,6 +59,14 @@ def test_dense_number_never_ranks_in_one_task(spark):
     assert ranked and all("windowspecdefinition(_bucket" in line for line in ranked)
 
 
+def test_dense_number_takes_the_staged_bucket(spark):
+    frame = spark.range(50).select(F.col("id").cast("string").alias("k"), "id")
+    numbered = dense_number(staged(bucketed(frame, ["k"])), ["k"], "n", 7)
+    assert numbered.columns == ["n", "k", "id"]
+    assert plan(numbered).count("md5(") == 1  # for the order inside a bucket, after the shuffle
+    assert sorted(numbered.collect()) == sorted(dense_number(frame, ["k"], "n", 7).collect())
+
+
 def test_next_base(spark):
     stored = spark.createDataFrame([(7,), (9,)], "sk LONG")
     frame = spark.range(1)

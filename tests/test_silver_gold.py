@@ -112,6 +112,14 @@ def test_one_snapshot_per_satellite_and_day(spark):
     assert rows[0]["ecc"] is None and rows[0]["mean_motion_rev_per_day"] is None
 
 
+def test_satellite_keys_are_those_of_the_dimension(spark):
+    bronze = satcat_frame(spark, *[record(i, norad=str(i % 7)) for i in range(20)])
+    records = silver_satcat.parse_records(bronze)
+    whole = silver_satcat.build_satellites(records).select("satellite_sk", "norad_cat_id")
+    keys = silver_satcat.satellite_keys(records).select("satellite_sk", "norad_cat_id")
+    assert sorted(keys.collect()) == sorted(whole.collect()) and keys.count() == 7
+
+
 def test_satellite_takes_the_latest_record(spark):
     bronze = satcat_frame(
         spark,
