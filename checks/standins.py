@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.ledger import run_state
 from skyledger.plans import silver_neo, silver_satcat
-from skyledger.session import staged
+from skyledger.session import bound_splits, staged
 
 ROW_GROUP_BYTES = 128 << 20  # what writers put into a row group at most
 REDELIVERED_OFFSET = 1_000_000_000_000
@@ -34,6 +34,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        bound_splits(spark)
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:

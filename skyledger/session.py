@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 COMPRESSION = "zstd"  # of staged and stored tables
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+SPLIT_MB = 32  # of such files in a task: they unpack to many times that, and tasks sort their rows
 _scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
@@ -26,6 +28,7 @@ def build_session(app_name: str = "skyledger", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split a hot join key even where the split costs one more shuffle further up.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        SPLIT_BYTES: f"{SPLIT_MB}m",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -34,6 +37,12 @@ def build_session(app_name: str = "skyledger", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def bound_splits(spark: SparkSession) -> None:
+    """Lower what one task scans to SPLIT_MB where the session has Spark's default."""
+    if spark.conf.get(SPLIT_BYTES) in ("134217728b", "134217728", "128m", "128MB"):
+        spark.conf.set(SPLIT_BYTES, f"{SPLIT_MB}m")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share, as named by `spark.checkpoint.dir`.
 
