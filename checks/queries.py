@@ -490,16 +490,19 @@ def dq_job_checks(t):
 
 @query
 def dq_table_tests(t):
-    tables = {name: staged(df) for name, df in _silver_tables(t).items()}  # read by many checks
+    tables, records = {}, {}
+    for name, df in _silver_tables(t).items():  # staged whole: the marts read them
+        tables[name], records[name] = quality.staged_and_evaluated(df, TABLE_TESTS[name])
     neo, approaches, satellites, snapshots = tables.values()
-    tables |= {
+    marts = {
         "gold.neo_daily_activity": gold.neo_daily_activity(approaches, neo),
         "gold.neo_hazard_summary": gold.neo_hazard_summary(approaches, neo),
         "gold.satcat_orbit_summary": gold.satcat_orbit_summary(satellites, snapshots),
         "gold.ai_neo_features": gold.ai_neo_features(approaches, neo),
         "gold.ai_satcat_features": gold.ai_satcat_features(satellites, snapshots),
     }
-    return quality.evaluate_all(tables, TABLE_TESTS).drop("details")
+    tested = quality.evaluate_all(marts, {name: TABLE_TESTS[name] for name in marts})
+    return reduce(DataFrame.unionByName, [*records.values(), tested]).drop("details")
 
 
 @query

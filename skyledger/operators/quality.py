@@ -138,10 +138,15 @@ def staged_and_evaluated(
 
 
 def evaluate_all(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Check]]) -> DataFrame:
-    """Records for several tables; `checks` maps a table name to its checks."""
-    return reduce(
-        DataFrame.unionByName, [evaluate(tables[name], list_) for name, list_ in checks.items()]
-    )
+    """Records for several tables; `checks` maps a table name to its checks.
+
+    Each table is computed once, however many checks it has: the columns that they read are staged.
+    """
+    records = []
+    for name, list_ in checks.items():
+        columns = dict.fromkeys(c for check in list_ for c in check.columns)
+        records.append(staged_and_evaluated(tables[name].select(*columns), list_)[1])
+    return reduce(DataFrame.unionByName, records)
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -185,6 +185,14 @@ def test_row_level_checks_share_one_scan(spark, tmp_path):
     assert plan(quality.evaluate(frame, checks)).count("FileScan") == 1
 
 
+def test_all_checks_of_a_table_compute_it_once(spark):
+    frame = spark.range(6).select("id", F.uuid().alias("u"), F.lit(None).cast("int").alias("unread"))
+    checks = [quality.non_null("a", "u"), quality.unique("b", ["u"]), quality.unique("c", ["id"])]
+    records = quality.evaluate_all({"t": frame}, {"t": checks})
+    assert "uuid(" not in plan(records)
+    assert {tuple(r)[:4] for r in records.collect()} == {(n, "pass", 6, 0) for n in "abc"}
+
+
 def test_orphans(spark):
     fact = spark.createDataFrame([("a",), ("b",), ("b",)], "k STRING")
     dim = spark.createDataFrame([("a",)], "k STRING")
