@@ -856,8 +856,9 @@ def ml_binary_metrics(t):
 
 @query
 def ml_regime_agreement(t):
-    model, _ = ml.train_regime(t.orbits)
-    scored = ml.predicted_regimes(model, t.orbits)
+    latest = staged(analysis.latest_snapshots(t.orbits))  # what both of the model's steps work on
+    model, _ = ml.train_regime(latest)
+    scored = ml.predicted_regimes(model, latest)
     agreement = staged(ml.regime_agreement(scored))
     # A model that always answers with the commonest class agrees in just its share.
     known = agreement.filter("predicted_regime IS NOT NULL")
@@ -884,9 +885,9 @@ def ml_class_metrics(t):
 @query
 def ml_clusters(t):
     """Clusters of latest orbits; they have to leave less variance inside than the orbit regimes."""
-    assigned, silhouette = ml.cluster_orbits(t.orbits)
-    latest = analysis.with_regime(analysis.latest_snapshots(t.orbits))
-    rows = staged(assigned.join(latest.drop("cluster"), "norad_cat_id"))
+    latest = staged(analysis.latest_snapshots(t.orbits))  # read by every pass of the model
+    assigned, silhouette = ml.cluster_orbits(latest)
+    rows = staged(assigned.join(analysis.with_regime(latest), "norad_cat_id"))
     complete = rows.filter(F.col("cluster").isNotNull())
     rule = ml.within_share(complete, "orbit_regime")
     return rows.select(

@@ -33,7 +33,7 @@ from skyledger.operators.dedup import last_per_key
 from skyledger.operators.numbering import dense_number
 from skyledger.operators.quality import Check, value_range
 from skyledger.plans.analysis import latest_snapshots, with_regime
-from skyledger.session import literal_rows
+from skyledger.session import literal_rows, staged
 
 # Features of the hazard model, seed, test share and quality threshold.
 HAZARD_FEATURES = (
@@ -215,9 +215,12 @@ def top_predictions(
 
 
 def _latest_orbits(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Latest orbit of every satellite, and those of them without a missing feature."""
+    """Latest orbit of every satellite, and those of them without a missing feature.
+
+    Staged, as split, fit and scores each read it again.
+    """
     columns = ["norad_cat_id", "snapshot_date", *ORBIT_FEATURES]
-    latest = latest_snapshots(snapshots.select(*columns))
+    latest = staged(latest_snapshots(snapshots.select(*columns)))
     return latest, latest.dropna(subset=list(ORBIT_FEATURES))
 
 

@@ -141,6 +141,11 @@ def test_clusters_separate_the_two_orbits(orbits):
     assert silhouette > 0.8
 
 
+def test_latest_orbits_are_chosen_once(orbits):
+    for frame in ml._latest_orbits(orbits):
+        assert "Window" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_class_metrics(spark):
     pairs = [("a", "a")] * 3 + [("a", "b")] + [("b", "b")] + [("c", None)]
     frame = spark.createDataFrame(pairs, "x STRING, y STRING")
