@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from skyledger.operators import ledger
 from skyledger.operators.quality import QualityGateError, non_null
 from skyledger.plans import jobs
+from skyledger.sources.tables import Warehouse
 from tests.samples import dicts, event, neo_frame, record, satcat_frame
 
 SILVER = (
@@ -299,3 +300,18 @@ def test_ledger_snapshot_and_tail(warehouse, spark):
     with_tail = state()
     assert jobs.compact_ledger(warehouse, "snapshot-2") == 2 and state() == with_tail
     assert jobs.compact_ledger(warehouse, "snapshot-3") == 0
+
+
+def test_equal_arrivals_are_told_apart_without_their_json(spark, tmp_path, monkeypatch):
+    """Rows that differ only in which value is missing: the same one lands in any order."""
+    pair = [event(1, "1", orbiting_body="Earth", raw_neo=None, neo_name="x"),
+            event(1, "1", orbiting_body="Earth", raw_neo="x", neo_name=None)]
+    landed = []
+    for n, rows in enumerate((pair, pair[::-1])):
+        frame = neo_frame(spark, *rows).withColumnRenamed("event_id", "position")
+        warehouse = Warehouse(spark, str(tmp_path / str(n)))
+        with monkeypatch.context() as patch:
+            patch.setattr(jobs.F, "to_json", lambda *_: pytest.fail("whole rows as JSON"))
+            assert jobs.land_approaches(warehouse, frame, "r", ["position"]) == 1
+        landed.append(warehouse.read("bronze.neo_event_raw").first()["neo_name"])
+    assert landed[0] == landed[1]
