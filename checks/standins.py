@@ -17,6 +17,7 @@ from skyledger.plans import silver_neo, silver_satcat
 from skyledger.session import bound_splits, staged
 
 ROW_GROUP_BYTES = 128 << 20  # what writers put into a row group at most
+GROUPS_PER_CORE = 2  # so that no core has much more of them than another
 REDELIVERED_OFFSET = 1_000_000_000_000
 
 
@@ -44,12 +45,27 @@ class Inputs:
         """A table whose rows are worked on one by one, dealt over all cores.
 
         A scan cannot split a row group, so a file of one group would keep one core busy. Tables with
-        groups for every core are left as they are.
+        groups for every core are left as they are, which spares their rows a shuffle.
         """
         df = self.table(name)
         cores = self.spark.sparkContext.defaultParallelism
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return df.repartition(cores) if size < cores * ROW_GROUP_BYTES else df
+        if size >= cores * ROW_GROUP_BYTES or self._has_row_groups(df, GROUPS_PER_CORE * cores):
+            return df
+        return df.repartition(cores)
+
+    def _has_row_groups(self, df: DataFrame, wanted: int) -> bool:
+        """Whether the files of a table have that many row groups, by their footers."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        parquet = jvm.org.apache.parquet.hadoop
+        for name in df.inputFiles():
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+            reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(path, conf))
+            wanted -= reader.getRowGroups().size()
+            reader.close()
+            if wanted <= 0:
+                return True
+        return False
 
     # --- approaches ---
 

@@ -65,3 +65,19 @@ def test_scans_are_bounded_unless_the_session_says_otherwise(spark):
             assert spark.conf.get(session.SPLIT_BYTES) == kept
     finally:
         spark.conf.set(session.SPLIT_BYTES, before)
+
+
+@pytest.mark.parametrize(("group_rows", "dealt"), [(1000, False), (1_000_000, True)])
+def test_tables_with_row_groups_for_all_cores_are_not_dealt(spark, tmp_path, group_rows, dealt):
+    import duckdb
+
+    from checks.standins import Inputs
+
+    path = tmp_path / "a table.parquet"
+    duckdb.sql(
+        f"copy (select range as id from range(100000)) to '{path}' "
+        f"(format parquet, row_group_size {group_rows})"
+    )
+    rows = Inputs(spark, str(tmp_path)).rows("a table")
+    assert ("Exchange" in rows._jdf.queryExecution().executedPlan().toString()) == dealt
+    assert rows.count() == 100_000
