@@ -436,10 +436,11 @@ def orbit_anomaly_top(t):
 def orbit_anomaly_incremental(t):
     """Scores of the second of two loads, from moments that the first has left."""
     warehouse = _warehouse(t)
-    snapshots = staged(t.orbits)
+    early = _before("snapshot_date")
     for load, negate in LOADS:
-        early = _before("snapshot_date")
-        part = snapshots.filter(~early if negate else early)
+        # Each record is in one load only, so nothing is gained by staging them all before.
+        records = silver_satcat.parse_records(t.bronze_satcat.filter(~early if negate else early))
+        part = silver_satcat.snapshot_candidates(records)
         warehouse.append(part, "silver.satcat_orbit_snapshot", load)
         scored = moments.score_new_snapshots(warehouse, f"score-{load}")
     return scored

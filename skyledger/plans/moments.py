@@ -32,13 +32,14 @@ def new_deltas(snapshots: DataFrame, state: DataFrame) -> DataFrame:
         F.lit(False).alias("is_new"),
     )
     rows = snapshots.select(*columns, F.lit(True).alias("is_new")).unionByName(last)
-    # One row per day and satellite at most, so no window grows with the table.
-    satellite = Window.partitionBy("norad_cat_id")
-    known = F.max(F.when(~F.col("is_new"), F.col("snapshot_date"))).over(satellite)
+    # One row per day and satellite at most, so no window grows with the table. Both windows have one
+    # order, so the rows are sorted once.
+    history = Window.partitionBy("norad_cat_id").orderBy("snapshot_date")
+    whole = history.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known = F.max(F.when(~F.col("is_new"), F.col("snapshot_date"))).over(whole)
     rows = rows.withColumn("known", known).filter(
         ~F.col("is_new") | F.col("known").isNull() | (F.col("snapshot_date") > F.col("known"))
     )
-    history = satellite.orderBy("snapshot_date")
     deltas = [(F.col(c) - F.lag(c).over(history)).alias(f"delta_{c}") for c in MOMENT_ELEMENTS]
     return rows.select("is_new", *columns, *deltas).filter("is_new").drop("is_new")
 

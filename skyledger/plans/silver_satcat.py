@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.text import to_day, to_number
+from skyledger.functions.text import to_day, to_measure, to_number
 from skyledger.operators.dedup import first_per_key
 from skyledger.operators.merge import not_yet_in
 from skyledger.operators.numbering import bucketed, dense_number, next_base
@@ -58,11 +58,11 @@ def _typed(raw: DataFrame) -> DataFrame:
         to_day(F.col("DECAY_DATE")).alias("decay_date"),
         F.col("ORBIT_CENTER").alias("orbit_center"),
         F.col("ORBIT_TYPE").alias("orbit_type"),
-        to_number(F.col("RCS")).alias("rcs"),
-        to_number(F.col("PERIOD")).alias("period_minutes"),
-        to_number(F.col("INCLINATION")).alias("inclination_deg"),
-        to_number(F.col("APOGEE")).alias("apogee_km"),
-        to_number(F.col("PERIGEE")).alias("perigee_km"),
+        to_measure(F.col("RCS")).alias("rcs"),
+        to_measure(F.col("PERIOD")).alias("period_minutes"),
+        to_measure(F.col("INCLINATION")).alias("inclination_deg"),
+        to_measure(F.col("APOGEE")).alias("apogee_km"),
+        to_measure(F.col("PERIGEE")).alias("perigee_km"),
     )
     return typed.filter(F.col("norad_cat_id").isNotNull())
 

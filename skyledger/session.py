@@ -17,6 +17,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 COMPRESSION = "zstd"  # of staged and stored tables
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 SPLIT_MB = 32  # of such files in a task: they unpack to many times that, and tasks sort their rows
+MIN_SPLITS = "spark.sql.files.minPartitionNum"
+SPLITS_PER_CORE = 4  # of a scan, at least: with one or two, most cores wait for the last tasks
 _scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
@@ -38,9 +40,12 @@ def build_session(app_name: str = "skyledger", **conf: str) -> SparkSession:
 
 
 def bound_splits(spark: SparkSession) -> None:
-    """Lower what one task scans to SPLIT_MB where the session has Spark's default."""
+    """Lower what one task scans to SPLIT_MB, and to a part of a core's share, where the session has
+    Spark's defaults. Splits stay above `spark.sql.files.openCostInBytes`."""
     if spark.conf.get(SPLIT_BYTES) in ("134217728b", "134217728", "128m", "128MB"):
         spark.conf.set(SPLIT_BYTES, f"{SPLIT_MB}m")
+    if spark.conf.get(MIN_SPLITS, None) is None:
+        spark.conf.set(MIN_SPLITS, str(SPLITS_PER_CORE * spark.sparkContext.defaultParallelism))
 
 
 def shared_dir(spark: SparkSession) -> str:

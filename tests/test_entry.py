@@ -81,3 +81,29 @@ def test_tables_with_row_groups_for_all_cores_are_not_dealt(spark, tmp_path, gro
     rows = Inputs(spark, str(tmp_path)).rows("a table")
     assert ("Exchange" in rows._jdf.queryExecution().executedPlan().toString()) == dealt
     assert rows.count() == 100_000
+
+
+@pytest.mark.skipif(not SMALL.exists(), reason="needs the test tables")
+def test_incremental_scores_do_not_stage_the_whole_records(spark, monkeypatch):
+    from checks.compare import compare, duckdb_connection
+    from checks.standins import Inputs
+
+    def records(inputs):
+        raise AssertionError("each record is read by one load only")
+
+    monkeypatch.setattr(Inputs, "records", property(records))
+    name, connection = "orbit_anomaly_incremental", duckdb_connection(str(SMALL))
+    query, oracle = spark_entry.queries()[name], spark_entry.oracle_sql()[name]
+    assert compare(spark, connection, query, oracle, str(SMALL)) == ""
+
+
+@pytest.mark.parametrize("given", [None, "3"])
+def test_scans_have_tasks_for_all_cores_unless_the_session_says_otherwise(spark, given):
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name) if given is None else spark.conf.set(name, given)
+        session.bound_splits(spark)
+        assert spark.conf.get(name) == (given or str(4 * spark.sparkContext.defaultParallelism))
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

@@ -22,6 +22,15 @@ def test_number_of_dirty_text(spark, raw, expected):
     assert spark.range(1).select(text.to_number(column)).first()[0] == expected
 
 
+def test_a_measure_equals_the_cast_of_its_text(spark):
+    raws = ["12.5", "", " ", "n/a", "abc", None, " 7 ", "1e3", "-.5", "1d", "0x1p3", "a1", "\n3\n", "\u0663"]
+    raws += ["NaN", "nan", " INF", "-inf", "+Infinity", "infinit", "in f", "1\n", "-", ".", "e"]
+    rows = spark.createDataFrame([(raw,) for raw in raws], "raw string")
+    both = rows.select(text.to_number(F.col("raw")).alias("a"), text.to_measure(F.col("raw")).alias("b"))
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).isEmpty()
+    assert both.filter(F.col("b").isNotNull()).count() == 13
+
+
 @pytest.mark.parametrize(
     "raw, expected",
     [

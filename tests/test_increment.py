@@ -287,3 +287,16 @@ def test_moments_of_several_loads_equal_the_history(warehouse, spark):
     warehouse.append(late, "silver.satcat_orbit_snapshot", "late")
     assert moments.score_new_snapshots(warehouse, "late").isEmpty()
     assert content(warehouse, "gold.orbit_moments") == before
+
+
+def test_new_snapshots_are_sorted_once_for_their_deltas(warehouse, spark):
+    from skyledger.plans import moments
+    from skyledger.schemas import ORBIT_MOMENTS
+
+    schema = "norad_cat_id INT, snapshot_date DATE, period_minutes DOUBLE, apogee_km DOUBLE, perigee_km DOUBLE"
+    new = spark.createDataFrame([(1, date(2025, 1, day), 1.0, 2.0, 3.0) for day in (3, 4)], schema)
+    state = spark.createDataFrame([(1, date(2025, 1, 3), *[1.0, 1, 0.0, 0.0] * 3)], ORBIT_MOMENTS)
+    deltas = moments.new_deltas(new, state)
+    plan = deltas._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
+    assert [r["snapshot_date"].day for r in deltas.collect()] == [4]
