@@ -315,3 +315,69 @@ def test_equal_arrivals_are_told_apart_without_their_json(spark, tmp_path, monke
             assert jobs.land_approaches(warehouse, frame, "r", ["position"]) == 1
         landed.append(warehouse.read("bronze.neo_event_raw").first()["neo_name"])
     assert landed[0] == landed[1]
+
+
+def test_landing_chooses_without_the_wide_columns(warehouse, monkeypatch):
+    """The digest for ties and the span of days are taken while the rows are staged."""
+    staged, spans = [], []
+    stage, between = jobs.staged_with, Warehouse.stored_between
+    monkeypatch.setattr(
+        jobs, "staged_with",
+        lambda df, **metrics: staged.append((df.columns, set(metrics))) or stage(df, **metrics),
+    )
+    monkeypatch.setattr(
+        Warehouse, "stored_between",
+        lambda self, *a, **b: spans.append(a[1:]) or between(self, *a, **b),
+    )
+    land(warehouse, "l", [event(1, "a", full="2025-Feb-05 00:00"), event(2, "b"), event(3, "c", full="x")])
+    columns, metrics = staged[0]
+    assert "_tie" in columns and {"first", "last"} <= metrics
+    assert spans == [(date(2025, 1, 3), date(2025, 2, 5))]
+    land(warehouse, "m", [event(4, "d", full=None)])
+    assert spans[1:] == [(None, None)] and warehouse.read("bronze.neo_event_raw").count() == 4
+
+
+def test_catalog_groups_are_taken_once(warehouse, spark):
+    """A load passes over its rows for the distinct groups and for the staged rows alone."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    frame = satcat_frame(spark, *[record(i, norad=str(i)) for i in range(1, 5)]).drop("id", "record")
+    rows = spark.createDataFrame(frame.rdd.mapPartitions(counted), frame.schema)
+    assert jobs.land_catalog(warehouse, rows, "l") == 4
+    assert seen.value == 8
+
+
+def test_snapshots_are_staged_once_with_their_keys(warehouse, monkeypatch):
+    land(warehouse, "l", records=[record(1), record(2, norad="5"), record(3, day=date(2025, 1, 4))])
+    staged, looked = [], []
+    stage, stored = jobs.staged, Warehouse.stored_for
+    monkeypatch.setattr(jobs, "staged", lambda df: staged.append(df.columns) or stage(df))
+    monkeypatch.setattr(
+        Warehouse, "stored_for",
+        lambda self, table, rows, *a, **b: looked.append(table) or stored(self, table, rows, *a, **b),
+    )
+    assert jobs.satcat_to_silver(warehouse, "s") == 5
+    assert not any("period_minutes" in columns for columns in staged)
+    assert looked == ["silver.satcat_satellite"] * 2
+
+
+def test_snapshots_of_a_retry_find_satellites_done_before(warehouse, monkeypatch):
+    land(warehouse, "l", records=[record(1), record(2, norad="5"), record(3, day=date(2025, 1, 4))])
+    keyed = Warehouse.append_keyed
+
+    def fails(self, df, table, *rest):
+        if table == "silver.satcat_orbit_snapshot":
+            raise RuntimeError("lost")
+        return keyed(self, df, table, *rest)
+
+    monkeypatch.setattr(Warehouse, "append_keyed", fails)
+    with pytest.raises(RuntimeError):
+        jobs.satcat_to_silver(warehouse, "s")
+    monkeypatch.undo()
+    assert jobs.satcat_to_silver(warehouse, "s") == 3
+    assert len(content(warehouse, "silver.satcat_satellite")) == 2

@@ -1,10 +1,12 @@
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.sources import catalog, feed, messages
+from skyledger.session import default_setting
+from skyledger.sources import catalog, feed, messages, tables
 from skyledger.sources.tables import path_exists, read_jdbc, write_jdbc
 from tests.samples import dicts, event, neo_frame, record, satcat_frame
 
@@ -271,3 +273,36 @@ def test_connectors_name_what_they_lack(spark):
         read_jdbc(spark, "jdbc:none://host/db", "t", "id", 0, 10, 2)
     with pytest.raises(Exception, match="(?i)driver"):
         write_jdbc(spark.range(1), "jdbc:none://host/db", "t")
+
+
+def test_stored_records_have_no_dictionary(warehouse):
+    """One would be built for texts that hardly repeat."""
+    parquet = pytest.importorskip("pyarrow.parquet")
+    rows = satcat_frame(warehouse.spark, *[record(i, norad=str(i)) for i in range(1, 4)])
+    warehouse.append(rows, "bronze.satcat_raw", "r")
+    files = [*Path(warehouse.path("bronze.satcat_raw")).rglob("*.parquet")]
+    encodings = {}
+    for file in files:
+        group = parquet.ParquetFile(file).metadata.row_group(0)
+        for i in range(group.num_columns):
+            encodings.setdefault(group.column(i).path_in_schema, set()).update(group.column(i).encodings)
+    assert not any("DICTIONARY" in e for e in encodings["parsed_record"])
+    assert any("DICTIONARY" in e for e in encodings["snapshot_group"])
+
+
+def test_rows_are_written_without_a_sort_by_part(warehouse, monkeypatch):
+    """Also where a task has rows of more parts than it holds files open; settings are left alone."""
+    months = [date(2000 + i // 12, i % 12 + 1, 1) for i in range(3 * tables.OPEN_PARTS)]
+    rows = [record(i, day=day) for i, day in enumerate(months * 2, 1)]
+    settings, spark = [], warehouse.spark
+    monkeypatch.setattr(
+        tables, "default_setting", lambda *a: settings.append(a[1:]) or default_setting(*a)
+    )
+    warehouse.append(satcat_frame(spark, *rows), "bronze.satcat_raw", "r")
+    assert settings == [("spark.sql.maxConcurrentOutputFileWriters", str(tables.OPEN_PARTS))]
+    assert spark.conf.get(settings[0][0], None) is None
+    stored = warehouse.stored("bronze.satcat_raw")
+    assert stored.filter("storage_month <> trunc(snapshot_date, 'month')").isEmpty()
+    assert sorted(r["id"] for r in stored.collect()) == [*range(1, len(rows) + 1)]
+    with default_setting(spark, settings[0][0], "3"), default_setting(spark, settings[0][0], "4"):
+        assert spark.conf.get(settings[0][0]) == "3"  # one that is set stays
